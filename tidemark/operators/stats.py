@@ -12,14 +12,16 @@ from tidemark.operators.series import Step, block_window, run
 from tidemark.schemas import SERIES
 from tidemark.session import BROADCAST_ROWS
 
-ROWS = F.count(F.lit(1))
+
+def rows():
+    return F.count(F.lit(1))
 
 
 def table_stats(candles: DataFrame) -> DataFrame:
     days = F.floor((epoch_seconds(F.max("time")) - epoch_seconds(F.min("time"))) / 86400)
     return candles.agg(
         F.count_distinct("symbol").alias("nb_symbols"),
-        ROWS.alias("total_candles"),
+        rows().alias("total_candles"),
         F.min("time").alias("first_date"),
         F.max("time").alias("last_date"),
         days.alias("days"),
@@ -28,7 +30,7 @@ def table_stats(candles: DataFrame) -> DataFrame:
 
 def count_per_symbol(candles: DataFrame) -> DataFrame:
     return (
-        candles.groupBy("symbol").agg(ROWS.alias("count")).orderBy(F.desc("count"), "symbol")
+        candles.groupBy("symbol").agg(rows().alias("count")).orderBy(F.desc("count"), "symbol")
     )
 
 
@@ -40,7 +42,7 @@ def symbol_stats(candles: DataFrame) -> DataFrame:
     return (
         candles.groupBy("symbol")
         .agg(
-            ROWS.alias("nb_candles"),
+            rows().alias("nb_candles"),
             F.min("time").alias("first_date"),
             F.max("time").alias("last_date"),
             round_half_up(F.avg("close"), 2).alias("avg_price"),
@@ -57,7 +59,7 @@ def summary(candles: DataFrame) -> DataFrame:
     return (
         candles.groupBy("symbol")
         .agg(
-            ROWS.alias("nb_candles"),
+            rows().alias("nb_candles"),
             F.min_by("close", "time").alias("_first"),
             F.max_by("close", "time").alias("_last"),
             round_half_up(F.min("low"), 2).alias("min_price"),
@@ -85,7 +87,7 @@ def summary(candles: DataFrame) -> DataFrame:
 def collection_summary(candles: DataFrame) -> DataFrame:
     """Per symbol and, with a NULL symbol, over all of them."""
     return candles.rollup("symbol").agg(
-        ROWS.alias("candles"),
+        rows().alias("candles"),
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
         F.min("low").alias("min_price"),
@@ -96,7 +98,7 @@ def collection_summary(candles: DataFrame) -> DataFrame:
 
 def collection_report(candles: DataFrame) -> DataFrame:
     """One row: symbols (sorted) and candles that a collection delivered."""
-    per_symbol = candles.groupBy("symbol").agg(ROWS.alias("_n"))
+    per_symbol = candles.groupBy("symbol").agg(rows().alias("_n"))
     return per_symbol.agg(
         F.count(F.lit(1)).alias("total_symbols"),
         F.sort_array(F.collect_set("symbol")).alias("symbols"),
@@ -106,7 +108,7 @@ def collection_report(candles: DataFrame) -> DataFrame:
 
 def feature_coverage(features: DataFrame) -> DataFrame:
     return features.groupBy("symbol").agg(
-        ROWS.alias("nb_rows"),
+        rows().alias("nb_rows"),
         F.count("sma_7").alias("sma_count"),
         F.count("rsi_14").alias("rsi_count"),
         F.count("macd").alias("macd_count"),
@@ -177,7 +179,7 @@ def returns_histogram(candles: DataFrame, bins: int = 50, **layout) -> DataFrame
     return (
         returns.join(edges, "symbol")
         .groupBy("symbol", bin_no.cast("int").alias("bin"))
-        .agg(ROWS.alias("count"))
+        .agg(rows().alias("count"))
     )
 
 
@@ -186,7 +188,7 @@ def pivot_close(candles: DataFrame, symbols=None) -> DataFrame:
     # Copies are counted in a hash aggregation first, so no pivot cell ever sees more than one row.
     unique = (
         candles.groupBy("time", "symbol")
-        .agg(F.max("close").alias("close"), ROWS.alias("_n"))
+        .agg(F.max("close").alias("close"), rows().alias("_n"))
         .withColumn(
             "close",
             F.when(F.col("_n") == 1, F.col("close")).otherwise(
@@ -295,11 +297,11 @@ def error_metrics(scored: DataFrame, by=("model_name", "symbol"), actual="actual
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
     known = scored.where(y.isNotNull() & p.isNotNull())
     return known.groupBy(*by).agg(
-        ROWS.alias("samples"),
+        rows().alias("samples"),
         F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"),
         F.avg(F.abs(y - p)).alias("mae"),
         (F.avg(F.abs(ratio(y - p, y))) * 100).alias("mape"),
-        (1 - ratio(F.sum((y - p) * (y - p)), F.var_pop(y) * ROWS)).alias("r2"),
+        (1 - ratio(F.sum((y - p) * (y - p)), F.var_pop(y) * rows())).alias("r2"),
     )
 
 

@@ -13,10 +13,12 @@ from tidemark.operators import bars, lookups, quality, stats, tables
 from tidemark.operators import indicators as ind
 from tidemark.plans import features, learning, market
 from tidemark.schemas import SERIES, STORED_FEATURES
-from tidemark.session import broadcast_if_small
+from tidemark.session import broadcast_if_small, scratch_dir
+from tidemark.sources import candles as files
+from tidemark.streaming import jobs
 
 QUERIES = {}
-NUDGE = 3e-8
+NUDGE = 3.3e-9
 KEY = ["time", "symbol", "timeframe"]
 
 
@@ -233,7 +235,7 @@ def ema(spark, sf):
 @query
 def ema_orders(spark, sf):
     made = ind.exponential_average(market.order_candles(spark, sf))
-    return _columns(made, "ema_7", "ema_25", "ema_99")
+    return rounded(_columns(made, "ema_7", "ema_25", "ema_99"), 4)
 
 
 @query
@@ -608,3 +610,172 @@ def confidence_band(spark, sf):
         "confidence_lower",
         "confidence_upper",
     )
+
+
+# --- models -----------------------------------------------------------------
+
+
+def _predicted(spark, sf, kind, **params):
+    frame = learning.materialize(_prepared(spark, sf), "scaled")
+    trained = learning.fit(kind, frame, STORED_FEATURES, **params)
+    return learning.predict(trained, frame)
+
+
+@query
+def lr_predict(spark, sf):
+    return _predicted(spark, sf, "linear")
+
+
+@query
+def ridge_predict(spark, sf):
+    return _predicted(spark, sf, "linear_ridge")
+
+
+@query
+def lasso_predict(spark, sf):
+    return _predicted(spark, sf, "linear_lasso")
+
+
+@query
+def rf_predict(spark, sf):
+    return _predicted(spark, sf, "random_forest")
+
+
+@query
+def gbt_predict(spark, sf):
+    return _predicted(spark, sf, "xgboost")
+
+
+@query
+def feature_importance(spark, sf):
+    frame = learning.materialize(_prepared(spark, sf), "scaled")
+    trained = learning.fit("random_forest", frame, STORED_FEATURES)
+    return learning.feature_importance(trained, spark, 15)
+
+
+@query
+def model_comparison(spark, sf):
+    kinds = ("linear", "linear_ridge", "linear_lasso", "random_forest")
+    _, scored = learning.train_models(_prepared(spark, sf), STORED_FEATURES, kinds)
+    return learning.compare_models(scored, "val")
+
+
+@query
+def model_roundtrip(spark, sf):
+    frame = learning.materialize(_prepared(spark, sf), "scaled")
+    path = scratch_dir(spark, "model")
+    learning.save_model(learning.fit("linear", frame, STORED_FEATURES), path, spark)
+    return learning.predict(learning.load_model(path, spark), frame)
+
+
+# --- files ------------------------------------------------------------------
+
+
+@query
+def src_csv_candles(spark, sf):
+    base = market.candles(spark, sf).withColumnRenamed("time", "timestamp")
+    path = scratch_dir(spark, "csv")
+    base.write.option("header", True).csv(path)
+    rows, _ = files.read_candle_csv(spark, path, columns=base.columns)
+    return tables.typed_candles(rows)
+
+
+@query
+def src_csv_dir(spark, sf):
+    base = market.candles(spark, sf).withColumnRenamed("time", "timestamp")
+    path = scratch_dir(spark, "csv")
+    wide, narrow = base, base.select("symbol", *[c for c in base.columns if c not in ("symbol", "quote_volume", "trades_count")])
+    old = F.col("timestamp") < _fixed_time("2024-01-15")
+    wide.where(old).write.option("header", True).csv(path)
+    narrow.where(~old).write.mode("append").option("header", True).csv(path)
+    rows, _ = files.read_candle_csv(spark, path)
+    return tables.typed_candles(rows)
+
+
+@query
+def sink_csv(spark, sf):
+    path = scratch_dir(spark, "csv")
+    files.write_candle_csv(market.candles(spark, sf), path)
+    written = spark.read.option("header", True).csv(path)
+    return written.groupBy("symbol_safe", "frame").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def sink_report(spark, sf):
+    path = scratch_dir(spark, "report")
+    files.write_report(market.candles(spark, sf), path)
+    schema = "total_symbols bigint, symbols array<string>, total_candles bigint"
+    return spark.read.schema(schema).json(path).withColumn("symbols", F.array_join("symbols", ","))
+
+
+@query
+def sink_summary(spark, sf):
+    path = scratch_dir(spark, "summary")
+    made = stats.summary(market.candles(spark, sf))
+    files.write_summary(made, path)
+    return spark.read.schema(made.schema).option("header", True).csv(path)
+
+
+@query
+def sink_by_day(spark, sf):
+    path = scratch_dir(spark, "days")
+    files.write_by_day(market.candles(spark, sf), path)
+    return spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def sink_by_week(spark, sf):
+    path = scratch_dir(spark, "weeks")
+    files.write_by_day(market.naive_predictions(spark, sf), path, "prediction_time", days=7)
+    return spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- streams ----------------------------------------------------------------
+
+
+def _candle_stream(spark, sf, source=market.candles):
+    """Candles written as a folder of files in time order, read back as a stream."""
+    folder = scratch_dir(spark, "feed")
+    made = source(spark, sf).withColumn("time", F.col("time").cast("timestamp"))
+    made.repartitionByRange(4, "time").write.parquet(folder)
+    return jobs.read_stream(spark, folder, made.schema)
+
+
+@query
+def stream_ingest(spark, sf):
+    stream = jobs.ingest(_candle_stream(spark, sf, market.dirty_candles))
+    return jobs.run_to_end(stream).select(*KEY, "close")
+
+
+@query
+def stream_daily(spark, sf):
+    # The last day of the feed stays open: its end lies behind the watermark only when newer rows arrive.
+    return jobs.run_to_end(jobs.daily_bars(_candle_stream(spark, sf)))
+
+
+@query
+def stream_latest(spark, sf):
+    stream = jobs.latest(_candle_stream(spark, sf, market.candles_two_frames))
+    return jobs.run_updates(stream, SERIES, "time")
+
+
+@query
+def stream_ema(spark, sf):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
+    return jobs.run_to_end(jobs.running_averages(_candle_stream(spark, sf)))
+
+
+@query
+def stream_fk(spark, sf):
+    stream = jobs.known_only(_candle_stream(spark, sf), market.metadata(spark, sf))
+    return jobs.run_to_end(stream).select(*KEY, "close")
+
+
+@query
+def stream_upsert(spark, sf):
+    stored, arriving = market.existing_and_incoming(spark, sf)
+    target = scratch_dir(spark, "table")
+    files.write_by_day(stored.withColumn("time", F.col("time").cast("timestamp")), target)
+    stream = _candle_stream(spark, sf, lambda *_: arriving)
+    jobs.run_to_end(stream, foreach=jobs.upsert_days(target))
+    return spark.read.parquet(target).select(*KEY, "close")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import indicators as ind
 from tidemark.operators.quality import null_share_filter
 from tidemark.operators.series import run
-from tidemark.operators.stats import ROWS
+from tidemark.operators.stats import rows
 from tidemark.operators.tables import upsert
 from tidemark.schemas import CANDLE_KEY, FEATURE_STORE_TYPES, SERIES, STORED_FEATURES
 
@@ -74,8 +74,8 @@ def refresh_features(
 
 def feature_run_stats(candles: DataFrame, stored: DataFrame) -> DataFrame:
     """Candle rows and stored feature rows of each series."""
-    rows = candles.groupBy(*SERIES).agg(ROWS.alias("rows"))
-    kept = stored.groupBy(*SERIES).agg(ROWS.alias("features_stored"))
-    return rows.join(kept, list(SERIES), "left").withColumn(
+    read = candles.groupBy(*SERIES).agg(rows().alias("rows"))
+    kept = stored.groupBy(*SERIES).agg(rows().alias("features_stored"))
+    return read.join(kept, list(SERIES), "left").withColumn(
         "features_stored", F.coalesce("features_stored", F.lit(0))
     )

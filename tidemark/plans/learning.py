@@ -70,8 +70,8 @@ def scaler_stats(df: DataFrame, columns, by=SERIES) -> DataFrame:
     train = df.where(F.col("split") == "train")
     raw = train.groupBy(*by).agg(
         F.count(F.lit(1)).cast("double").alias("_n"),
-        *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.var_pop(c).alias(f"{c}_var") for c in columns],
+        *[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in columns],
+        *[F.var_pop(F.col(c).cast("double")).alias(f"{c}_var") for c in columns],
     )
 
     def deviation(c):

@@ -61,7 +61,7 @@ W = "PARTITION BY symbol, timeframe ORDER BY time"
 
 
 def r(expr, name=None):
-    out = f"round(({expr}) + 3e-8, 6) + 0.0::DOUBLE"
+    out = f"round(({expr}) + 3.3e-9, 6) + 0.0::DOUBLE"
     return f"{out} AS {name}" if name else out
 
 
@@ -121,12 +121,12 @@ RSI = """CASE WHEN e_loss = 0 AND e_gain > 0 THEN 100.0 WHEN e_loss = 0 THEN NUL
 CALENDAR = """CAST(hour(time) AS INTEGER) AS hour, CAST(isodow(time) - 1 AS INTEGER) AS day_of_week,
   CAST(day(time) AS INTEGER) AS day_of_month, CAST(month(time) AS INTEGER) AS month,
   CAST(quarter(time) AS INTEGER) AS quarter, CAST(year(time) AS INTEGER) AS year,
-  round(sin(2 * pi() * hour(time) / 24) + 3e-8, 6) + 0.0::DOUBLE AS hour_sin,
-  round(cos(2 * pi() * hour(time) / 24) + 3e-8, 6) + 0.0::DOUBLE AS hour_cos,
-  round(sin(2 * pi() * (isodow(time) - 1) / 7) + 3e-8, 6) + 0.0::DOUBLE AS day_sin,
-  round(cos(2 * pi() * (isodow(time) - 1) / 7) + 3e-8, 6) + 0.0::DOUBLE AS day_cos,
-  round(sin(2 * pi() * month(time) / 12) + 3e-8, 6) + 0.0::DOUBLE AS month_sin,
-  round(cos(2 * pi() * month(time) / 12) + 3e-8, 6) + 0.0::DOUBLE AS month_cos,
+  round(sin(2 * pi() * hour(time) / 24) + 3.3e-9, 6) + 0.0::DOUBLE AS hour_sin,
+  round(cos(2 * pi() * hour(time) / 24) + 3.3e-9, 6) + 0.0::DOUBLE AS hour_cos,
+  round(sin(2 * pi() * (isodow(time) - 1) / 7) + 3.3e-9, 6) + 0.0::DOUBLE AS day_sin,
+  round(cos(2 * pi() * (isodow(time) - 1) / 7) + 3.3e-9, 6) + 0.0::DOUBLE AS day_cos,
+  round(sin(2 * pi() * month(time) / 12) + 3.3e-9, 6) + 0.0::DOUBLE AS month_sin,
+  round(cos(2 * pi() * month(time) / 12) + 3.3e-9, 6) + 0.0::DOUBLE AS month_cos,
   CAST(CASE WHEN isodow(time) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend"""
 
 WINDOWED = f"""windowed AS (
@@ -377,7 +377,7 @@ FROM tickers t WHERE t.volume_24h >= 1 ORDER BY t.volume_24h DESC, symbol LIMIT
     "ema": f"""WITH RECURSIVE {CANDLES}, {_scan((7, 25, 99))} SELECT time, symbol, timeframe,
 {', '.join(r(f'e{s}', f'ema_{s}') for s in (7, 25, 99))} FROM ema""",
     "ema_orders": f"""WITH RECURSIVE {ORDER_CANDLES}, {_scan((7, 25, 99))} SELECT time, symbol, timeframe,
-{', '.join(r(f'e{s}', f'ema_{s}') for s in (7, 25, 99))} FROM ema""",
+{', '.join(f'round(e{s} + 3.3e-9, 4) AS ema_{s}' for s in (7, 25, 99))} FROM ema""",
     "rsi": _features(["rsi_14"]),
     "macd": _features(["macd", "macd_signal", "macd_histogram"]),
     "bollinger": _windowed("bb_upper", "bb_middle", "bb_lower", "bb_width"),
@@ -482,4 +482,32 @@ CAST(samples AS INTEGER) AS test_samples FROM metrics JOIN directions USING (mod
   FROM scored s LEFT JOIN metrics m USING (model_name, symbol))
 SELECT model_name, symbol, prediction_time, {r('predicted', 'predicted')},
 {r('predicted - margin', 'confidence_lower')}, {r('predicted + margin', 'confidence_upper')} FROM banded""",
+    "src_csv_candles": f"""WITH {CANDLES} SELECT time, symbol, open, high, low, close, volume,
+{r('quote_volume', 'quote_volume')}, CAST(trades_count AS INTEGER) AS trades_count, timeframe FROM candles""",
+    "src_csv_dir": f"""WITH {CANDLES} SELECT time, symbol, open, high, low, close, volume,
+CASE WHEN time < TIMESTAMP '2024-01-15' THEN {r('quote_volume')} ELSE 0.0::DOUBLE END AS quote_volume,
+CAST(CASE WHEN time < TIMESTAMP '2024-01-15' THEN trades_count ELSE 0 END AS INTEGER) AS trades_count, timeframe
+FROM candles""",
+    "sink_csv": f"""WITH {CANDLES} SELECT replace(symbol, '/', '_') AS symbol_safe, timeframe AS frame, count(*) AS rows
+FROM candles GROUP BY 1, 2""",
+    "sink_by_day": f"WITH {CANDLES} SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM candles GROUP BY 1",
+    "sink_by_week": f"""WITH {PREDICTED} SELECT CAST(prediction_time AS DATE)
+  - CAST((CAST(prediction_time AS DATE) - DATE '1970-01-01') % 7 AS INTEGER) AS day, count(*) AS rows
+FROM predictions GROUP BY 1""",
+    "stream_ingest": f"WITH {DIRTY} SELECT DISTINCT time, symbol, timeframe, close FROM dirty",
+    "stream_fk": f"""WITH {CANDLES}, {METADATA} SELECT time, symbol, timeframe, close FROM candles
+SEMI JOIN metadata USING (symbol)""",
 }
+
+# Same content through a file or a stream: the SQL of the batch twin.
+ORACLES["sink_report"] = ORACLES["collection_report"]
+ORACLES["sink_summary"] = ORACLES["summary"]
+ORACLES["stream_latest"] = ORACLES["latest_prices"]
+ORACLES["stream_ema"] = f"""WITH RECURSIVE {FEATURES} SELECT time, symbol, timeframe, close,
+{', '.join(r(n, n) for n in ('ema_7', 'ema_25', 'ema_99', 'rsi_14', 'macd', 'macd_signal', 'macd_histogram'))}
+FROM features"""
+ORACLES["stream_daily"] = f"""WITH {CANDLES} SELECT date_trunc('day', time)::TIMESTAMP AS day, symbol, timeframe,
+{DAY_COLUMNS}, count(*) AS candles_count FROM candles
+WHERE date_trunc('day', time) < (SELECT date_trunc('day', max(time)) FROM candles) GROUP BY 1, 2, 3"""
+ORACLES["stream_upsert"] = f"""WITH {STORED} SELECT time, symbol, timeframe,
+{r('coalesce(a.close, s.close)', 'close')} FROM stored s FULL JOIN arriving a USING (time, symbol, timeframe)"""

@@ -1,0 +1,74 @@
+"""State of the running averages of one series."""
+
+from pyspark.sql.streaming import StatefulProcessor
+
+AVERAGES = (
+    "symbol string, timeframe string, time timestamp, close double, ema_7 double, ema_25 double, "
+    "ema_99 double, rsi_14 double, macd double, macd_signal double, macd_histogram double"
+)
+
+
+def averages_processor() -> StatefulProcessor:
+    """Last close and running averages per series; rows not newer than the state are dropped.
+
+    The class is built here so that it travels to the workers by value.
+    """
+    import pandas as pd
+
+    spans = {"ema_7": 7, "ema_25": 25, "ema_99": 99, "ema_12": 12, "ema_26": 26}
+    names = ("last_us", "close", *spans, "signal", "gain", "loss")
+    columns = [c.split()[0] for c in AVERAGES.split(", ")]
+
+    class RunningAverages(StatefulProcessor):
+        def init(self, handle) -> None:
+            fields = ", ".join(f"{n} {'bigint' if n == 'last_us' else 'double'}" for n in names)
+            self.state = handle.getValueState("averages", fields)
+
+        def handleInputRows(self, key, rows, timerValues):
+            batch = pd.concat(list(rows)).sort_values("time")
+            held = dict(zip(names, self.state.get())) if self.state.exists() else None
+            out = []
+            for stamp, close in zip(batch["time"], batch["close"]):
+                at = pd.Timestamp(stamp).value // 1000
+                if held is not None and at <= held["last_us"]:
+                    continue
+                held = self.advance(held, at, float(close))
+                line = held["ema_12"] - held["ema_26"]
+                averages = [held[n] for n in ("ema_7", "ema_25", "ema_99")]
+                rsi = self.strength(held["gain"], held["loss"])
+                signal = held["signal"]
+                out.append((*key, stamp, close, *averages, rsi, line, signal, line - signal))
+            if held is not None:
+                self.state.update(tuple(held[n] for n in names))
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+
+        @staticmethod
+        def strength(gain, loss):
+            if loss == 0:
+                return 100.0 if gain > 0 else None
+            return 100 - 100 / (1 + gain / loss)
+
+        @staticmethod
+        def advance(held, at, close):
+            new = {"last_us": at, "close": close}
+            if held is None:
+                new.update(dict.fromkeys(spans, close), signal=0.0, gain=0.0, loss=0.0)
+                return new
+
+            def step(name, value, span):
+                weight = 2.0 / (span + 1)
+                new[name] = weight * value + (1 - weight) * held[name]
+
+            for name, span in spans.items():
+                step(name, close, span)
+            move = close - held["close"]
+            step("gain", max(move, 0.0), 14)
+            step("loss", max(-move, 0.0), 14)
+            step("signal", new["ema_12"] - new["ema_26"], 9)
+            return new
+
+        def close(self) -> None:
+            pass
+
+    return RunningAverages()
