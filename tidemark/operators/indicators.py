@@ -18,8 +18,8 @@ from tidemark.operators.series import (
     ema_memory,
     ema_reach,
     partial,
+    rolling,
     run,
-    strict,
 )
 
 
@@ -28,14 +28,14 @@ def _previous(column: str, rows: int = 1):
 
 
 def sma_step(column="close", periods=(7, 25, 99)) -> Step:
-    layer = {f"sma_{p}": strict(F.avg, column, p) for p in periods}
-    return Step(tuple(layer), (layer,), behind=max(periods) - 1)
+    means = {f"sma_{p}": p for p in periods}
+    return Step(tuple(means), rolling(column, means), behind=max(periods) - 1)
 
 
 def ema_step(column="close", periods=(7, 25, 99)) -> Step:
     layers = ema({f"ema_{p}": (column, p) for p in periods})
     return Step(
-        tuple(layers[2]), ({}, {}, *layers), behind=max(ema_reach(p) for p in periods)
+        tuple(layers[-1]), ({}, *layers), behind=max(ema_reach(p) for p in periods)
     )
 
 
@@ -69,8 +69,8 @@ def rsi_step(column="close", period=14) -> Step:
         (name,),
         (
             {f"_delta_{name}": F.col(column) - _previous(column)},
-            moves,
-            *averages,
+            {**moves, **averages[0]},
+            *averages[1:],
             {f"_now_{name}": value},
             {name: held},
         ),
@@ -103,19 +103,17 @@ def macd_step(column="close", fast=12, slow=26, signal=9) -> Step:
         layers = (*averages, {**line, "macd_signal": averaged(fast) - averaged(slow)})
     histogram = {"macd_histogram": F.col("macd") - F.col("macd_signal")}
     return Step(
-        names, ({}, {}, *layers, histogram), behind=2 * max(ema_reach(s) for s in spans)
+        names, ({}, *layers, histogram), behind=2 * max(ema_reach(s) for s in spans)
     )
 
 
 def bollinger_step(column="close", period=20, std=2.0) -> Step:
-    middle, dev = F.col("bb_middle"), F.col("_bb_dev")
+    middle, dev = F.col("bb_middle"), F.col("_bb_dev") * std
+    windows = rolling(column, {"bb_middle": period}, {"_bb_dev": period})
     return Step(
         ("bb_upper", "bb_middle", "bb_lower", "bb_width"),
         (
-            {
-                "bb_middle": strict(F.avg, column, period),
-                "_bb_dev": strict(F.stddev_samp, column, period) * std,
-            },
+            *windows,
             {"bb_upper": middle + dev, "bb_lower": middle - dev},
             {"bb_width": F.col("bb_upper") - F.col("bb_lower")},
         ),
@@ -131,22 +129,26 @@ def atr_step(period=14) -> Step:
     averages = ema({f"atr_{period}": ("_true_range", period)})
     return Step(
         (f"atr_{period}",),
-        ({"_atr_before": _previous("close")}, {"_true_range": true_range}, *averages),
+        (
+            {"_atr_before": _previous("close")},
+            {"_true_range": true_range, **averages[0]},
+            *averages[1:],
+        ),
         behind=ema_reach(period) + 1,
     )
 
 
 def stochastic_step(period=14, smooth=3) -> Step:
     low, high = F.col("_stoch_low"), F.col("_stoch_high")
+    lows = rolling("low", extremes={"_stoch_low": (F.min, period)})
+    highs = rolling("high", extremes={"_stoch_high": (F.max, period)})
+    smoothed = rolling("stoch_k", {"stoch_d": smooth})
     return Step(
         ("stoch_k", "stoch_d"),
         (
-            {
-                "_stoch_low": strict(F.min, "low", period),
-                "_stoch_high": strict(F.max, "high", period),
-            },
+            *[{**a, **b} for a, b in zip(lows, highs)],
             {"stoch_k": 100 * ratio(F.col("close") - low, high - low)},
-            {"stoch_d": strict(F.avg, "stoch_k", smooth)},
+            *smoothed,
         ),
         behind=period + smooth - 2,
     )
@@ -192,16 +194,11 @@ def candle_shape_step() -> Step:
 def volume_step(short=7, long=25) -> Step:
     names = (f"volume_sma_{short}", f"volume_sma_{long}", "volume_ratio", "vwap")
     typical = (F.col("high") + F.col("low") + F.col("close")) / 3
+    parts, merged, means = rolling("volume", {names[0]: short, names[1]: long})
+    means["vwap"] = ratio(F.col("_traded"), F.col("_volume"))
     return Step(
         names,
-        (
-            {
-                names[0]: strict(F.avg, "volume", short),
-                names[1]: strict(F.avg, "volume", long),
-                "vwap": ratio(F.col("_traded"), F.col("_volume")),
-            },
-            {"volume_ratio": ratio(F.col("volume"), F.col(names[1]))},
-        ),
+        (parts, merged, means, {"volume_ratio": ratio(F.col("volume"), F.col(names[1]))}),
         behind=max(short, long) - 1,
         totals={
             "_traded": F.col("volume") * typical,
@@ -212,14 +209,17 @@ def volume_step(short=7, long=25) -> Step:
 
 def volatility_step(windows=(7, 14, 30)) -> Step:
     """Sample deviation of returns and of closes over trailing windows."""
-    of_returns = {f"volatility_{w}": strict(F.stddev_samp, "_vol_return", w) for w in windows}
-    of_prices = {f"price_volatility_{w}": strict(F.stddev_samp, "close", w) for w in windows}
+    of_returns = {f"volatility_{w}": w for w in windows}
+    of_prices = {f"price_volatility_{w}": w for w in windows}
+    prices = rolling("close", deviations=of_prices)
+    returns = rolling("_vol_return", deviations=of_returns)
     return Step(
         (*of_returns, *of_prices),
         (
-            {"_vol_before": _previous("close"), **of_prices},
-            {"_vol_return": pct_change(F.col("close"), F.col("_vol_before"))},
-            of_returns,
+            {"_vol_before": _previous("close"), **prices[0]},
+            {"_vol_return": pct_change(F.col("close"), F.col("_vol_before")), **prices[1]},
+            {**prices[2], **returns[0]},
+            *returns[1:],
         ),
         behind=max(windows),
     )

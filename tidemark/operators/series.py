@@ -20,6 +20,7 @@ Exponential averages are computed inside a block as weighted prefix sums
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -151,15 +152,87 @@ def run(
     return out.where("_own").select(*kept, *adds)
 
 
-def strict(fn: Callable, column, rows: int, keys=SERIES) -> Column:
-    """``fn`` over the last ``rows`` rows, NULL unless all of them hold a value."""
-    frame = block_window(keys).rowsBetween(1 - rows, 0)
-    return F.when(F.count(column).over(frame) >= rows, fn(column).over(frame))
+def _frame(rows: int, keys=SERIES):
+    return block_window(keys).rowsBetween(1 - rows, 0)
+
+
+def full_window(column: str, rows: int) -> Column:
+    """True where the last ``rows`` rows exist and hold a value (needs the ``rolling`` layers)."""
+    gap = F.col(f"_gap_{column}")
+    return (F.col("_pos") >= rows - 1) & (gap.isNull() | (F.col("_pos") - gap >= rows))
+
+
+def rolling(column: str, means=None, deviations=None, extremes=None, keys=SERIES) -> tuple:
+    """Three layers with strict trailing windows of ``column``: NULL unless every row holds a value.
+
+    ``means`` and ``deviations`` (sample) map names to rows; ``extremes`` maps
+    names to (function, rows). A frame costs its length per row, so a long
+    window is merged from equal parts: its sum is the sum of its parts, and its
+    squared deviations are those inside the parts plus those of the part means.
+    Parts are plain short frames, so nothing cancels.
+    """
+    means, deviations, extremes = means or {}, deviations or {}, extremes or {}
+    gap = F.last(F.when(F.col(column).isNull(), F.col("_pos")), ignorenulls=True).over(
+        block_window(keys).rowsBetween(W.unboundedPreceding, 0)
+    )
+    parts, merged, done = {f"_gap_{column}": gap}, {}, {}
+
+    def part(kind, rows, expr):
+        name = f"_{kind}_{column}_{rows}"
+        parts[name] = expr.over(_frame(rows, keys))
+        return name
+
+    def earlier(name, rows, count):
+        window = block_window(keys)
+        return [F.col(name)] + [F.lag(name, i * rows).over(window) for i in range(1, count)]
+
+    def keep(name, expr):
+        merged[name] = expr
+        return F.col(name)
+
+    def total(columns):
+        return reduce(lambda x, y: x + y, columns)
+
+    for name, rows in means.items():
+        size = _part_rows(rows)
+        sums = earlier(part("sum", size, F.sum(column)), size, rows // size)
+        mean = keep(f"_of_{name}", total(sums) / rows)
+        done[name] = F.when(full_window(column, rows), mean)
+    for name, rows in deviations.items():
+        size = _part_rows(rows)
+        count = rows // size
+        sum_name = part("sum", size, F.sum(column))
+        means_of = [
+            keep(f"{sum_name}_{i}", m) / size for i, m in enumerate(earlier(sum_name, size, count))
+        ]
+        inside = keep(
+            f"_of_{name}", total(earlier(part("var", size, F.var_pop(column)), size, count))
+        )
+        center = total(means_of) / count
+        between = total([(m - center) * (m - center) for m in means_of])
+        squares = (inside + between) * size
+        done[name] = F.when(
+            full_window(column, rows) & F.lit(rows > 1), F.sqrt(squares / max(rows - 1, 1))
+        )
+    for name, (fn, rows) in extremes.items():
+        size = _part_rows(rows)
+        values = earlier(part(fn.__name__, size, fn(column)), size, rows // size)
+        best = values[0] if len(values) == 1 else _EXTREMES[fn.__name__](*values)
+        done[name] = F.when(full_window(column, rows), keep(f"_of_{name}", best))
+    return parts, merged, done
+
+
+def _part_rows(rows: int) -> int:
+    """The largest divisor up to 11, or the whole window where there is none."""
+    return next((d for d in range(min(rows, 11), 1, -1) if rows % d == 0), rows)
+
+
+_EXTREMES = {"min": F.least, "max": F.greatest}
 
 
 def partial(fn: Callable, column, rows: int, keys=SERIES) -> Column:
     """``fn`` over the last ``rows`` rows, or over fewer at the head of the series."""
-    return fn(column).over(block_window(keys).rowsBetween(1 - rows, 0))
+    return fn(column).over(_frame(rows, keys))
 
 
 def _decay(span: int) -> float:
@@ -184,16 +257,16 @@ def ema_memory(span: int) -> int:
 
 
 def ema(averages: dict, keys=SERIES) -> tuple:
-    """Three layers that add ``e_t = a*x_t + (1-a)*e_{t-1}``, ``e_0 = x_0``, for ``{name: (x, span)}``.
+    """Four layers that add ``e_t = a*x_t + (1-a)*e_{t-1}``, ``e_0 = x_0``, for ``{name: (x, span)}``.
 
     ``x`` must hold a value in every row. Inside a segment of positions the
-    average is ``q**j * sum(u_i * q**-i)``; what came earlier enters through
+    average is ``q**j * sum(u_i / q**i)``; what came earlier enters through
     the last value of the previous segment, older ones have faded out.
     """
-    inner, ends, values = {}, {}, {}
+    decays, inner, ends, values = {}, {}, {}, {}
     block = block_window(keys).rowsBetween(W.unboundedPreceding, -1)
     for name, (x, span) in averages.items():
-        x = (F.col(x) if isinstance(x, str) else x).cast("double")
+        x = F.col(x).cast("double")
         if span <= 1:
             values[name] = x
             continue
@@ -206,9 +279,10 @@ def ema(averages: dict, keys=SERIES) -> tuple:
             .orderBy("_pos")
             .rowsBetween(W.unboundedPreceding, 0)
         )
+        local, end, decay = f"_in_{name}", f"_end_{name}", f"_decay_{span}"
         entry = F.when(F.col("_pos") == 0, x).otherwise(x * (1.0 - q))
-        local, end = f"_in_{name}", f"_end_{name}"
-        inner[local] = F.pow(F.lit(q), j) * F.sum(entry * F.pow(F.lit(q), -j)).over(here)
+        decays[decay] = F.pow(F.lit(q), j)
+        inner[local] = F.col(decay) * F.sum(entry / F.col(decay)).over(here)
         ends[end] = F.last(F.when(j == rows - 1, F.col(local)), ignorenulls=True).over(block)
-        values[name] = F.col(local) + F.coalesce(F.col(end), F.lit(0.0)) * F.pow(F.lit(q), j + 1)
-    return inner, ends, values
+        values[name] = F.col(local) + F.coalesce(F.col(end), F.lit(0.0)) * F.col(decay) * q
+    return decays, inner, ends, values

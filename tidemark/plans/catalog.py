@@ -13,7 +13,7 @@ from tidemark.operators import bars, lookups, quality, stats, tables
 from tidemark.operators import indicators as ind
 from tidemark.plans import features, learning, market
 from tidemark.schemas import SERIES, STORED_FEATURES
-from tidemark.session import broadcast_if_small, scratch_dir
+from tidemark.session import broadcast_if_small, configure, scratch_dir
 from tidemark.sources import candles as files
 from tidemark.streaming import jobs
 
@@ -40,7 +40,7 @@ def query(fn):
     """Register ``fn(spark, sf_dir)`` under its own name."""
 
     def registered(spark, sf_dir):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        configure(spark)
         return rounded(fn(spark, sf_dir))
 
     QUERIES[fn.__name__] = registered

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+# The JVM does not compile methods above 8000 bytes: wide stages then split up instead of being interpreted.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def configure(spark) -> None:
+    """Apply the settings the operators rely on to a running session."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+
+
 def build_session(master=None, app="tidemark", shuffle_partitions=None):
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    for name, value in SETTINGS.items():
+        builder = builder.config(name, value)
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
