@@ -38,7 +38,7 @@ CANDLES = _table(
     ("created_at", T.TimestampType(), True),
 )
 
-# The file layout of a candle CSV; _corrupt keeps the text of a line that does not parse.
+# The columns of a candle CSV.
 CANDLE_FILE = _table(
     ("timestamp", T.TimestampType(), True),
     ("open", T.DoubleType(), True),
@@ -49,7 +49,6 @@ CANDLE_FILE = _table(
     ("symbol", T.StringType(), True),
     ("quote_volume", T.DoubleType(), True),
     ("trades_count", T.IntegerType(), True),
-    ("_corrupt", T.StringType(), True),
 )
 REQUIRED_FILE_COLUMNS = ("timestamp", "open", "high", "low", "close", "volume", "symbol")
 

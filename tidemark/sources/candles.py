@@ -12,10 +12,9 @@ from tidemark.schemas import CANDLE_FILE, REQUIRED_FILE_COLUMNS
 LAYOUT_LIMIT = 100
 
 
-def _schema(columns):
-    known = {f.name: f for f in CANDLE_FILE.fields}
-    fields = [known.get(c) or T.StructField(c, T.StringType(), True) for c in columns]
-    return T.StructType(fields + [known["_corrupt"]])
+def _text_schema(columns):
+    # Text first: whether a line parses must not depend on the columns a query happens to read.
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in (*columns, "_corrupt")])
 
 
 def file_layouts(spark: SparkSession, path: str) -> dict:
@@ -59,11 +58,8 @@ def read_candle_csv(
         }
     frames = [_read_layout(spark, header, files, timeframe) for header, files in layouts.items()]
     if not frames:
-        empty = spark.createDataFrame([], CANDLE_FILE)
-        rows = empty.drop("_corrupt").withColumn("timeframe", F.lit(timeframe))
-        return rows.withColumnRenamed("timestamp", "time"), empty.select(
-            F.col("_corrupt").alias("line"), F.lit("").alias("file")
-        )
+        # No file qualifies: the same columns without rows.
+        frames = [_read_layout(spark, REQUIRED_FILE_COLUMNS, [], timeframe)]
     rows, bad = frames[0]
     for more, more_bad in frames[1:]:
         rows, bad = rows.unionByName(more), bad.unionByName(more_bad)
@@ -72,40 +68,53 @@ def read_candle_csv(
 
 def _read_layout(spark, header, files, timeframe):
     raw = (
-        spark.read.schema(_schema(header))
+        spark.read.schema(_text_schema(header))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("columnPruning", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .option("recursiveFileLookup", False)
         .csv(files)
     )
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
     names = "|".join(TIMEFRAME_SECONDS)
     from_name = F.nullif(F.regexp_extract(stem, rf"_({names})(_|$)", 1), F.lit(""))
-    parsed = raw.select("*", stem.alias("_stem"), from_name.alias("_frame"), F.col("_metadata.file_path").alias("_file"))
-    have = set(header)
+    typed = {
+        f.name: f.dataType
+        for f in CANDLE_FILE.fields
+        if f.name in header and not isinstance(f.dataType, T.StringType)
+    }
+    bad_field = F.col("_corrupt").isNotNull()
+    for name, kind in typed.items():
+        parsed = F.col(name).try_cast(kind)
+        required = name in REQUIRED_FILE_COLUMNS
+        bad_field |= parsed.isNull() if required else parsed.isNull() & F.col(name).isNotNull()
+    marked = raw.select(
+        "*",
+        stem.alias("_stem"),
+        from_name.alias("_frame"),
+        F.col("_metadata.file_path").alias("_file"),
+        bad_field.alias("_bad"),
+    )
 
-    def optional(name, kind):
-        return (F.col(name) if name in have else F.lit(None).cast(kind)).alias(name)
+    def value(name):
+        if name in typed:
+            return F.col(name).try_cast(typed[name]).alias(name)
+        return F.lit(None).cast(CANDLE_FILE[name].dataType).alias(name)
 
-    own_symbol = F.col("symbol") if "symbol" in have else F.lit(None).cast("string")
-    own_frame = F.col("timeframe") if "timeframe" in have else F.lit(None).cast("string")
-    good = parsed.where(F.col("_corrupt").isNull() & F.col("timestamp").isNotNull())
-    rows = good.select(
-        F.col("timestamp").alias("time"),
+    own_symbol = F.col("symbol") if "symbol" in header else F.lit(None).cast("string")
+    own_frame = F.col("timeframe") if "timeframe" in header else F.lit(None).cast("string")
+    rows = marked.where(~F.col("_bad")).select(
+        value("timestamp").alias("time"),
         F.coalesce(own_symbol, F.col("_stem")).alias("symbol"),
-        "open",
-        "high",
-        "low",
-        "close",
-        "volume",
-        optional("quote_volume", "double"),
-        optional("trades_count", "int"),
+        *[value(c) for c in ("open", "high", "low", "close", "volume")],
+        value("quote_volume"),
+        value("trades_count"),
         F.coalesce(own_frame, F.col("_frame"), F.lit(timeframe)).alias("timeframe"),
     )
-    bad = parsed.where(F.col("_corrupt").isNotNull() | F.col("timestamp").isNull())
-    return rows, bad.select(F.col("_corrupt").alias("line"), F.col("_file").alias("file"))
+    line = F.coalesce(F.col("_corrupt"), F.to_csv(F.struct(*[F.col(c) for c in header])))
+    bad = marked.where("_bad").select(line.alias("line"), F.col("_file").alias("file"))
+    return rows, bad
 
 
 def write_candle_csv(candles: DataFrame, path: str) -> None:
