@@ -62,6 +62,24 @@ def test_running_averages_equal_batch(spark, tmp_path):
             pd.testing.assert_series_equal(mine[name].astype(float), want[name], check_names=False, rtol=1e-9, atol=1e-9)
 
 
+def test_batchwise_averages_equal_one_pass(spark, tmp_path):
+    still = walk("A", 400, seed=1)
+    still.loc[200:260, "close"] = still.loc[199, "close"]
+    pdf = pd.concat([still, walk("B", 90, seed=2)]).sort_values("time")
+    stream = feed(spark, tmp_path / "in", pdf[:50], pdf[50:51], pdf[40:300], pdf[300:])
+    folder = str(tmp_path / "averages")
+    jobs.run_to_end(stream, foreach=jobs.averages_by_batch(folder, chunk_rows=30))
+    got = jobs.read_averages(spark, folder).toPandas()
+    for symbol in "AB":
+        want = expected_features(pdf[pdf["symbol"] == symbol].reset_index(drop=True))
+        mine = got[got["symbol"] == symbol].sort_values("time").reset_index(drop=True)
+        assert len(mine) == len(want)
+        for name in ("ema_7", "ema_25", "ema_99", "rsi_14", "macd", "macd_signal", "macd_histogram"):
+            pd.testing.assert_series_equal(
+                mine[name].astype(float), want[name], check_names=False, rtol=1e-9, atol=1e-9
+            )
+
+
 def test_stream_upsert_into_days(spark, tmp_path):
     target = str(tmp_path / "table")
     pdf = walk("A", 60)

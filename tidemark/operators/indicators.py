@@ -20,6 +20,7 @@ from tidemark.operators.series import (
     partial,
     rolling,
     run,
+    twice_averaged,
 )
 
 
@@ -39,6 +40,14 @@ def ema_step(column="close", periods=(7, 25, 99)) -> Step:
     )
 
 
+def relative_strength(gain, loss):
+    return (
+        F.when((loss == 0) & (gain > 0), 100.0)
+        .when(loss == 0, None)
+        .otherwise(100 - 100 / (1 + ratio(gain, loss)))
+    )
+
+
 def rsi_step(column="close", period=14) -> Step:
     """100 - 100/(1 + gain/loss) with exponential averages of gains and losses.
 
@@ -57,11 +66,7 @@ def rsi_step(column="close", period=14) -> Step:
             f"_avg_loss_{name}": (f"_loss_{name}", period),
         }
     )
-    value = (
-        F.when((loss == 0) & (gain > 0), 100.0)
-        .when(loss == 0, None)
-        .otherwise(100 - 100 / (1 + ratio(gain, loss)))
-    )
+    value = relative_strength(gain, loss)
     held = F.last(f"_now_{name}", ignorenulls=True).over(
         block_window().rowsBetween(W.unboundedPreceding, 0)
     )
@@ -90,11 +95,8 @@ def macd_step(column="close", fast=12, slow=26, signal=9) -> Step:
     line = {"macd": F.col(f"_macd_ema_{fast}") - F.col(f"_macd_ema_{slow}")}
 
     def averaged(span):
-        a, b = 2.0 / (span + 1), 2.0 / (signal + 1)
-        return (
-            F.col(f"_macd_ema_{span}") * (b * (1 - a))
-            - F.col(f"_macd_ema_{signal}") * (a * (1 - b))
-        ) / (b - a)
+        of_signal = F.col(f"_macd_ema_{signal}")
+        return twice_averaged(F.col(f"_macd_ema_{span}"), of_signal, span, signal)
 
     if signal in (fast, slow):
         second = ema({"macd_signal": ("macd", signal)})

@@ -256,10 +256,20 @@ def ema_memory(span: int) -> int:
     return 1 if span <= 1 else math.ceil(745.2 / -math.log(_decay(span)))
 
 
-def ema(averages: dict, keys=SERIES) -> tuple:
+def twice_averaged(of_span: Column, of_signal: Column, span: int, signal: int) -> Column:
+    """The ``signal`` average of the ``span`` average, from the two averages of the same input.
+
+    The product of two different geometric filters is a weighted difference of both.
+    """
+    a, b = 2.0 / (span + 1), 2.0 / (signal + 1)
+    return (of_span * (b * (1 - a)) - of_signal * (a * (1 - b))) / (b - a)
+
+
+def ema(averages: dict, keys=SERIES, seeds: dict | None = None) -> tuple:
     """Four layers that add ``e_t = a*x_t + (1-a)*e_{t-1}``, ``e_0 = x_0``, for ``{name: (x, span)}``.
 
-    ``x`` must hold a value in every row. Inside a segment of positions the
+    ``seeds`` maps names to columns with the value before the first row, NULL
+    where there is none. ``x`` must hold a value in every row. Inside a segment of positions the
     average is ``q**j * sum(u_i / q**i)``; what came earlier enters through
     the last value of the previous segment, older ones have faded out.
     """
@@ -280,7 +290,10 @@ def ema(averages: dict, keys=SERIES) -> tuple:
             .rowsBetween(W.unboundedPreceding, 0)
         )
         local, end, decay = f"_in_{name}", f"_end_{name}", f"_decay_{span}"
-        entry = F.when(F.col("_pos") == 0, x).otherwise(x * (1.0 - q))
+        first = x
+        if seeds:
+            first = F.coalesce(x * (1.0 - q) + F.col(seeds[name]) * q, x)
+        entry = F.when(F.col("_pos") == 0, first).otherwise(x * (1.0 - q))
         decays[decay] = F.pow(F.lit(q), j)
         inner[local] = F.col(decay) * F.sum(entry / F.col(decay)).over(here)
         ends[end] = F.last(F.when(j == rows - 1, F.col(local)), ignorenulls=True).over(block)

@@ -765,6 +765,13 @@ def stream_ema(spark, sf):
     return jobs.run_to_end(jobs.running_averages(_candle_stream(spark, sf)))
 
 
+@query
+def stream_ema_batches(spark, sf):
+    folder = scratch_dir(spark, "averages")
+    jobs.run_to_end(_candle_stream(spark, sf), foreach=jobs.averages_by_batch(folder))
+    return jobs.read_averages(spark, folder)
+
+
 @query
 def stream_fk(spark, sf):
     stream = jobs.known_only(_candle_stream(spark, sf), market.metadata(spark, sf))

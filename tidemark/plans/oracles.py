@@ -506,6 +506,7 @@ ORACLES["stream_latest"] = ORACLES["latest_prices"]
 ORACLES["stream_ema"] = f"""WITH RECURSIVE {FEATURES} SELECT time, symbol, timeframe, close,
 {', '.join(r(n, n) for n in ('ema_7', 'ema_25', 'ema_99', 'rsi_14', 'macd', 'macd_signal', 'macd_histogram'))}
 FROM features"""
+ORACLES["stream_ema_batches"] = ORACLES["stream_ema"]
 ORACLES["stream_daily"] = f"""WITH {CANDLES} SELECT date_trunc('day', time)::TIMESTAMP AS day, symbol, timeframe,
 {DAY_COLUMNS}, count(*) AS candles_count FROM candles
 WHERE date_trunc('day', time) < (SELECT date_trunc('day', max(time)) FROM candles) GROUP BY 1, 2, 3"""

@@ -1,8 +1,19 @@
 """The incremental jobs as Structured Streaming; each equals its batch twin on the same closed input."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.indicators import relative_strength
+from tidemark.operators.series import (
+    Step,
+    block_window,
+    ema,
+    ema_memory,
+    ema_reach,
+    run,
+    twice_averaged,
+)
 from tidemark.operators.tables import upsert
 from tidemark.schemas import CANDLE_KEY, SERIES
 from tidemark.session import broadcast_if_small, scratch_dir
@@ -56,8 +67,12 @@ def known_only(candles: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def running_averages(candles: DataFrame) -> DataFrame:
-    """EMA, RSI and MACD per series as candles arrive. Needs the RocksDB state store and
-    input in time order across batches; late rows belong to :func:`upsert_days`."""
+    """EMA, RSI and MACD per series as candles arrive, for many series and small batches.
+
+    A batch of one series is handled by one task; where a series may fill a
+    batch, use :func:`averages_by_batch`. Needs the RocksDB state store and input
+    in time order across batches; late rows belong to :func:`upsert_days`.
+    """
     return (
         candles.select(*SERIES, F.col("time").cast("timestamp").alias("time"), "close")
         .groupBy(*SERIES)
@@ -70,6 +85,95 @@ def running_averages(candles: DataFrame) -> DataFrame:
     )
 
 
+_HELD = ("ema_7", "ema_25", "ema_99", "ema_9", "ema_12", "ema_26", "gain", "loss")
+_SEEDS = ("time", "close", *_HELD, "rsi_14")
+_RESULTS = ("ema_7", "ema_25", "ema_99", "rsi_14", "macd", "macd_signal", "macd_histogram")
+
+
+def _seeded_averages() -> Step:
+    """EMA, RSI and MACD of a batch that go on from the ``_was_`` columns of the series."""
+    before = F.coalesce(F.lag("close").over(block_window()), F.col("_was_close"))
+    delta = F.coalesce(F.col("close") - F.col("_before"), F.lit(0.0))
+    moves = {"_gain": F.greatest(delta, F.lit(0.0)), "_loss": F.greatest(-delta, F.lit(0.0))}
+    averages = ema(
+        {
+            **{n: ("close", int(n.split("_")[1])) for n in _HELD if n.startswith("ema_")},
+            "gain": ("_gain", 14),
+            "loss": ("_loss", 14),
+        },
+        seeds={n: f"_was_{n}" for n in _HELD},
+    )
+    of_signal = F.col("ema_9")
+    signal = twice_averaged(F.col("ema_12"), of_signal, 12, 9) - twice_averaged(
+        F.col("ema_26"), of_signal, 26, 9
+    )
+    so_far = block_window().rowsBetween(W.unboundedPreceding, 0)
+    return Step(
+        (*_HELD, *[n for n in _RESULTS if n not in _HELD]),
+        (
+            {"_before": before},
+            {**moves, **averages[0]},
+            *averages[1:],
+            {
+                "_rsi": relative_strength(F.col("gain"), F.col("loss")),
+                "macd": F.col("ema_12") - F.col("ema_26"),
+                "macd_signal": signal,
+            },
+            {
+                "rsi_14": F.coalesce(
+                    F.last("_rsi", ignorenulls=True).over(so_far), F.col("_was_rsi_14")
+                ),
+                "macd_histogram": F.col("macd") - F.col("macd_signal"),
+            },
+        ),
+        behind=max(ema_memory(14) + ema_reach(14) + 1, ema_reach(99)),
+    )
+
+
+def averages_by_batch(folder: str, **layout):
+    """A ``foreachBatch`` function: the running averages of each batch, under ``folder/out``.
+
+    The same results as :func:`running_averages`, without a task per series: a
+    batch is laid out in blocks like a table and goes on from the last values of
+    each series, one row per series under ``folder/state``. Both are written
+    per batch, so a repeated batch replaces its own output.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stage = f"{scratch_dir(spark, 'averages')}/{batch_id}"
+        batch.select(*SERIES, "time", "close").write.parquet(stage)
+        rows = spark.read.parquet(stage)
+        before = f"{folder}/state/v={batch_id - 1}"
+        known = _exists(spark, before)
+        if known:
+            state = spark.read.parquet(before)
+            was = state.select(*SERIES, *[F.col(n).alias(f"_was_{n}") for n in _SEEDS])
+            rows = rows.join(broadcast_if_small(was), list(SERIES), "left")
+            rows = rows.where(F.col("_was_time").isNull() | (F.col("time") > F.col("_was_time")))
+        else:
+            nothing = {f"_was_{n}": F.lit(None).cast("double") for n in _SEEDS}
+            rows = rows.withColumns(nothing)
+        made = run(rows, [_seeded_averages()], **layout).select(
+            *SERIES, "time", "close", *dict.fromkeys((*_HELD, *_RESULTS))
+        )
+        made.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        held = spark.read.parquet(f"{folder}/out/batch={batch_id}").select(*SERIES, *_SEEDS)
+        if known:
+            held = held.unionByName(state)
+        rest = [n for n in _SEEDS if n != "time"]
+        newest = held.groupBy(*SERIES).agg(
+            F.max("time").alias("time"), *[F.max_by(n, "time").alias(n) for n in rest]
+        )
+        newest.write.mode("overwrite").parquet(f"{folder}/state/v={batch_id}")
+
+    return apply
+
+
+def read_averages(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/out").select(*SERIES, "time", "close", *_RESULTS)
+
+
 def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time"):
     """A ``foreachBatch`` function that upserts each batch into the day chunks it touches.
 
