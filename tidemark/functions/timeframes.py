@@ -49,25 +49,29 @@ def plus_seconds(time: Column, seconds: Column) -> Column:
     return time + F.make_dt_interval(secs=seconds)
 
 
-def calendar_columns(time: Column) -> dict:
-    """Date parts (Monday is 0), their sine/cosine pairs and the weekend flag."""
-    hour, dow, month = F.hour(time), F.weekday(time), F.month(time)
+def calendar_sql(time: str) -> dict:
+    """Date parts (Monday is 0), their sine/cosine pairs and the weekend flag, as SQL expressions."""
+    hour, dow, month = f"hour({time})", f"weekday({time})", f"month({time})"
 
     def wave(fn, part, period):
-        return fn(2 * F.pi() * part / period)
+        return f"{fn}(2 * pi() * {part} / {period})"
 
     return {
         "hour": hour,
         "day_of_week": dow,
-        "day_of_month": F.dayofmonth(time),
+        "day_of_month": f"dayofmonth({time})",
         "month": month,
-        "quarter": F.quarter(time),
-        "year": F.year(time),
-        "hour_sin": wave(F.sin, hour, 24),
-        "hour_cos": wave(F.cos, hour, 24),
-        "day_sin": wave(F.sin, dow, 7),
-        "day_cos": wave(F.cos, dow, 7),
-        "month_sin": wave(F.sin, month, 12),
-        "month_cos": wave(F.cos, month, 12),
-        "is_weekend": dow.isin(5, 6).cast("int"),
+        "quarter": f"quarter({time})",
+        "year": f"year({time})",
+        "hour_sin": wave("sin", hour, 24),
+        "hour_cos": wave("cos", hour, 24),
+        "day_sin": wave("sin", dow, 7),
+        "day_cos": wave("cos", dow, 7),
+        "month_sin": wave("sin", month, 12),
+        "month_cos": wave("cos", month, 12),
+        "is_weekend": f"CAST({dow} IN (5, 6) AS INT)",
     }
+
+
+def calendar_columns(time: str) -> dict:
+    return {name: F.expr(sql) for name, sql in calendar_sql(time).items()}

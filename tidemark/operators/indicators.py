@@ -6,26 +6,30 @@ functions run one step on a frame of candles. Several steps share one layout
 """
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import pct_change, ratio
-from tidemark.functions.timeframes import calendar_columns
+from tidemark.functions.timeframes import calendar_columns, calendar_sql
 from tidemark.operators.series import (
+    RUNNING,
     Step,
-    block_window,
     ema,
     ema_memory,
     ema_reach,
-    partial,
+    over_block,
     rolling,
     run,
+    trailing,
     twice_averaged,
 )
 
 
-def _previous(column: str, rows: int = 1):
-    return F.lag(column, rows).over(block_window())
+def _previous(column: str, rows: int = 1) -> str:
+    return f"lag({column}, {rows}) {over_block()}"
+
+
+def _change(value: str, before: str) -> str:
+    """Relative change, NULL without a previous value or after a zero."""
+    return f"try_divide({value}, {before}) - 1"
 
 
 def sma_step(column="close", periods=(7, 25, 99)) -> Step:
@@ -40,14 +44,21 @@ def ema_step(column="close", periods=(7, 25, 99)) -> Step:
     )
 
 
-def relative_strength(gain, loss):
+def relative_strength(gain: str, loss: str) -> str:
     return (
-        F.when((loss == 0) & (gain > 0), 100.0)
-        .when(loss == 0, None)
-        .otherwise(100 - 100 / (1 + ratio(gain, loss)))
+        f"CASE WHEN {loss} = 0 AND {gain} > 0 THEN 100D WHEN {loss} = 0 THEN NULL "
+        f"ELSE 100 - 100 / (1 + try_divide({gain}, {loss})) END"
     )
 
 
+def moves(delta: str, gain: str, loss: str) -> dict:
+    """Gains and losses of a change, both 0 where there is none."""
+    return {
+        gain: f"CASE WHEN {delta} > 0 THEN {delta} ELSE 0D END",
+        loss: f"CASE WHEN {delta} < 0 THEN -{delta} ELSE 0D END",
+    }
+
+
 def rsi_step(column="close", period=14) -> Step:
     """100 - 100/(1 + gain/loss) with exponential averages of gains and losses.
 
@@ -55,29 +66,18 @@ def rsi_step(column="close", period=14) -> Step:
     averages alike and leaves their ratio as it was, until they underflow.
     """
     name = f"rsi_{period}"
-    delta, gain, loss = (F.col(f"_{n}_{name}") for n in ("delta", "avg_gain", "avg_loss"))
-    moves = {
-        f"_gain_{name}": F.when(delta > 0, delta).otherwise(0.0),
-        f"_loss_{name}": F.when(delta < 0, -delta).otherwise(0.0),
-    }
-    averages = ema(
-        {
-            f"_avg_gain_{name}": (f"_gain_{name}", period),
-            f"_avg_loss_{name}": (f"_loss_{name}", period),
-        }
-    )
-    value = relative_strength(gain, loss)
-    held = F.last(f"_now_{name}", ignorenulls=True).over(
-        block_window().rowsBetween(W.unboundedPreceding, 0)
+    delta, gain, loss, up, down, now = (
+        f"_{n}_{name}" for n in ("delta", "gain", "loss", "up", "down", "now")
     )
+    averages = ema({up: (gain, period), down: (loss, period)})
     return Step(
         (name,),
         (
-            {f"_delta_{name}": F.col(column) - _previous(column)},
-            {**moves, **averages[0]},
+            {delta: f"{column} - {_previous(column)}"},
+            {**moves(delta, gain, loss), **averages[0]},
             *averages[1:],
-            {f"_now_{name}": value},
-            {name: held},
+            {now: relative_strength(up, down)},
+            {name: f"last({now}, true) {over_block(RUNNING)}"},
         ),
         behind=ema_memory(period) + ema_reach(period) + 1,
     )
@@ -86,49 +86,45 @@ def rsi_step(column="close", period=14) -> Step:
 def macd_step(column="close", fast=12, slow=26, signal=9) -> Step:
     """Fast minus slow average, its own average (the signal) and their difference.
 
-    An average of an average with different spans is a weighted difference of
-    the two averages of the input, so the signal needs no second scan.
+    The signal follows from averages of the input, so it needs no second scan.
     """
     spans = sorted({fast, slow, signal})
-    names = ("macd", "macd_signal", "macd_histogram")
     averages = ema({f"_macd_ema_{s}": (column, s) for s in spans})
-    line = {"macd": F.col(f"_macd_ema_{fast}") - F.col(f"_macd_ema_{slow}")}
+    line = {"macd": f"_macd_ema_{fast} - _macd_ema_{slow}"}
 
     def averaged(span):
-        of_signal = F.col(f"_macd_ema_{signal}")
-        return twice_averaged(F.col(f"_macd_ema_{span}"), of_signal, span, signal)
+        return twice_averaged(f"_macd_ema_{span}", f"_macd_ema_{signal}", span, signal)
 
     if signal in (fast, slow):
-        second = ema({"macd_signal": ("macd", signal)})
-        layers = (*averages, line, *second)
+        layers = (*averages, line, *ema({"macd_signal": ("macd", signal)}))
     else:
-        layers = (*averages, {**line, "macd_signal": averaged(fast) - averaged(slow)})
-    histogram = {"macd_histogram": F.col("macd") - F.col("macd_signal")}
+        layers = (*averages, {**line, "macd_signal": f"{averaged(fast)} - {averaged(slow)}"})
     return Step(
-        names, ({}, *layers, histogram), behind=2 * max(ema_reach(s) for s in spans)
+        ("macd", "macd_signal", "macd_histogram"),
+        ({}, *layers, {"macd_histogram": "macd - macd_signal"}),
+        behind=2 * max(ema_reach(s) for s in spans),
     )
 
 
 def bollinger_step(column="close", period=20, std=2.0) -> Step:
-    middle, dev = F.col("bb_middle"), F.col("_bb_dev") * std
     windows = rolling(column, {"bb_middle": period}, {"_bb_dev": period})
     return Step(
         ("bb_upper", "bb_middle", "bb_lower", "bb_width"),
         (
             *windows,
-            {"bb_upper": middle + dev, "bb_lower": middle - dev},
-            {"bb_width": F.col("bb_upper") - F.col("bb_lower")},
+            {
+                "bb_upper": f"bb_middle + _bb_dev * {float(std)!r}D",
+                "bb_lower": f"bb_middle - _bb_dev * {float(std)!r}D",
+            },
+            {"bb_width": "bb_upper - bb_lower"},
         ),
         behind=period - 1,
     )
 
 
 def atr_step(period=14) -> Step:
-    before = F.col("_atr_before")
-    true_range = F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)
-    )
     averages = ema({f"atr_{period}": ("_true_range", period)})
+    true_range = "greatest(high - low, abs(high - _atr_before), abs(low - _atr_before))"
     return Step(
         (f"atr_{period}",),
         (
@@ -141,28 +137,28 @@ def atr_step(period=14) -> Step:
 
 
 def stochastic_step(period=14, smooth=3) -> Step:
-    low, high = F.col("_stoch_low"), F.col("_stoch_high")
-    lows = rolling("low", extremes={"_stoch_low": (F.min, period)})
-    highs = rolling("high", extremes={"_stoch_high": (F.max, period)})
-    smoothed = rolling("stoch_k", {"stoch_d": smooth})
+    lows = rolling("low", extremes={"_stoch_low": ("min", period)})
+    highs = rolling("high", extremes={"_stoch_high": ("max", period)})
     return Step(
         ("stoch_k", "stoch_d"),
         (
             *[{**a, **b} for a, b in zip(lows, highs)],
-            {"stoch_k": 100 * ratio(F.col("close") - low, high - low)},
-            *smoothed,
+            {"stoch_k": "100 * try_divide(close - _stoch_low, _stoch_high - _stoch_low)"},
+            *rolling("stoch_k", {"stoch_d": smooth}),
         ),
         behind=period + smooth - 2,
     )
 
 
 def returns_step() -> Step:
-    change = ratio(F.col("close"), F.col("_return_before"))
     return Step(
         ("returns", "log_returns"),
         (
-            {"_return_before": _previous("close")},
-            {"returns": change - 1, "log_returns": F.when(change > 0, F.ln(change))},
+            {"_return_ratio": f"try_divide(close, {_previous('close')})"},
+            {
+                "returns": "_return_ratio - 1",
+                "log_returns": "CASE WHEN _return_ratio > 0 THEN ln(_return_ratio) END",
+            },
         ),
         behind=1,
     )
@@ -170,7 +166,7 @@ def returns_step() -> Step:
 
 def cumulative_returns_step() -> Step:
     """Product of (1 + return) since the first row, minus 1: the close over the first close, minus 1."""
-    value = F.when(F.col("_pos") > 0, pct_change(F.col("close"), F.col("_first_close")))
+    value = f"CASE WHEN _pos > 0 THEN {_change('close', '_first_close')} END"
     return Step(
         ("cumulative_returns",),
         ({"cumulative_returns": value},),
@@ -178,29 +174,31 @@ def cumulative_returns_step() -> Step:
     )
 
 
-def _shape_columns() -> dict:
-    o, h, lo, c = (F.col(n) for n in ("open", "high", "low", "close"))
-    return {
-        "price_change": c - o,
-        "price_change_pct": ratio(c - o, o) * 100,
-        "daily_range": h - lo,
-        "daily_range_pct": ratio(h - lo, lo) * 100,
-    }
+# Row expressions on one candle.
+SHAPE = {
+    "price_change": "close - open",
+    "price_change_pct": "try_divide(close - open, open) * 100",
+    "daily_range": "high - low",
+    "daily_range_pct": "try_divide(high - low, low) * 100",
+}
 
 
 def candle_shape_step() -> Step:
-    shape = _shape_columns()
-    return Step(tuple(shape), (shape,))
+    return Step(tuple(SHAPE), (SHAPE,))
 
 
 def volume_step(short=7, long=25) -> Step:
     names = (f"volume_sma_{short}", f"volume_sma_{long}", "volume_ratio", "vwap")
     typical = (F.col("high") + F.col("low") + F.col("close")) / 3
     parts, merged, means = rolling("volume", {names[0]: short, names[1]: long})
-    means["vwap"] = ratio(F.col("_traded"), F.col("_volume"))
     return Step(
         names,
-        (parts, merged, means, {"volume_ratio": ratio(F.col("volume"), F.col(names[1]))}),
+        (
+            parts,
+            merged,
+            {**means, "vwap": "try_divide(_traded, _volume)"},
+            {"volume_ratio": f"try_divide(volume, {names[1]})"},
+        ),
         behind=max(short, long) - 1,
         totals={
             "_traded": F.col("volume") * typical,
@@ -219,7 +217,7 @@ def volatility_step(windows=(7, 14, 30)) -> Step:
         (*of_returns, *of_prices),
         (
             {"_vol_before": _previous("close"), **prices[0]},
-            {"_vol_return": pct_change(F.col("close"), F.col("_vol_before")), **prices[1]},
+            {"_vol_return": _change("close", "_vol_before"), **prices[1]},
             {**prices[2], **returns[0]},
             *returns[1:],
         ),
@@ -228,7 +226,7 @@ def volatility_step(windows=(7, 14, 30)) -> Step:
 
 
 def calendar_step(time="time") -> Step:
-    parts = calendar_columns(F.col(time))
+    parts = calendar_sql(time)
     return Step(tuple(parts), (parts,))
 
 
@@ -239,23 +237,22 @@ def lag_step(column="close", lags=(1, 3, 6, 12, 24)) -> Step:
 
 def target_step(column="close", horizons=(1,)) -> Step:
     """The value ``h`` rows later, as ``target_h``."""
-    layer = {f"target_{h}": F.lead(column, h).over(block_window()) for h in horizons}
+    layer = {f"target_{h}": f"lead({column}, {h}) {over_block()}" for h in horizons}
     return Step(tuple(layer), (layer,), ahead=max(horizons))
 
 
 def partial_mean_step(column, windows: dict) -> Step:
     """Trailing means that start with fewer rows at the head, as ``{name: rows}``."""
-    layer = {n: partial(F.avg, column, w) for n, w in windows.items()}
+    layer = {n: f"avg({column}) {over_block(trailing(w))}" for n, w in windows.items()}
     return Step(tuple(layer), (layer,), behind=max(windows.values()) - 1)
 
 
 def returns_pct_step() -> Step:
-    before = F.col("prev_close")
     return Step(
         ("prev_close", "returns_pct"),
         (
             {"prev_close": _previous("close")},
-            {"returns_pct": ratio(F.col("close") - before, before) * 100},
+            {"returns_pct": "try_divide(close - prev_close, prev_close) * 100"},
         ),
         behind=1,
     )
@@ -302,11 +299,11 @@ def volatility_features(df: DataFrame, windows=(7, 14, 30), **layout) -> DataFra
 
 
 def temporal_features(df: DataFrame, time="time") -> DataFrame:
-    return df.withColumns(calendar_columns(F.col(time)))
+    return df.withColumns(calendar_columns(time))
 
 
 def candle_shape(df: DataFrame) -> DataFrame:
-    return df.withColumns(_shape_columns())
+    return df.withColumns({n: F.expr(e) for n, e in SHAPE.items()})
 
 
 def lag_features(df: DataFrame, column="close", lags=(1, 3, 6, 12, 24), **layout) -> DataFrame:

@@ -18,11 +18,9 @@ Exponential averages are computed inside a block as weighted prefix sums
 """
 
 import math
-from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,9 +41,9 @@ _GROWTH_LIMIT = 640.0  # ln(1e278)
 class Step:
     """One group of derived columns and the rows its frames reach.
 
-    ``layers`` are dicts of column expressions; a layer may use the columns of
-    the layers before it. Steps run layer by layer together, so that all
-    windows of one layer share a single pass over the block.
+    ``layers`` are dicts of SQL expressions by column name; a layer may use the
+    columns of the layers before it. Steps run layer by layer together, so that
+    all windows of one layer share a single pass over the block.
     """
 
     adds: tuple
@@ -123,9 +121,25 @@ def in_blocks(df: DataFrame, behind=0, ahead=0, block_rows: int = BLOCK_ROWS) ->
     )
 
 
-def block_window(keys=SERIES):
-    """Rows of a block in series order; a segment is a run of positions, so it only shares the sort of ``ema``."""
-    return W.partitionBy(*keys, "_block").orderBy("_segment", "_pos")
+RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def over_block(frame: str = "", keys=SERIES) -> str:
+    """OVER clause: the rows of a block in series order.
+
+    A segment is a run of positions, so ordering by it first changes nothing
+    but lets the windows of ``ema`` share the sort.
+    """
+    return f"OVER (PARTITION BY {', '.join(keys)}, _block ORDER BY _segment, _pos {frame})"
+
+
+def trailing(rows: int) -> str:
+    return f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW"
+
+
+def double(x: float) -> str:
+    return f"{x!r}D"
 
 
 def run(
@@ -141,6 +155,7 @@ def run(
     firsts = {n: e for s in steps for n, e in s.firsts.items()}
     adds = [n for s in steps for n in s.adds]
     kept = [c for c in df.columns if c not in adds]
+    df = df.select(*kept)
     out = with_position(df, keys, time, totals, firsts, chunk_rows=chunk_rows)
     out = in_blocks(
         out, max(s.behind for s in steps), max(s.ahead for s in steps), block_rows
@@ -148,77 +163,64 @@ def run(
     for level in range(max(len(s.layers) for s in steps)):
         layer = {n: e for s in steps if level < len(s.layers) for n, e in s.layers[level].items()}
         if layer:
-            out = out.withColumns(layer)
+            out = out.selectExpr("*", *[f"{e} AS {n}" for n, e in layer.items()])
     return out.where("_own").select(*kept, *adds)
 
 
-def _frame(rows: int, keys=SERIES):
-    return block_window(keys).rowsBetween(1 - rows, 0)
-
-
-def full_window(column: str, rows: int) -> Column:
-    """True where the last ``rows`` rows exist and hold a value (needs the ``rolling`` layers)."""
-    gap = F.col(f"_gap_{column}")
-    return (F.col("_pos") >= rows - 1) & (gap.isNull() | (F.col("_pos") - gap >= rows))
-
-
 def rolling(column: str, means=None, deviations=None, extremes=None, keys=SERIES) -> tuple:
     """Three layers with strict trailing windows of ``column``: NULL unless every row holds a value.
 
     ``means`` and ``deviations`` (sample) map names to rows; ``extremes`` maps
-    names to (function, rows). A frame costs its length per row, so a long
+    names to ("min" or "max", rows). A frame costs its length per row, so a long
     window is merged from equal parts: its sum is the sum of its parts, and its
     squared deviations are those inside the parts plus those of the part means.
     Parts are plain short frames, so nothing cancels.
     """
-    means, deviations, extremes = means or {}, deviations or {}, extremes or {}
-    gap = F.last(F.when(F.col(column).isNull(), F.col("_pos")), ignorenulls=True).over(
-        block_window(keys).rowsBetween(W.unboundedPreceding, 0)
-    )
-    parts, merged, done = {f"_gap_{column}": gap}, {}, {}
-
-    def part(kind, rows, expr):
-        name = f"_{kind}_{column}_{rows}"
-        parts[name] = expr.over(_frame(rows, keys))
+    gap = f"_gap_{column}"
+    parts = {
+        gap: f"last(CASE WHEN {column} IS NULL THEN _pos END, true) {over_block(RUNNING, keys)}"
+    }
+    merged, done = {}, {}
+
+    def part(fn, rows):
+        name = f"_{fn}_{column}_{rows}"
+        parts[name] = f"{fn}({column}) {over_block(trailing(rows), keys)}"
         return name
 
     def earlier(name, rows, count):
-        window = block_window(keys)
-        return [F.col(name)] + [F.lag(name, i * rows).over(window) for i in range(1, count)]
-
-    def keep(name, expr):
-        merged[name] = expr
-        return F.col(name)
+        return [name] + [
+            f"lag({name}, {i * rows}) {over_block(keys=keys)}" for i in range(1, count)
+        ]
 
-    def total(columns):
-        return reduce(lambda x, y: x + y, columns)
+    def where_full(rows, value):
+        return (
+            f"CASE WHEN _pos >= {rows - 1} AND ({gap} IS NULL OR _pos - {gap} >= {rows}) "
+            f"THEN {value} END"
+        )
 
-    for name, rows in means.items():
+    for name, rows in (means or {}).items():
         size = _part_rows(rows)
-        sums = earlier(part("sum", size, F.sum(column)), size, rows // size)
-        mean = keep(f"_of_{name}", total(sums) / rows)
-        done[name] = F.when(full_window(column, rows), mean)
-    for name, rows in deviations.items():
+        sums = earlier(part("sum", size), size, rows // size)
+        merged[f"_of_{name}"] = f"({' + '.join(sums)}) / {rows}"
+        done[name] = where_full(rows, f"_of_{name}")
+    for name, rows in (deviations or {}).items():
         size = _part_rows(rows)
         count = rows // size
-        sum_name = part("sum", size, F.sum(column))
-        means_of = [
-            keep(f"{sum_name}_{i}", m) / size for i, m in enumerate(earlier(sum_name, size, count))
-        ]
-        inside = keep(
-            f"_of_{name}", total(earlier(part("var", size, F.var_pop(column)), size, count))
-        )
-        center = total(means_of) / count
-        between = total([(m - center) * (m - center) for m in means_of])
-        squares = (inside + between) * size
-        done[name] = F.when(
-            full_window(column, rows) & F.lit(rows > 1), F.sqrt(squares / max(rows - 1, 1))
-        )
-    for name, (fn, rows) in extremes.items():
+        total = part("sum", size)
+        sums = [f"{total}_{i}" for i in range(count)]
+        merged.update(zip(sums, earlier(total, size, count)))
+        inside = earlier(part("var_pop", size), size, count)
+        merged[f"_of_{name}"] = " + ".join(inside)
+        center = f"({' + '.join(sums)}) / {rows}"
+        between = " + ".join(f"power({m} / {size} - {center}, 2)" for m in sums)
+        squares = f"(_of_{name} + {between}) * {size}"
+        done[name] = where_full(rows, f"sqrt({squares} / {rows - 1})") if rows > 1 else "NULL"
+    for name, (fn, rows) in (extremes or {}).items():
         size = _part_rows(rows)
-        values = earlier(part(fn.__name__, size, fn(column)), size, rows // size)
-        best = values[0] if len(values) == 1 else _EXTREMES[fn.__name__](*values)
-        done[name] = F.when(full_window(column, rows), keep(f"_of_{name}", best))
+        values = earlier(part(fn, size), size, rows // size)
+        merge = {"min": "least", "max": "greatest"}[fn]
+        merged[f"_of_{name}"] = values[0] if len(values) == 1 else f"{merge}({', '.join(values)})"
+        done[name] = where_full(rows, f"_of_{name}")
     return parts, merged, done
 
 
@@ -227,14 +229,6 @@ def _part_rows(rows: int) -> int:
     return next((d for d in range(min(rows, 11), 1, -1) if rows % d == 0), rows)
 
 
-_EXTREMES = {"min": F.least, "max": F.greatest}
-
-
-def partial(fn: Callable, column, rows: int, keys=SERIES) -> Column:
-    """``fn`` over the last ``rows`` rows, or over fewer at the head of the series."""
-    return fn(column).over(_frame(rows, keys))
-
-
 def _decay(span: int) -> float:
     return 1.0 - 2.0 / (span + 1.0)
 
@@ -256,46 +250,43 @@ def ema_memory(span: int) -> int:
     return 1 if span <= 1 else math.ceil(745.2 / -math.log(_decay(span)))
 
 
-def twice_averaged(of_span: Column, of_signal: Column, span: int, signal: int) -> Column:
+def twice_averaged(of_span: str, of_signal: str, span: int, signal: int) -> str:
     """The ``signal`` average of the ``span`` average, from the two averages of the same input.
 
     The product of two different geometric filters is a weighted difference of both.
     """
     a, b = 2.0 / (span + 1), 2.0 / (signal + 1)
-    return (of_span * (b * (1 - a)) - of_signal * (a * (1 - b))) / (b - a)
+    return (
+        f"({of_span} * {double(b * (1 - a) / (b - a))} - {of_signal} * {double(a * (1 - b) / (b - a))})"
+    )
 
 
 def ema(averages: dict, keys=SERIES, seeds: dict | None = None) -> tuple:
     """Four layers that add ``e_t = a*x_t + (1-a)*e_{t-1}``, ``e_0 = x_0``, for ``{name: (x, span)}``.
 
     ``seeds`` maps names to columns with the value before the first row, NULL
-    where there is none. ``x`` must hold a value in every row. Inside a segment of positions the
-    average is ``q**j * sum(u_i / q**i)``; what came earlier enters through
-    the last value of the previous segment, older ones have faded out.
+    where there is none. ``x`` must hold a value in every row. Inside a segment
+    of positions the average is ``q**j * sum(u_i / q**i)``; what came earlier
+    enters through the last value of the previous segment, older ones have
+    faded out.
     """
     decays, inner, ends, values = {}, {}, {}, {}
-    block = block_window(keys).rowsBetween(W.unboundedPreceding, -1)
     for name, (x, span) in averages.items():
-        x = F.col(x).cast("double")
+        x = f"CAST({x} AS DOUBLE)"
         if span <= 1:
             values[name] = x
             continue
         q = _decay(span)
         rows = _segment_rows(span)
-        segment = F.col("_segment") if rows == SEGMENT_ROWS else F.floor(F.col("_pos") / rows)
-        j = F.col("_pos") % rows
-        here = (
-            W.partitionBy(*keys, "_block", segment)
-            .orderBy("_pos")
-            .rowsBetween(W.unboundedPreceding, 0)
-        )
+        segment = "_segment" if rows == SEGMENT_ROWS else f"_pos DIV {rows}"
+        here = f"OVER (PARTITION BY {', '.join(keys)}, _block, {segment} ORDER BY _pos {RUNNING})"
         local, end, decay = f"_in_{name}", f"_end_{name}", f"_decay_{span}"
-        first = x
-        if seeds:
-            first = F.coalesce(x * (1.0 - q) + F.col(seeds[name]) * q, x)
-        entry = F.when(F.col("_pos") == 0, first).otherwise(x * (1.0 - q))
-        decays[decay] = F.pow(F.lit(q), j)
-        inner[local] = F.col(decay) * F.sum(entry / F.col(decay)).over(here)
-        ends[end] = F.last(F.when(j == rows - 1, F.col(local)), ignorenulls=True).over(block)
-        values[name] = F.col(local) + F.coalesce(F.col(end), F.lit(0.0)) * F.col(decay) * q
+        weighted = f"{x} * {double(1.0 - q)}"
+        first = f"coalesce({weighted} + {seeds[name]} * {double(q)}, {x})" if seeds else x
+        entry = f"CASE WHEN _pos = 0 THEN {first} ELSE {weighted} END"
+        decays[decay] = f"power({double(q)}, _pos % {rows})"
+        inner[local] = f"{decay} * sum(({entry}) / {decay}) {here}"
+        at_end = f"CASE WHEN _pos % {rows} = {rows - 1} THEN {local} END"
+        ends[end] = f"last({at_end}, true) {over_block(BEFORE, keys)}"
+        values[name] = f"{local} + coalesce({end}, 0D) * {decay} * {double(q)}"
     return decays, inner, ends, values

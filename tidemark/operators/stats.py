@@ -8,7 +8,7 @@ from tidemark.functions.numbers import pct_change, ratio, round_half_up
 from tidemark.functions.timeframes import epoch_seconds, plus_seconds, seconds_of
 from tidemark.operators.indicators import returns_pct, returns_step
 from tidemark.operators.quantiles import exact_quantiles
-from tidemark.operators.series import Step, block_window, run
+from tidemark.operators.series import Step, over_block, run
 from tidemark.schemas import SERIES
 from tidemark.session import BROADCAST_ROWS
 
@@ -249,9 +249,7 @@ def returns_correlation(candles: DataFrame, symbols=None, **layout) -> DataFrame
 
 def gaps(candles: DataFrame, **layout) -> DataFrame:
     """Every missing bar between a series' first and last candle."""
-    step = Step(
-        ("_before",), ({"_before": F.lag("time").over(block_window())},), behind=1
-    )
+    step = Step(("_before",), ({"_before": f"lag(time) {over_block()}"},), behind=1)
     seconds = seconds_of(F.col("timeframe"))
     after = F.col("_before")
     missing = run(candles.select("time", *SERIES), [step], **layout).where(
@@ -315,10 +313,10 @@ def directional_accuracy(
 ) -> DataFrame:
     """Percent of rows in which the actual and the predicted value moved the same way."""
     by = list(by)
-    window = block_window(by)
+    window = over_block(keys=by)
     before = Step(
         ("_a", "_p"),
-        ({"_a": F.lag(actual).over(window), "_p": F.lag(predicted).over(window)},),
+        ({"_a": f"lag({actual}) {window}", "_p": f"lag({predicted}) {window}"},),
         behind=1,
     )
     moved = run(scored.where(F.col(actual).isNotNull()), [before], keys=by, time=time, **layout)

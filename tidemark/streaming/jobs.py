@@ -1,16 +1,16 @@
 """The incremental jobs as Structured Streaming; each equals its batch twin on the same closed input."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.operators.indicators import relative_strength
+from tidemark.operators.indicators import moves, relative_strength
 from tidemark.operators.series import (
+    RUNNING,
     Step,
-    block_window,
     ema,
     ema_memory,
     ema_reach,
+    over_block,
     run,
     twice_averaged,
 )
@@ -92,9 +92,7 @@ _RESULTS = ("ema_7", "ema_25", "ema_99", "rsi_14", "macd", "macd_signal", "macd_
 
 def _seeded_averages() -> Step:
     """EMA, RSI and MACD of a batch that go on from the ``_was_`` columns of the series."""
-    before = F.coalesce(F.lag("close").over(block_window()), F.col("_was_close"))
-    delta = F.coalesce(F.col("close") - F.col("_before"), F.lit(0.0))
-    moves = {"_gain": F.greatest(delta, F.lit(0.0)), "_loss": F.greatest(-delta, F.lit(0.0))}
+    before = f"coalesce(lag(close) {over_block()}, _was_close)"
     averages = ema(
         {
             **{n: ("close", int(n.split("_")[1])) for n in _HELD if n.startswith("ema_")},
@@ -103,27 +101,22 @@ def _seeded_averages() -> Step:
         },
         seeds={n: f"_was_{n}" for n in _HELD},
     )
-    of_signal = F.col("ema_9")
-    signal = twice_averaged(F.col("ema_12"), of_signal, 12, 9) - twice_averaged(
-        F.col("ema_26"), of_signal, 26, 9
-    )
-    so_far = block_window().rowsBetween(W.unboundedPreceding, 0)
+    of_fast = twice_averaged("ema_12", "ema_9", 12, 9)
+    of_slow = twice_averaged("ema_26", "ema_9", 26, 9)
     return Step(
         (*_HELD, *[n for n in _RESULTS if n not in _HELD]),
         (
-            {"_before": before},
-            {**moves, **averages[0]},
+            {"_delta": f"close - {before}"},
+            {**moves("_delta", "_gain", "_loss"), **averages[0]},
             *averages[1:],
             {
-                "_rsi": relative_strength(F.col("gain"), F.col("loss")),
-                "macd": F.col("ema_12") - F.col("ema_26"),
-                "macd_signal": signal,
+                "_rsi": relative_strength("gain", "loss"),
+                "macd": "ema_12 - ema_26",
+                "macd_signal": f"{of_fast} - {of_slow}",
             },
             {
-                "rsi_14": F.coalesce(
-                    F.last("_rsi", ignorenulls=True).over(so_far), F.col("_was_rsi_14")
-                ),
-                "macd_histogram": F.col("macd") - F.col("macd_signal"),
+                "rsi_14": f"coalesce(last(_rsi, true) {over_block(RUNNING)}, _was_rsi_14)",
+                "macd_histogram": "macd - macd_signal",
             },
         ),
         behind=max(ema_memory(14) + ema_reach(14) + 1, ema_reach(99)),
