@@ -4,6 +4,7 @@ from frames import expected_features, to_spark, walk
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars
+from tidemark.operators.tables import insert_ignore
 from tidemark.streaming import jobs
 
 
@@ -92,6 +93,15 @@ def test_stream_upsert_into_days(spark, tmp_path):
     assert got["close"][5] == pytest.approx(pdf["close"][5])
 
 
+def test_stream_insert_ignore_into_days(spark, tmp_path):
+    target = str(tmp_path / "table")
+    pdf = walk("A", 60)
+    stream = feed(spark, tmp_path / "in", pdf[:40], pdf[30:].assign(close=1.0))
+    jobs.run_to_end(stream, foreach=jobs.upsert_days(target, merge=insert_ignore))
+    got = spark.read.parquet(target).orderBy("time").toPandas()
+    assert list(got["close"]) == pytest.approx(list(pdf["close"][:40]) + [1.0] * 20)
+
+
 def test_known_symbols_only(spark, tmp_path):
     pdf = pd.concat([walk("A", 5), walk("X", 5)])
     stream = feed(spark, tmp_path / "in", pdf)

@@ -32,7 +32,7 @@ def exact_quantiles(
         return F.broadcast(frame) if few else frame
 
     counts = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

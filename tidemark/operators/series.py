@@ -160,10 +160,14 @@ def run(
     out = in_blocks(
         out, max(s.behind for s in steps), max(s.ahead for s in steps), block_rows
     )
+    made = set()
     for level in range(max(len(s.layers) for s in steps)):
         layer = {n: e for s in steps if level < len(s.layers) for n, e in s.layers[level].items()}
-        if layer:
-            out = out.selectExpr("*", *[f"{e} AS {n}" for n, e in layer.items()])
+        # Steps may share helper columns: the same name stands for the same expression.
+        new = {n: e for n, e in layer.items() if n not in made}
+        if new:
+            out = out.selectExpr("*", *[f"{e} AS {n}" for n, e in new.items()])
+        made.update(new)
     return out.where("_own").select(*kept, *adds)
 
 

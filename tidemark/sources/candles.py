@@ -122,6 +122,8 @@ def write_candle_csv(candles: DataFrame, path: str) -> None:
     named = candles.withColumn("symbol_safe", safe_name(F.col("symbol"))).withColumn(
         "frame", F.col("timeframe")
     )
+    # Rebalancing gives each folder few files, and splits the files of a hot symbol.
+    named = named.hint("rebalance", F.col("symbol_safe"), F.col("frame"))
     named.write.partitionBy("symbol_safe", "frame").option("header", True).csv(path)
 
 
@@ -149,6 +151,7 @@ def write_by_day(df: DataFrame, path: str, time: str = "time", days: int = 1, mo
     """
     (
         with_chunk(df, time, days)
+        .hint("rebalance", F.col("day"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

@@ -167,11 +167,12 @@ def read_averages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").select(*SERIES, "time", "close", *_RESULTS)
 
 
-def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time"):
-    """A ``foreachBatch`` function that upserts each batch into the day chunks it touches.
+def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time", merge=upsert):
+    """A ``foreachBatch`` function that merges each batch into the day chunks it touches.
 
-    The new chunks are staged first, because a chunk cannot be overwritten while
-    it is read. A repeated batch gives the same table.
+    ``merge`` is :func:`upsert`, or ``insert_ignore`` to let stored rows win. A
+    batch must hold a key once. The new chunks are staged first, because a chunk
+    cannot be overwritten while it is read. A repeated batch gives the same table.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -181,10 +182,8 @@ def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time"):
         batch.write.parquet(f"{stage}/batch")
         fresh = spark.read.parquet(f"{stage}/batch")
         if _exists(spark, target):
-            days = broadcast_if_small(fresh.select("day").distinct())
-            # Only the touched day folders are read.
-            old = spark.read.parquet(target).join(days, "day", "left_semi")
-            merged = upsert(old.drop("day"), fresh.drop("day"), keys)
+            old = _only_days(spark.read.parquet(target), fresh.select("day").distinct())
+            merged = merge(old.drop("day"), fresh.drop("day"), keys)
         else:
             merged = fresh.drop("day")
         merged.write.parquet(f"{stage}/merged")
@@ -193,6 +192,17 @@ def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time"):
     return apply
 
 
+DAY_LIMIT = 10_000
+
+
+def _only_days(table: DataFrame, days: DataFrame) -> DataFrame:
+    """The day folders that occur in ``days``: named one by one while they are few, else joined."""
+    found = days.limit(DAY_LIMIT + 1).collect()
+    if len(found) <= DAY_LIMIT:
+        return table.where(F.col("day").isin([r["day"] for r in found]))
+    return table.join(days, "day", "left_semi")
+
+
 def _exists(spark, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
