@@ -46,6 +46,18 @@ def test_correlation_equals_pandas(spark):
         assert row["corr"] == pytest.approx(want.loc[row["symbol_a"], row["symbol_b"]], abs=1e-12)
 
 
+def test_correlation_of_many_symbols(spark, monkeypatch):
+    monkeypatch.setattr(stats, "DIRECT_SYMBOLS", 2)
+    monkeypatch.setattr(stats, "VECTOR_SYMBOLS", 3)
+    pdf = pd.concat([walk(f"S{i}", 80, seed=i, drop=(i + 5,)) for i in range(7)])
+    filled = pdf.pivot(index="time", columns="symbol", values="close").ffill()
+    want = (filled / filled.shift() - 1).dropna().corr()
+    got = stats.returns_correlation(to_spark(spark, pdf)).toPandas()
+    assert len(got) == len(got[["symbol_a", "symbol_b"]].drop_duplicates()) == 49
+    for _, row in got.iterrows():
+        assert row["corr"] == pytest.approx(want.loc[row["symbol_a"], row["symbol_b"]], abs=1e-9)
+
+
 def test_pivot_rejects_duplicates(spark):
     frame = to_spark(spark, walk("A", 4))
     with pytest.raises(PySparkException, match="duplicate"):

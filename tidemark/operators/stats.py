@@ -1,5 +1,7 @@
 """Summaries, distributions, correlation, gaps and error measures."""
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -227,26 +229,62 @@ def returns_correlation(candles: DataFrame, symbols=None, **layout) -> DataFrame
         .pivot("symbol", symbols)
         .agg(F.max("r"))
     )
-    names = [f"s{i}" for i in range(len(symbols))]
     wide = wide.select(
-        *[F.coalesce(F.col(f"`{s}`"), F.lit(0.0)).alias(n) for s, n in zip(symbols, names)]
+        *[F.coalesce(F.col(f"`{s}`"), F.lit(0.0)).alias(f"s{i}") for i, s in enumerate(symbols)]
+    )
+    wide = wide.where(~F.exists(F.array(*wide.columns), F.isnan))
+    if len(symbols) <= DIRECT_SYMBOLS:
+        return _pairwise(wide, symbols)
+    return _by_vectors(wide, symbols)
+
+
+DIRECT_SYMBOLS = 30
+VECTOR_SYMBOLS = 500
+
+
+def _pairwise(wide: DataFrame, symbols) -> DataFrame:
+    """One aggregate per pair, all in one pass."""
+    count = range(len(symbols))
+    sums = wide.agg(
+        *[F.corr(f"s{i}", f"s{j}").alias(f"c{i}_{j}") for i in count for j in count if i <= j]
     )
-    for n in names:
-        wide = wide.where(~F.isnan(n))
-    pairs = [(i, j) for i in range(len(symbols)) for j in range(i, len(symbols))]
-    sums = wide.agg(*[F.corr(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs])
     cells = [
         F.struct(
             F.lit(symbols[i]).alias("symbol_a"),
             F.lit(symbols[j]).alias("symbol_b"),
             F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"),
         )
-        for i in range(len(symbols))
-        for j in range(len(symbols))
+        for i in count
+        for j in count
     ]
     return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 
+def _by_vectors(wide: DataFrame, symbols) -> DataFrame:
+    """Many symbols: a matrix per two groups of symbols, each of bounded size."""
+    spark = wide.sparkSession
+    groups = [
+        range(at, min(at + VECTOR_SYMBOLS, len(symbols)))
+        for at in range(0, len(symbols), VECTOR_SYMBOLS)
+    ]
+    out = None
+    for n, left in enumerate(groups):
+        for right in groups[n:]:
+            chosen = list(left) if left == right else [*left, *right]
+            vectors = VectorAssembler(inputCols=[f"s{i}" for i in chosen], outputCol="v")
+            matrix = Correlation.corr(vectors.transform(wide).select("v"), "v").first()[0]
+            values = matrix.toArray()
+            cells = [
+                (symbols[i], symbols[j], float(values[p, q]))
+                for p, i in enumerate(chosen)
+                for q, j in enumerate(chosen)
+                if left == right or (i in left) != (j in left)
+            ]
+            part = spark.createDataFrame(cells, "symbol_a string, symbol_b string, corr double")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 def gaps(candles: DataFrame, **layout) -> DataFrame:
     """Every missing bar between a series' first and last candle."""
     step = Step(("_before",), ({"_before": f"lag(time) {over_block()}"},), behind=1)
