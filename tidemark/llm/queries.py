@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup
+from tidemark.llm import bpe, exact_dedup, language_id, quality
 from tidemark.llm.common import documents
 
 QUERIES = {}
@@ -19,6 +19,11 @@ def op1_byte_bpe(spark, sf):
     return bpe.encode_digests(documents(spark, sf))
 
 
+@query
+def op7_language_id(spark, sf):
+    return language_id.predict(documents(spark, sf))
+
+
 @query
 def op8_exact_dedup(spark, sf):
     return exact_dedup.exact_dedup(documents(spark, sf))
@@ -32,3 +37,8 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
+
+
+@query
+def op10_quality(spark, sf):
+    return quality.predict(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
