@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, language_id, quality
+from tidemark.llm import bpe, exact_dedup, language_id, quality, secrets
 from tidemark.llm.common import documents
 
 QUERIES = {}
@@ -39,6 +39,11 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op9_secret_scan(spark, sf):
+    return secrets.report(secrets.scan(documents(spark, sf)))
+
+
 @query
 def op10_quality(spark, sf):
     return quality.predict(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
