@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, language_id, quality, secrets
+from tidemark.llm import bpe, exact_dedup, language_id, quality, secrets, substring_dedup
 from tidemark.llm.common import documents
 
 QUERIES = {}
@@ -19,6 +19,11 @@ def op1_byte_bpe(spark, sf):
     return bpe.encode_digests(documents(spark, sf))
 
 
+@query
+def op2_substring_dedup(spark, sf):
+    return substring_dedup.digests(substring_dedup.substring_dedup(documents(spark, sf)))
+
+
 @query
 def op7_language_id(spark, sf):
     return language_id.predict(documents(spark, sf))
