@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, language_id, quality, secrets, substring_dedup
+from tidemark.llm import bpe, exact_dedup, language_id, quality, secrets, substring_dedup, suffix_dedup
 from tidemark.llm.common import documents
 
 QUERIES = {}
@@ -24,6 +24,11 @@ def op2_substring_dedup(spark, sf):
     return substring_dedup.digests(substring_dedup.substring_dedup(documents(spark, sf)))
 
 
+@query
+def op4_suffix_dedup(spark, sf):
+    return suffix_dedup.digests(suffix_dedup.suffix_dedup(documents(spark, sf), later_only=False))
+
+
 @query
 def op7_language_id(spark, sf):
     return language_id.predict(documents(spark, sf))
