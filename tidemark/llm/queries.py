@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, language_id, quality, secrets, substring_dedup, suffix_dedup
-from tidemark.llm.common import documents
+from tidemark.llm import bpe, decontaminate, exact_dedup, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup
+from tidemark.llm.common import documents, shared_folder
 
 QUERIES = {}
 ORACLES = {}
@@ -29,6 +29,16 @@ def op4_suffix_dedup(spark, sf):
     return suffix_dedup.digests(suffix_dedup.suffix_dedup(documents(spark, sf), later_only=False))
 
 
+@query
+def op5_decontaminate(spark, sf):
+    return decontaminate.decontaminate(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+@query
+def op6_training_order(spark, sf):
+    return materialise.materialise(documents(spark, sf), shared_folder(spark, "shards"))
+
+
 @query
 def op7_language_id(spark, sf):
     return language_id.predict(documents(spark, sf))
