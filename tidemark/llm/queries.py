@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup
+from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup
 from tidemark.llm.common import documents, shared_folder
 
 QUERIES = {}
@@ -24,6 +24,11 @@ def op2_substring_dedup(spark, sf):
     return substring_dedup.digests(substring_dedup.substring_dedup(documents(spark, sf)))
 
 
+@query
+def op3_jaccard_join(spark, sf):
+    return jaccard_join.jaccard_components(documents(spark, sf))
+
+
 @query
 def op4_suffix_dedup(spark, sf):
     return suffix_dedup.digests(suffix_dedup.suffix_dedup(documents(spark, sf), later_only=False))
