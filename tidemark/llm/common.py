@@ -1,7 +1,5 @@
 """Helpers shared by the corpus operators."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
@@ -54,9 +52,16 @@ def stored(spark, frame, label):
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def shared_folder(spark, label):
-    return scratch_dir(spark, label)
+def named_rows(docs, winners, id_col, text_col):
+    """The rows of ``docs``, all columns, that ``winners`` (doc_id, k) names; of repeated rows one."""
+
+    def name(i, k):
+        return F.concat(F.coalesce(i.cast("string"), F.lit("null")), F.lit(":"), k.cast("string"))
+
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.withColumn("_row", name(F.col(f"`{id_col}`"), F.xxhash64(text)))
+    return rows.join(winners.select(name(F.col("doc_id"), F.col("k")).alias("_row")), "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
 
 
-def new_name():
-    return uuid.uuid4().hex
+def shared_folder(spark, label):
+    return scratch_dir(spark, label)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, rolling
-from tidemark.llm.common import stored
+from tidemark.llm.common import named_rows, stored
 from tidemark.llm.components import components
 from tidemark.llm.repeats import column
 
@@ -284,14 +284,8 @@ def remaining_pairs(left, labels, texts, size=BALL):
     return rows.groupBy("sig", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
-def jaccard_components(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
-    """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links, own id included).
-
-    Two rows link when their sets of five-word shingles (A-Z lower-cased; fewer words are one shingle) have a
-    Jaccard similarity of at least 0.8. Rows without words, null texts too, link with nothing and are
-    components of their own. Null ids take part; a component of null ids has a null number. Repeated rows link.
-    Other columns are ignored.
-    """
+def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
+    """(doc_id, k, n, s, label) of every row; rows of one component have one label."""
     spark = docs.sparkSession
     rows = repeats.binary_rows(docs, id_col, text_col)
     nodes = stored(spark, node_rows(rows), "sets")
@@ -335,8 +329,26 @@ def jaccard_components(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         last = verified(pairs, texts).filter("100 * both >= 80 * any").select("a", "b")
         links = stored(spark, links.unionByName(last), "links")
         labels = components(spark, links)
-    by_s = labels.withColumnRenamed("node", "s")
-    placed = nodes.join(by_s, "s", "left").withColumn("label", F.coalesce("label", "s"))
+    return nodes.join(labels.withColumnRenamed("node", "s"), "s", "left").withColumn("label", F.coalesce("label", "s"))
+
+
+def jaccard_components(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
+    """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links, own id included).
+
+    Two rows link when their sets of five-word shingles (A-Z lower-cased; fewer words are one shingle) have a
+    Jaccard similarity of at least 0.8. Rows without words, null texts too, link with nothing and are
+    components of their own. Null ids take part; a component of null ids has a null number. Repeated rows link.
+    Other columns are ignored.
+    """
+    placed = labelled_rows(docs, id_col, text_col, rounds)
     least = placed.filter("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = placed.join(least, "label", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
+    """The input rows, all columns: of every component the row with the smallest id, and all rows without words."""
+    placed = labelled_rows(docs, id_col, text_col, rounds)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("k"))
+    first = placed.filter("n > 0").groupBy("label").agg(F.min_by(F.struct("doc_id", "k"), order).alias("w")).select("w.*")
+    return named_rows(docs, first.unionByName(placed.filter("n = 0").select("doc_id", "k")), id_col, text_col)

@@ -166,6 +166,24 @@ def identify(docs, model, id_col="doc_id", text_col="text", also=()):
 
 def predict(docs, modulus=4, remainder=2):
     """Fit on documents outside the held-out fold and predict the language of all of them."""
-    out = F.coalesce(crc_mod("doc_id", modulus) == remainder, F.lit(False))
+    out = held_out(modulus, remainder)
     model = fit(docs, out)
     return identify(docs, model, also=[out.alias("held_out")]).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def recognised(docs, model, text_col="text"):
+    """The input rows, all columns, whose text has a language: neither null nor without a letter."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            got = predict_texts(b.column(b.schema.get_field_index(text_col)).to_pylist(), shared.value)
+            yield b.filter(pa.array([lang != UNKNOWN for lang, _ in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def held_out(modulus=4, remainder=2, id_col="doc_id"):
+    return F.coalesce(crc_mod(id_col, modulus) == remainder, F.lit(False))

@@ -61,12 +61,15 @@ def candidates(spark, rows, items_of, length, gram, label):
     heads = table.groupBy("h").agg(
         F.count("*").alias("n"), F.min("r").alias("a"), F.max("r").alias("b"), F.min(F.struct(*KEY, "lo")).alias("first")
     ).filter("n > 1").select("h", (F.col("a") == F.col("b")).alias("alike"), "first")
+    # Stored, so that the join shuffles both sides anew and Spark can split a hot anchor.
+    heads = stored(spark, heads, f"{label}-anchors")
     return stored(spark, table.join(heads, "h"), f"{label}-candidates")
 
 
 def classes(found):
-    """One row per distinct run of the anchors with unlike runs: (h, r, n, rep)."""
-    return found.filter("not alike").groupBy("h", "r").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "lo", "hi")).alias("rep"))
+    """One row per distinct run of the anchors with unlike runs, stored: (h, r, n, rep)."""
+    kinds = found.filter("not alike").groupBy("h", "r").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "lo", "hi")).alias("rep"))
+    return stored(found.sparkSession, kinds, "kinds")
 
 
 def whole_runs(found, kinds, later_only=False):

@@ -41,6 +41,7 @@ def window_counts(rows, kinds, window):
 def repeated_windows(windows):
     """Single windows that also start elsewhere: (doc_id, k, lo, hi)."""
     again = windows.groupBy("wa", "wb").agg(F.sum("n").alias("all")).filter("all > 1").select("wa", "wb")
+    again = repeats.stored(windows.sparkSession, again, "repeated-windows")
     return windows.filter("n = 1").join(again, ["wa", "wb"]).select(*KEY, "lo", F.col("lo").alias("hi"))
 
 
