@@ -16,11 +16,13 @@ from tidemark.llm.repeats import KEY, column
 LENGTH = 200
 GRAM = 40
 TASK_BYTES = 1 << 20
-SPLIT_KINDS = 2048
+# So many segments of up to 2 * length bytes, and some 60 bytes of work for each byte, meet in one task; parts of an
+# anchor with more exchange one row per window, so they should be large.
+SPLIT_KINDS = 8192
 
 
 def dense(key):
-    return np.unique(key, return_inverse=True)[1].astype(np.int64)
+    return np.unique(key, return_inverse=True)[1].astype(np.int32)
 
 
 def suffix_ranks(text, depth):
@@ -33,13 +35,13 @@ def suffix_ranks(text, depth):
     packed = np.zeros(n, dtype=np.uint64)
     for j in range(8):
         packed = (packed << np.uint64(8)) | padded[j : j + n]
-    levels = [(8, dense(packed))] if depth >= 8 else [(1, text.astype(np.int64))]
+    levels = [(8, dense(packed))] if depth >= 8 else [(1, text.astype(np.int32))]
     while levels[-1][0] < depth:
         size, rank = levels[-1]
         step = min(size, depth - size)
         after = np.zeros(n, dtype=np.int64)
         after[: max(0, n - step)] = rank[step:] + 1
-        levels.append((size + step, dense(rank * np.int64(n + 257) + after)))
+        levels.append((size + step, dense(rank.astype(np.int64) * (n + 257) + after)))
     return levels
 
 
