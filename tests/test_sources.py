@@ -21,7 +21,23 @@ def test_mixed_folder(spark, tmp_path):
     got = {(r["symbol"], r["timeframe"], r["trades_count"]) for r in rows.collect()}
     assert got == {("BTC/USDT", "4h", None), ("ETH", "1h", 7), ("other", "1h", 8)}
     quarantined = bad.collect()
-    assert len(quarantined) == 1 and "oops" in quarantined[0]["line"]
+    reasons = {r["reason"]: r for r in quarantined}
+    assert len(quarantined) == 2 and "oops" in reasons["bad line"]["line"]
+    assert reasons["missing columns high, low, close, volume, symbol"]["file"].endswith("short.csv")
+
+
+def test_headers_of_any_form(spark, tmp_path):
+    line = "2024-01-01 00:00:00,1,2,0.5,1.5,10,A\n"
+    put(tmp_path, "quoted.csv", '"timestamp","open","high","low","close","volume","symbol"\n' + line)
+    put(tmp_path, "blank.csv", ' timestamp , "open" ,high,low, close,volume,symbol\r\n' + line.replace("A", " B "))
+    put(tmp_path, "mark.csv", "\ufeff" + HEADER + line.replace("A", "C"))
+    put(tmp_path, "twice.csv", "timestamp,open,open,high,low,close,volume,symbol\n")
+    put(tmp_path, "empty.csv", "\n")
+    for i in range(105):
+        put(tmp_path, f"n{i}.csv", HEADER.replace("\n", f",x{i}\n") + line.replace("A\n", f"D{i},0\n"))
+    rows, bad = files.read_candle_csv(spark, str(tmp_path))
+    assert {r["symbol"] for r in rows.select("symbol").collect()} == {"A", "B", "C", *(f"D{i}" for i in range(105))}
+    assert sorted(r["reason"] for r in bad.collect()) == ["no header", "repeated or empty column names"]
 
 
 def test_symbol_from_file_name(spark, tmp_path):

@@ -680,24 +680,42 @@ def src_csv_candles(spark, sf):
     return tables.typed_candles(rows)
 
 
-@query
-def src_csv_dir(spark, sf):
+def _mixed_folder(spark, sf):
+    """Candle files with a plain, a reordered and a quoted header, and files that cannot be used."""
     base = market.candles(spark, sf).withColumnRenamed("time", "timestamp")
     path = scratch_dir(spark, "csv")
-    wide, narrow = base, base.select("symbol", *[c for c in base.columns if c not in ("symbol", "quote_volume", "trades_count")])
-    old = F.col("timestamp") < _fixed_time("2024-01-15")
-    wide.where(old).write.option("header", True).csv(path)
-    narrow.where(~old).write.mode("append").option("header", True).csv(path)
-    rows, _ = files.read_candle_csv(spark, path)
+    wide = base
+    narrow = base.select("symbol", *[c for c in base.columns if c not in ("symbol", "quote_volume", "trades_count")])
+    day = F.dayofmonth("timestamp")
+    wide.where(day <= 10).write.option("header", True).csv(path)
+    narrow.where((day > 10) & (day <= 20)).write.mode("append").option("header", True).csv(path)
+    quoted = wide.where(day > 20).withColumnsRenamed({"open": " open", "close": "close "})
+    quoted.write.mode("append").option("header", True).option("quoteAll", True).csv(path)
+    lacking = base.where(day == 1).select("timestamp", "open", "symbol")
+    lacking.coalesce(1).write.mode("append").option("header", True).csv(path)
+    text = narrow.where(day == 2).withColumn("close", F.lit("none"))
+    text.write.mode("append").option("header", True).csv(path)
+    return path
+
+
+@query
+def src_csv_dir(spark, sf):
+    rows, _ = files.read_candle_csv(spark, _mixed_folder(spark, sf))
     return tables.typed_candles(rows)
 
 
+@query
+def csv_quarantine(spark, sf):
+    _, bad = files.read_candle_csv(spark, _mixed_folder(spark, sf))
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query
 def sink_csv(spark, sf):
     path = scratch_dir(spark, "csv")
     files.write_candle_csv(market.candles(spark, sf), path)
-    written = spark.read.option("header", True).csv(path)
-    return written.groupBy("symbol_safe", "frame").agg(F.count(F.lit(1)).alias("rows"))
+    made = market.candles(spark, sf).schema.add("symbol_safe", "string").add("frame", "string")
+    return spark.read.schema(made).option("header", True).csv(path)
 
 
 @query
@@ -720,14 +738,14 @@ def sink_summary(spark, sf):
 def sink_by_day(spark, sf):
     path = scratch_dir(spark, "days")
     files.write_by_day(market.candles(spark, sf), path)
-    return spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.parquet(path).select(*KEY, "close", "volume", "day")
 
 
 @query
 def sink_by_week(spark, sf):
     path = scratch_dir(spark, "weeks")
     files.write_by_day(market.naive_predictions(spark, sf), path, "prediction_time", days=7)
-    return spark.read.parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+    return spark.read.parquet(path).select("model_name", "symbol", "prediction_time", "predicted_price", "day")
 
 
 # --- streams ----------------------------------------------------------------

@@ -485,15 +485,18 @@ SELECT model_name, symbol, prediction_time, {r('predicted', 'predicted')},
     "src_csv_candles": f"""WITH {CANDLES} SELECT time, symbol, open, high, low, close, volume,
 {r('quote_volume', 'quote_volume')}, CAST(trades_count AS INTEGER) AS trades_count, timeframe FROM candles""",
     "src_csv_dir": f"""WITH {CANDLES} SELECT time, symbol, open, high, low, close, volume,
-CASE WHEN time < TIMESTAMP '2024-01-15' THEN {r('quote_volume')} ELSE 0.0::DOUBLE END AS quote_volume,
-CAST(CASE WHEN time < TIMESTAMP '2024-01-15' THEN trades_count ELSE 0 END AS INTEGER) AS trades_count, timeframe
+CASE WHEN day(time) BETWEEN 11 AND 20 THEN 0.0::DOUBLE ELSE {r('quote_volume')} END AS quote_volume,
+CAST(CASE WHEN day(time) BETWEEN 11 AND 20 THEN 0 ELSE trades_count END AS INTEGER) AS trades_count, timeframe
 FROM candles""",
-    "sink_csv": f"""WITH {CANDLES} SELECT replace(symbol, '/', '_') AS symbol_safe, timeframe AS frame, count(*) AS rows
-FROM candles GROUP BY 1, 2""",
-    "sink_by_day": f"WITH {CANDLES} SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM candles GROUP BY 1",
-    "sink_by_week": f"""WITH {PREDICTED} SELECT CAST(prediction_time AS DATE)
-  - CAST((CAST(prediction_time AS DATE) - DATE '1970-01-01') % 7 AS INTEGER) AS day, count(*) AS rows
-FROM predictions GROUP BY 1""",
+    "csv_quarantine": f"""WITH {CANDLES} SELECT 'bad line' AS reason, count(*) AS lines FROM candles WHERE day(time) = 2
+UNION ALL SELECT 'missing columns high, low, close, volume', 1::BIGINT""",
+    "sink_csv": f"""WITH {CANDLES} SELECT * REPLACE ({r('volume')} AS volume, {r('quote_volume')} AS quote_volume),
+replace(symbol, '/', '_') AS symbol_safe, timeframe AS frame FROM candles""",
+    "sink_by_day": f"""WITH {CANDLES} SELECT time, symbol, timeframe, close, {r('volume', 'volume')}, CAST(time AS DATE) AS day
+FROM candles""",
+    "sink_by_week": f"""WITH {PREDICTED} SELECT model_name, symbol, prediction_time, {r('predicted', 'predicted_price')},
+CAST(prediction_time AS DATE) - CAST((CAST(prediction_time AS DATE) - DATE '1970-01-01') % 7 AS INTEGER) AS day
+FROM predictions""",
     "stream_ingest": f"WITH {DIRTY} SELECT DISTINCT time, symbol, timeframe, close FROM dirty",
     "stream_fk": f"""WITH {CANDLES}, {METADATA} SELECT time, symbol, timeframe, close FROM candles
 SEMI JOIN metadata USING (symbol)""",

@@ -1,5 +1,7 @@
 """Candle files in, partitioned tables, files and reports out."""
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from tidemark.functions.timeframes import TIMEFRAME_SECONDS
 from tidemark.operators.stats import collection_report
 from tidemark.schemas import CANDLE_FILE, REQUIRED_FILE_COLUMNS
 
-LAYOUT_LIMIT = 100
+QUARANTINE = "line string, file string, reason string"
 
 
 def _text_schema(columns):
@@ -17,20 +19,74 @@ def _text_schema(columns):
     return T.StructType([T.StructField(c, T.StringType(), True) for c in (*columns, "_corrupt")])
 
 
-def file_layouts(spark: SparkSession, path: str) -> dict:
-    """Files by header line. Only header lines reach the driver, as many as there are files."""
+def _open(uri):
+    """A byte stream of a file by its URI, in an executor; local, HDFS and object stores."""
+    from pyarrow import fs
+
+    if "://" not in uri:
+        return fs.LocalFileSystem().open_input_stream(uri.removeprefix("file:"))
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_stream(path)
+
+
+def _header_line(uri, most=1 << 20):
+    with _open(uri) as f:
+        head = b""
+        while b"\n" not in head and len(head) < most and (more := f.read(4096)):
+            head += more
+    return head.split(b"\n")[0].decode("utf-8-sig", "replace").rstrip("\r")
+
+
+def file_headers(spark: SparkSession, path) -> DataFrame:
+    """(file, header): the first line of every CSV file, read in executors; nothing else of it is read.
+
+    Where the executors' Python cannot open the store, Spark's text reader finds the first lines instead.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+
+    def read(batches):
+        for b in batches:
+            lines = []
+            for uri in b["path"]:
+                try:
+                    lines.append(_header_line(uri))
+                except (ValueError, OSError):
+                    lines.append(None)
+            yield b.assign(header=lines).rename(columns={"path": "file"})
+
+    found = listed.repartition("path").mapInPandas(read, "file string, header string")
+    if found.where("header IS NULL").isEmpty():
+        return found
     lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
-    is_header = F.col("value").rlike(r"(^|,)timestamp(,|$)")
-    found = (
-        lines.where(is_header)
-        .groupBy("value")
-        .agg(F.collect_set("_metadata.file_path").alias("files"))
-        .limit(LAYOUT_LIMIT + 1)
-        .collect()
-    )
-    if len(found) > LAYOUT_LIMIT:
-        raise ValueError(f"more than {LAYOUT_LIMIT} different headers under {path}")
-    return {tuple(r["value"].strip().split(",")): sorted(r["files"]) for r in found}
+    place = F.struct(F.input_file_block_start(), F.monotonically_increasing_id())
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", place.alias("at"))
+    return first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def header_columns(line: str) -> tuple:
+    """Column names of a header line: CSV quoting, no byte order mark, no blanks around names."""
+    names = next(csv.reader([line.lstrip("\ufeff")], skipinitialspace=True), [])
+    return tuple(n.strip() for n in names)
+
+
+def file_layouts(spark: SparkSession, path, required) -> tuple:
+    """({columns: files}, [(header, file, reason)]): usable files by header, and the others.
+
+    The driver gets one row per file, as many as Spark's own file index holds.
+    """
+    usable, unusable = {}, []
+    for file, line in file_headers(spark, path).toLocalIterator():
+        columns = header_columns(line or "")
+        lacking = [c for c in required if c not in columns]
+        if not any(columns):
+            unusable.append((line, file, "no header"))
+        elif lacking:
+            unusable.append((line, file, "missing columns " + ", ".join(lacking)))
+        elif len(set(columns)) < len(columns) or "" in columns:
+            unusable.append((line, file, "repeated or empty column names"))
+        else:
+            usable.setdefault(columns, []).append(file)
+    return usable, unusable
 
 
 def read_candle_csv(
@@ -39,38 +95,44 @@ def read_candle_csv(
     """(rows, quarantined lines) of all candle CSV files under ``path``.
 
     With ``columns`` every file must have exactly this header: one pass, checked
-    by the reader. Without it the headers are looked up first, and files that
-    lack a required column are skipped. The symbol is the row's own, else the
+    by the reader. Without it the first line of every file is looked up first. Quarantined
+    are bad lines and, by their header, the files that lack a required column, each with a
+    reason. The symbol is the row's own, else the
     file name without its ending; the timeframe is the row's own, else one
     written in the file name between underscores, else ``timeframe``.
     """
     required = [c for c in REQUIRED_FILE_COLUMNS if need_symbol or c != "symbol"]
+    skipped = []
     if columns is not None:
         layouts = {tuple(columns): [path] if isinstance(path, str) else list(path)}
         lacking = [c for c in required if c not in columns]
         if lacking:
             raise ValueError(f"missing columns {lacking}")
     else:
-        layouts = {
-            header: files
-            for header, files in file_layouts(spark, path).items()
-            if all(c in header for c in required)
-        }
-    frames = [_read_layout(spark, header, files, timeframe) for header, files in layouts.items()]
+        layouts, skipped = file_layouts(spark, path, required)
+    frames = [
+        _read_layout(spark, header, files, timeframe, columns is not None)
+        for header, files in sorted(layouts.items())
+    ]
     if not frames:
         # No file qualifies: the same columns without rows.
-        frames = [_read_layout(spark, REQUIRED_FILE_COLUMNS, [], timeframe)]
+        frames = [_read_layout(spark, REQUIRED_FILE_COLUMNS, [], timeframe, True)]
     rows, bad = frames[0]
     for more, more_bad in frames[1:]:
         rows, bad = rows.unionByName(more), bad.unionByName(more_bad)
+    if skipped:
+        bad = bad.unionByName(spark.createDataFrame(skipped, QUARANTINE))
     return rows, bad
 
 
-def _read_layout(spark, header, files, timeframe):
+def _read_layout(spark, header, files, timeframe, check_header):
     raw = (
         spark.read.schema(_text_schema(header))
         .option("header", True)
-        .option("enforceSchema", False)
+        # A header that was looked up is parsed already; the reader only skips its line.
+        .option("enforceSchema", not check_header)
+        .option("ignoreLeadingWhiteSpace", not check_header)
+        .option("ignoreTrailingWhiteSpace", not check_header)
         .option("columnPruning", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt")
@@ -113,7 +175,9 @@ def _read_layout(spark, header, files, timeframe):
         F.coalesce(own_frame, F.col("_frame"), F.lit(timeframe)).alias("timeframe"),
     )
     line = F.coalesce(F.col("_corrupt"), F.to_csv(F.struct(*[F.col(c) for c in header])))
-    bad = marked.where("_bad").select(line.alias("line"), F.col("_file").alias("file"))
+    bad = marked.where("_bad").select(
+        line.alias("line"), F.col("_file").alias("file"), F.lit("bad line").alias("reason")
+    )
     return rows, bad
 
 
