@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bars, lookups, quality, stats, tables
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.plans import features
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -46,16 +47,55 @@ def test_correlation_equals_pandas(spark):
         assert row["corr"] == pytest.approx(want.loc[row["symbol_a"], row["symbol_b"]], abs=1e-12)
 
 
-def test_correlation_of_many_symbols(spark, monkeypatch):
-    monkeypatch.setattr(stats, "DIRECT_SYMBOLS", 2)
-    monkeypatch.setattr(stats, "VECTOR_SYMBOLS", 3)
-    pdf = pd.concat([walk(f"S{i}", 80, seed=i, drop=(i + 5,)) for i in range(7)])
+@pytest.mark.parametrize("count, group", [(5, 64), (31, 8), (600, 64)])
+def test_correlation_of_any_number_of_symbols(spark, monkeypatch, count, group):
+    monkeypatch.setattr(stats, "CORRELATION_GROUP", group)
+    rows = 60 if count < 100 else 12
+    pdf = pd.concat([walk(f"S{i}", rows, seed=i, drop=(i % (rows - 2) + 1,)) for i in range(count)])
+    pdf.loc[pdf["symbol"] == "S3", "close"] = 100.0
     filled = pdf.pivot(index="time", columns="symbol", values="close").ffill()
     want = (filled / filled.shift() - 1).dropna().corr()
     got = stats.returns_correlation(to_spark(spark, pdf)).toPandas()
-    assert len(got) == len(got[["symbol_a", "symbol_b"]].drop_duplicates()) == 49
-    for _, row in got.iterrows():
-        assert row["corr"] == pytest.approx(want.loc[row["symbol_a"], row["symbol_b"]], abs=1e-9)
+    assert len(got) == len(got[["symbol_a", "symbol_b"]].drop_duplicates()) == count * count
+    table = got.pivot(index="symbol_a", columns="symbol_b", values="corr").astype(float)
+    assert table["S3"].isna().all() and table.loc["S3"].isna().all()
+    np.testing.assert_allclose(table.drop("S3").drop(columns="S3"), want.drop("S3").drop(columns="S3"), atol=1e-9)
+
+
+def test_correlation_refuses_mixed_timeframes(spark):
+    pdf = pd.concat([walk("A", 9), walk("A", 9, timeframe="4h")])
+    with pytest.raises(ValueError, match="timeframes"):
+        stats.returns_correlation(to_spark(spark, pdf))
+
+
+def test_copies_in_a_delivery_count_once(spark):
+    old = to_spark(spark, walk("A", 4))
+    new = to_spark(spark, walk("A", 6, seed=5))
+    twice = new.unionByName(new).unionByName(new.withColumn("close", F.lit(1.0)))
+    assert tables.insert_ignore(old, twice).count() == 6
+    merged = tables.upsert(old, twice)
+    assert merged.count() == 6 and tables.upsert(merged, twice).exceptAll(merged).count() == 0
+
+
+def test_gaps_of_months_and_unknown_frames(spark):
+    months = walk("A", 12, timeframe="1M", step="MS", start="2023-01-01", drop=(2, 3))
+    got = {r["time"] for r in stats.gaps(to_spark(spark, months)).collect()}
+    assert got == {pd.Timestamp("2023-03-01").to_pydatetime(), pd.Timestamp("2023-04-01").to_pydatetime()}
+    with pytest.raises(PySparkException, match="unknown timeframe"):
+        stats.gaps(to_spark(spark, walk("A", 5, timeframe="2h", step="2h"))).collect()
+
+
+def test_overflow_leaves_other_series_stored(spark):
+    bad = walk("B", 120)
+    bad.loc[60, ["close", "high"]] = 1e12
+    bad.loc[100, "close"] = float("nan")
+    base = to_spark(spark, pd.concat([walk("A", 120), bad]))
+    made = features.all_features(base)
+    kept, aside = features.stored_features(made), features.overflowing_features(made)
+    row = {r["symbol"]: r for r in features.feature_run_stats(base, kept, aside).collect()}
+    assert row["A"]["features_overflowing"] == 0 and row["A"]["features_stored"] > 80
+    assert row["B"]["features_overflowing"] > 0 and row["B"]["features_stored"] > 0
+    assert "returns" in {c for r in aside.collect() for c in r["overflow"]}
 
 
 def test_pivot_rejects_duplicates(spark):

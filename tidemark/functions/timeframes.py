@@ -25,6 +25,25 @@ def seconds_of(timeframe: Column) -> Column:
     return expr
 
 
+def known_timeframe(timeframe: Column) -> Column:
+    """The name itself; an unknown one fails the job."""
+    message = F.concat(F.lit("unknown timeframe "), F.coalesce(timeframe, F.lit("NULL")))
+    return F.when(timeframe.isin(*TIMEFRAME_SECONDS), timeframe).otherwise(F.raise_error(message))
+
+
+def bars_between(timeframe: Column, start: Column, end: Column) -> Column:
+    """Bars that begin after ``start`` and before ``end``; months by the calendar, other bars by their length."""
+    months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start) - 1
+    seconds = F.ceil((epoch_seconds(end) - epoch_seconds(start)) / seconds_of(timeframe)) - 1
+    return F.when(known_timeframe(timeframe) == "1M", months.cast("bigint")).otherwise(seconds)
+
+
+def later_bar(timeframe: Column, start: Column, bars: Column) -> Column:
+    """Start of the bar that lies ``bars`` bars after the one at ``start``."""
+    month = F.add_months(F.trunc(start, "month"), bars.cast("int")).cast("timestamp_ntz")
+    return F.when(timeframe == "1M", month).otherwise(plus_seconds(start, bars * seconds_of(timeframe)).cast("timestamp_ntz"))
+
+
 def epoch_seconds(time: Column) -> Column:
     return F.unix_seconds(time.cast("timestamp"))
 

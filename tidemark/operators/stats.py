@@ -1,13 +1,13 @@
 """Summaries, distributions, correlation, gaps and error measures."""
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import pct_change, ratio, round_half_up
-from tidemark.functions.timeframes import epoch_seconds, plus_seconds, seconds_of
+from tidemark.functions.numbers import ratio, round_half_up
+from tidemark.functions.timeframes import bars_between, epoch_seconds, later_bar
 from tidemark.operators.indicators import returns_pct, returns_step
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.series import Step, over_block, run
@@ -201,100 +201,100 @@ def pivot_close(candles: DataFrame, symbols=None) -> DataFrame:
     return unique.groupBy("time").pivot("symbol", symbols).agg(F.max("close"))
 
 
-def returns_correlation(candles: DataFrame, symbols=None, **layout) -> DataFrame:
-    """Pearson correlation of returns for every ordered pair of symbols.
+CORRELATION_GROUP = 64
+
+
+def returns_correlation(candles: DataFrame, **layout) -> DataFrame:
+    """Pearson correlation of returns for every ordered pair of symbols; NULL for a symbol that never moves.
 
     A symbol without a candle at a time keeps its last close there, so its
-    return is zero; times before every symbol has a return are left out. The
-    times are never expanded to a grid: a missing cell of the pivot is the zero.
-    ``candles`` must hold one timeframe.
+    return is zero; times before every symbol has a return, and times at which a
+    symbol's return is undefined, are left out. ``candles`` must hold one timeframe.
+
+    Symbols are spread over groups. The returns of a group at a time are one row, rows of two
+    groups meet by time, and tasks sum their products as small matrices; the sums of each pair
+    are then added up. Neither the grid of times nor any matrix of all symbols is ever formed.
     """
-    if symbols is None:
-        # Spark refuses a pivot beyond spark.sql.pivotMaxValues; the same bound holds here.
-        limit = int(candles.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        found = distinct_symbols(candles).orderBy("symbol").limit(limit + 1).collect()
-        if len(found) > limit:
-            raise ValueError(f"more than {limit} symbols; pass a list")
-        symbols = [r["symbol"] for r in found]
-    nan = F.lit(float("nan"))
-    returns = run(candles, [returns_step()], **layout).select(
-        "time", "symbol", F.coalesce("returns", nan).alias("r")
-    )
+    if candles.select("timeframe").distinct().limit(2).count() > 1:
+        raise ValueError("candles of several timeframes; filter one first")
+    symbols = distinct_symbols(candles)
+    groups = max(1, -(-symbols.count() // CORRELATION_GROUP))
+    group = F.pmod(F.xxhash64("symbol"), F.lit(groups)).cast("int")
     complete_from = (
         candles.groupBy("symbol").agg(F.min("time").alias("t")).agg(F.max("t")).scalar()
     )
-    wide = (
-        returns.where(F.col("time") > complete_from)
-        .groupBy("time")
-        .pivot("symbol", symbols)
-        .agg(F.max("r"))
+    returns = run(candles, [returns_step()], **layout).where(F.col("time") > complete_from)
+    returns = returns.groupBy("time", "symbol").agg(F.max("returns").alias("r"))
+    undefined = returns.where("r IS NULL OR isnan(r)").select("time").distinct()
+    returns = returns.join(undefined, "time", "left_anti")
+    sums = returns.groupBy("symbol").agg(F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q"))
+    times = returns.agg(F.count_distinct("time").cast("double").alias("n"))
+    rows_by_group = returns.groupBy("time", group.alias("g")).agg(F.collect_list(F.struct("symbol", "r")).alias("cells"))
+    left = rows_by_group.withColumnsRenamed({"g": "ga", "cells": "a"})
+    right = rows_by_group.withColumnsRenamed({"g": "gb", "cells": "b"})
+    met = left.join(right, "time").where("ga <= gb").select("ga", "gb", "a", "b")
+    products = met.mapInPandas(_products, "symbol_a string, symbol_b string, p double")
+    products = products.groupBy("symbol_a", "symbol_b").agg(F.sum("p").alias("p"))
+    both = products.unionByName(
+        products.where("symbol_a <> symbol_b").select(F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), "p")
     )
-    wide = wide.select(
-        *[F.coalesce(F.col(f"`{s}`"), F.lit(0.0)).alias(f"s{i}") for i, s in enumerate(symbols)]
+    members = symbols.groupBy(group.alias("gb")).agg(F.collect_list("symbol").alias("_members"))
+    pairs = (
+        symbols.select(F.col("symbol").alias("symbol_a"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("gb"))
+        .join(members, "gb")
+        .select("symbol_a", F.explode("_members").alias("symbol_b"))
     )
-    wide = wide.where(~F.exists(F.array(*wide.columns), F.isnan))
-    if len(symbols) <= DIRECT_SYMBOLS:
-        return _pairwise(wide, symbols)
-    return _by_vectors(wide, symbols)
-
-
-DIRECT_SYMBOLS = 30
-VECTOR_SYMBOLS = 500
 
-
-def _pairwise(wide: DataFrame, symbols) -> DataFrame:
-    """One aggregate per pair, all in one pass."""
-    count = range(len(symbols))
-    sums = wide.agg(
-        *[F.corr(f"s{i}", f"s{j}").alias(f"c{i}_{j}") for i in count for j in count if i <= j]
-    )
-    cells = [
-        F.struct(
-            F.lit(symbols[i]).alias("symbol_a"),
-            F.lit(symbols[j]).alias("symbol_b"),
-            F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"),
-        )
-        for i in count
-        for j in count
-    ]
-    return sums.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
-
-
-def _by_vectors(wide: DataFrame, symbols) -> DataFrame:
-    """Many symbols: a matrix per two groups of symbols, each of bounded size."""
-    spark = wide.sparkSession
-    groups = [
-        range(at, min(at + VECTOR_SYMBOLS, len(symbols)))
-        for at in range(0, len(symbols), VECTOR_SYMBOLS)
-    ]
-    out = None
-    for n, left in enumerate(groups):
-        for right in groups[n:]:
-            chosen = list(left) if left == right else [*left, *right]
-            vectors = VectorAssembler(inputCols=[f"s{i}" for i in chosen], outputCol="v")
-            matrix = Correlation.corr(vectors.transform(wide).select("v"), "v").first()[0]
-            values = matrix.toArray()
-            cells = [
-                (symbols[i], symbols[j], float(values[p, q]))
-                for p, i in enumerate(chosen)
-                for q, j in enumerate(chosen)
-                if left == right or (i in left) != (j in left)
-            ]
-            part = spark.createDataFrame(cells, "symbol_a string, symbol_b string, corr double")
-            out = part if out is None else out.unionByName(part)
-    return out
+    def of(side):
+        return sums.select(F.col("symbol").alias(f"symbol_{side}"), F.col("s").alias(f"s{side}"), F.col("q").alias(f"q{side}"))
+
+    known = pairs.join(both, ["symbol_a", "symbol_b"], "left").join(of("a"), "symbol_a", "left").join(of("b"), "symbol_b", "left")
+    zero = {c: F.coalesce(c, F.lit(0.0)) for c in ("p", "sa", "qa", "sb", "qb")}
+    known = known.withColumns(zero).withColumn("n", F.lit(times.scalar()))
+
+    def spread(side):
+        # What rounding leaves of a flat series' variance is no variance.
+        v = F.col("n") * F.col(f"q{side}") - F.col(f"s{side}") * F.col(f"s{side}")
+        return F.when(v > F.col("n") * F.col(f"q{side}") * 1e-13, v)
+
+    together = F.col("n") * F.col("p") - F.col("sa") * F.col("sb")
+    corr = together / (F.sqrt(spread("a")) * F.sqrt(spread("b")))
+    one = F.when(spread("a").isNotNull(), F.lit(1.0))
+    return known.select("symbol_a", "symbol_b", F.when(F.col("symbol_a") == F.col("symbol_b"), one).otherwise(corr).alias("corr"))
+
+
+def _products(batches):
+    """Sums of products of every pair of symbols within a batch of joined rows."""
+    for batch in batches:
+        for (ga, gb), rows_ in batch.groupby(["ga", "gb"]):
+            sides = []
+            for side in ("a", "b"):
+                cells = [(t, c["symbol"], c["r"]) for t, row in enumerate(rows_[side]) for c in row]
+                names = sorted({c[1] for c in cells})
+                place = {name: i for i, name in enumerate(names)}
+                m = np.zeros((len(rows_), len(names)))
+                for t, name, r in cells:
+                    m[t, place[name]] = r
+                sides.append((names, m))
+            (na, ma), (nb, mb) = sides
+            p = ma.T @ mb
+            if ga == gb:  # once per pair
+                i, k = np.triu_indices(len(na))
+            else:
+                i, k = (x.ravel() for x in np.indices(p.shape))
+            yield pd.DataFrame({"symbol_a": [na[x] for x in i], "symbol_b": [nb[x] for x in k], "p": p[i, k]})
 
 
 def gaps(candles: DataFrame, **layout) -> DataFrame:
-    """Every missing bar between a series' first and last candle."""
+    """Every missing bar between a series' first and last candle; months count by the calendar.
+
+    An unknown timeframe fails the job.
+    """
     step = Step(("_before",), ({"_before": f"lag(time) {over_block()}"},), behind=1)
-    seconds = seconds_of(F.col("timeframe"))
-    after = F.col("_before")
-    missing = run(candles.select("time", *SERIES), [step], **layout).where(
-        epoch_seconds(F.col("time")) - epoch_seconds(after) > seconds
-    )
+    frame, after = F.col("timeframe"), F.col("_before")
+    bars = bars_between(frame, after, F.col("time"))
+    missing = run(candles.select("time", *SERIES), [step], **layout).where(after.isNotNull()).where(bars > 0)
     # A long gap is cut into runs of bars before it is expanded.
-    bars = F.ceil((epoch_seconds(F.col("time")) - epoch_seconds(after)) / seconds) - 1
     run_rows = 10_000
     cut = missing.select(
         *SERIES,
@@ -307,9 +307,7 @@ def gaps(candles: DataFrame, **layout) -> DataFrame:
         *SERIES,
         "_from",
         F.explode(F.sequence(F.col("_run") * run_rows + 1, last)).alias("_k"),
-    ).select(
-        *SERIES, plus_seconds(F.col("_from"), F.col("_k") * seconds).alias("time")
-    )
+    ).select(*SERIES, later_bar(frame, F.col("_from"), F.col("_k")).alias("time"))
 
 
 def outliers(candles: DataFrame, sigmas: float = 3.0, **layout) -> DataFrame:

@@ -35,9 +35,23 @@ def last_per_key(df: DataFrame, keys, order: str) -> DataFrame:
     )
 
 
+def one_per_key(df: DataFrame, keys, order=None, last: bool = False) -> DataFrame:
+    """One row per key: the first or last by ``order``, else by all other columns from left to right.
+
+    ``order`` is dropped. Either way the choice is deterministic and made in one aggregation.
+    """
+    if order is not None:
+        return (last_per_key if last else first_per_key)(df, keys, order).drop(order)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    whole = (F.max if last else F.min)(F.struct(*rest)).alias("_row")
+    return df.groupBy(*keys).agg(whole).select(*[c if c in keys else f"_row.{c}" for c in df.columns])
+
+
 def insert_ignore(existing: DataFrame, incoming: DataFrame, keys=CANDLE_KEY, order=None) -> DataFrame:
-    """Stored rows win over incoming ones; among incoming copies the first wins."""
-    fresh = incoming if order is None else first_per_key(incoming, keys, order).drop(order)
+    """Stored rows win over incoming ones; of incoming copies one is taken, the first by ``order`` (see one_per_key)."""
+    fresh = one_per_key(incoming, keys, order)
     fresh = fresh.join(existing.select(*keys), list(keys), "left_anti")
     return existing.unionByName(fresh.select(*existing.columns))
 
@@ -54,10 +68,9 @@ def upsert(
 
     Columns in ``keep`` (and columns that do not arrive) hold the stored value
     where there is one. ``touch`` sets columns of replaced rows, such as
-    ``updated_at``. ``order`` picks the last of several incoming copies.
+    ``updated_at``. Of incoming copies one is taken, the last by ``order`` (see one_per_key).
     """
-    if order is not None:
-        incoming = last_per_key(incoming, keys, order).drop(order)
+    incoming = one_per_key(incoming, keys, order, last=True)
     touch = touch or {}
     old = existing.withColumn("_old", F.lit(True)).alias("o")
     new = incoming.withColumn("_new", F.lit(True)).alias("n")

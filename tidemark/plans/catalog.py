@@ -150,7 +150,9 @@ def pivot_close(spark, sf):
 
 @query
 def gaps(spark, sf):
-    return stats.gaps(market.candles(spark, sf))
+    # Hours of all symbols, and months with every fourth one missing.
+    monthly = bars.resample(market.order_candles(spark, sf), "1M").where(F.month("time") % 4 != 2)
+    return stats.gaps(market.candles(spark, sf).unionByName(monthly))
 
 
 @query
@@ -367,6 +369,16 @@ def feature_run_stats(spark, sf):
     return features.feature_run_stats(base, features.refresh_features(base))
 
 
+@query
+def feature_overflow(spark, sf):
+    # One series has prices that no store type holds; the others are stored all the same.
+    huge = F.when((F.col("symbol") == "click") & (F.hour("time") == 9), 1e9).otherwise(F.col("close"))
+    base = market.candles(spark, sf).withColumn("close", huge).withColumn("high", F.greatest("high", "close"))
+    made = features.all_features(base)
+    kept, aside = features.stored_features(made), features.overflowing_features(made)
+    return features.feature_run_stats(base, kept, aside)
+
+
 @query
 def features_join(spark, sf):
     base = market.candles(spark, sf)
@@ -463,7 +475,8 @@ def normalize_candles(spark, sf):
 @query
 def upsert_ignore(spark, sf):
     stored, arriving = market.existing_and_incoming(spark, sf)
-    return tables.insert_ignore(stored, arriving).select(*KEY, "close")
+    arriving = arriving.unionByName(arriving.withColumn("open", F.col("open") + 1))  # copies: the smaller row counts
+    return tables.insert_ignore(stored, arriving).select(*KEY, "open", "close")
 
 
 @query
@@ -471,6 +484,7 @@ def upsert_update(spark, sf):
     stored, arriving = market.existing_and_incoming(spark, sf)
     stored = stored.withColumn("created_at", _fixed_time("2024-02-01"))
     arriving = arriving.withColumn("created_at", _fixed_time("2024-02-02"))
+    arriving = arriving.unionByName(arriving.withColumn("open", F.col("open") + 1))  # copies: the larger row counts
     merged = tables.upsert(stored, arriving)
     return merged.select(*KEY, "open", "close", "created_at")
 

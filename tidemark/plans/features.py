@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import indicators as ind
-from tidemark.operators.quality import null_share_filter
+from tidemark.operators.quality import nan_to_null, null_share_filter
 from tidemark.operators.series import run
 from tidemark.operators.stats import rows
 from tidemark.operators.tables import upsert
@@ -44,24 +44,38 @@ def all_features_with_target(candles: DataFrame, horizon: int = 1, **layout) ->
     return run(candles, [*feature_steps(), ind.target_step(horizons=(horizon,))], **layout)
 
 
-def stored_features(features: DataFrame) -> DataFrame:
-    """Rows of the features table: 19 columns in store types, rows that are half NULL left out.
+def _store_candidates(features: DataFrame) -> DataFrame:
+    """Rows that are at most half NULL, NaN counted as NULL, with ``overflow``: columns that don't fit their store type.
 
     ``volatility_24h`` is filled with ``volatility_7``.
     """
     chosen = features.where(F.col("time").isNotNull()).select(
         *CANDLE_KEY,
         *[
-            F.col("volatility_7" if n == "volatility_24h" else n).alias(n)
+            F.col("volatility_7" if n == "volatility_24h" else n).cast("double").alias(n)
             for n in STORED_FEATURES
         ],
     )
-    kept = null_share_filter(chosen, STORED_FEATURES)
-    return kept.select(
-        *CANDLE_KEY, *[F.col(n).cast(t).alias(n) for n, t in FEATURE_STORE_TYPES.items()]
+    kept = null_share_filter(nan_to_null(chosen, STORED_FEATURES), STORED_FEATURES)
+    broken = [
+        F.when(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull(), F.lit(n))
+        for n, t in FEATURE_STORE_TYPES.items()
+    ]
+    return kept.withColumn("overflow", F.array_compact(F.array(*broken)))
+
+
+def stored_features(features: DataFrame) -> DataFrame:
+    """Rows of the features table: 19 columns in store types. Rows that don't fit are left out (overflowing_features)."""
+    return _store_candidates(features).where(F.size("overflow") == 0).select(
+        *CANDLE_KEY, *[F.col(n).try_cast(t).alias(n) for n, t in FEATURE_STORE_TYPES.items()]
     )
 
 
+def overflowing_features(features: DataFrame) -> DataFrame:
+    """Key and columns of the rows that don't fit the store types."""
+    return _store_candidates(features).where(F.size("overflow") > 0).select(*CANDLE_KEY, "overflow")
+
+
 def refresh_features(
     candles: DataFrame, existing: DataFrame | None = None, timeframe: str | None = None, **layout
 ) -> DataFrame:
@@ -72,10 +86,16 @@ def refresh_features(
     return fresh if existing is None else upsert(existing, fresh)
 
 
-def feature_run_stats(candles: DataFrame, stored: DataFrame) -> DataFrame:
-    """Candle rows and stored feature rows of each series."""
+def feature_run_stats(candles: DataFrame, stored: DataFrame, overflow: DataFrame | None = None) -> DataFrame:
+    """Candle rows, stored feature rows and rows set aside of each series."""
     read = candles.groupBy(*SERIES).agg(rows().alias("rows"))
     kept = stored.groupBy(*SERIES).agg(rows().alias("features_stored"))
-    return read.join(kept, list(SERIES), "left").withColumn(
+    out = read.join(kept, list(SERIES), "left").withColumn(
         "features_stored", F.coalesce("features_stored", F.lit(0))
     )
+    if overflow is None:
+        return out
+    aside = overflow.groupBy(*SERIES).agg(rows().alias("features_overflowing"))
+    return out.join(aside, list(SERIES), "left").withColumn(
+        "features_overflowing", F.coalesce("features_overflowing", F.lit(0))
+    )

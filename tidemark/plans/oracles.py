@@ -19,6 +19,10 @@ def _bars(name, source, bucket, frame):
 
 CANDLES = TICKS + ", " + _bars("candles", "ticks", "date_trunc('hour', t)", "1h")
 
+HUGE_CANDLES = CANDLES.replace("candles AS (", "base_candles AS (") + """, candles AS (
+  SELECT * REPLACE (CASE WHEN symbol = 'click' AND hour(time) = 9 THEN 1e9 ELSE close END AS close,
+    greatest(high, CASE WHEN symbol = 'click' AND hour(time) = 9 THEN 1e9 ELSE close END) AS high) FROM base_candles)"""
+
 ORDER_CANDLES = f"""order_ticks AS (
   SELECT o_orderdate AS t, o_orderpriority AS symbol, o_totalprice AS price, 1.0::DOUBLE AS size,
          o_orderkey AS id FROM orders), {_bars('candles', 'order_ticks', "date_trunc('day', t)", '1d')}"""
@@ -345,7 +349,13 @@ FROM steps a JOIN steps b ON a.time = b.time JOIN complete k ON k.time = a.time
 FROM candles GROUP BY time""",
     "gaps": f"""WITH {CANDLES}, ends AS (SELECT symbol, timeframe, min(time) AS a, max(time) AS b FROM candles GROUP BY 1, 2),
 grid AS (SELECT symbol, timeframe, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS time FROM ends)
-SELECT g.symbol, g.timeframe, g.time FROM grid g ANTI JOIN candles c USING (symbol, timeframe, time)""",
+SELECT g.symbol, g.timeframe, g.time FROM grid g ANTI JOIN candles c USING (symbol, timeframe, time)
+UNION ALL
+SELECT g.symbol, '1M', g.time FROM (
+  SELECT symbol, unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS time FROM (
+    SELECT o_orderpriority AS symbol, date_trunc('month', o_orderdate)::TIMESTAMP AS m FROM orders) WHERE month(m) % 4 <> 2 GROUP BY symbol) g
+ANTI JOIN (SELECT o_orderpriority AS symbol, date_trunc('month', o_orderdate)::TIMESTAMP AS time FROM orders
+           WHERE month(o_orderdate) % 4 <> 2) USING (symbol, time)""",
     "outliers": f"""WITH {CANDLES}, steps AS (
   SELECT time, symbol, timeframe, close, close / nullif({prev('close')}, 0) - 1 AS returns FROM candles),
 moments AS (SELECT symbol, timeframe, avg(returns) AS m, stddev_samp(returns) AS s FROM steps GROUP BY 1, 2)
@@ -409,6 +419,12 @@ count(rsi_14) AS rsi_count, count(macd) AS macd_count FROM saved GROUP BY symbol
     "feature_run_stats": f"""WITH RECURSIVE {SAVED}, a AS (SELECT symbol, timeframe, count(*) AS rows FROM candles GROUP BY 1, 2),
 b AS (SELECT symbol, timeframe, count(*) AS features_stored FROM saved GROUP BY 1, 2)
 SELECT symbol, timeframe, rows, coalesce(features_stored, 0) AS features_stored FROM a LEFT JOIN b USING (symbol, timeframe)""",
+    "feature_overflow": f"""WITH RECURSIVE {KEPT.replace(CANDLES, HUGE_CANDLES)}, judged AS (SELECT symbol, timeframe,
+  {' OR '.join(f"({n} IS NOT NULL AND TRY_CAST({n} AS {_stored_type(t)}) IS NULL)" for n, t in FEATURE_STORE_TYPES.items())} AS bad FROM kept),
+a AS (SELECT symbol, timeframe, count(*) AS rows FROM candles GROUP BY 1, 2),
+b AS (SELECT symbol, timeframe, count(*) FILTER (NOT bad) AS good, count(*) FILTER (bad) AS over FROM judged GROUP BY 1, 2)
+SELECT symbol, timeframe, rows, coalesce(good, 0) AS features_stored, coalesce(over, 0) AS features_overflowing
+FROM a LEFT JOIN b USING (symbol, timeframe)""",
     "features_join": f"""WITH RECURSIVE {SAVED} SELECT s.time, s.symbol, s.timeframe, c.close, {_saved_doubles}
 FROM saved s JOIN candles c ON c.time = s.time AND c.symbol = s.symbol AND c.timeframe = s.timeframe""",
     "check_prices": f"""WITH {DIRTY} SELECT time, symbol, timeframe, open, {r('high', 'high')}, low, close FROM dirty
@@ -438,9 +454,9 @@ CASE WHEN hour(time) = 2 THEN 0.0::DOUBLE ELSE {r('quote_volume')} END AS quote_
 CAST(CASE WHEN hour(time) = 4 THEN 0 ELSE trades_count END AS INTEGER) AS trades_count, timeframe FROM candles""",
     "normalize_candles": f"""WITH {CANDLES} SELECT time AS "timestamp", symbol, timeframe, open, high, low, close,
 volume FROM candles""",
-    "upsert_ignore": f"""WITH {STORED} SELECT time, symbol, timeframe, close FROM stored
-UNION ALL SELECT time, symbol, timeframe, {r('close')} FROM arriving ANTI JOIN stored USING (time, symbol, timeframe)""",
-    "upsert_update": f"""WITH {STORED} SELECT time, symbol, timeframe, coalesce(a.open, s.open) AS open,
+    "upsert_ignore": f"""WITH {STORED} SELECT time, symbol, timeframe, open, close FROM stored
+UNION ALL SELECT time, symbol, timeframe, open, {r('close')} FROM arriving ANTI JOIN stored USING (time, symbol, timeframe)""",
+    "upsert_update": f"""WITH {STORED} SELECT time, symbol, timeframe, {r('coalesce(a.open + 1, s.open)', 'open')},
 {r('coalesce(a.close, s.close)', 'close')},
 CASE WHEN s.close IS NOT NULL THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS created_at
 FROM stored s FULL JOIN arriving a USING (time, symbol, timeframe)""",

@@ -17,7 +17,7 @@ from tidemark.operators.series import (
 from tidemark.operators.tables import upsert
 from tidemark.schemas import CANDLE_KEY, SERIES
 from tidemark.session import broadcast_if_small, scratch_dir
-from tidemark.sources.candles import write_by_day
+from tidemark.sources.candles import with_chunk, write_by_day
 from tidemark.streaming.running import AVERAGES, averages_processor
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -129,7 +129,8 @@ def averages_by_batch(folder: str, **layout):
     The same results as :func:`running_averages`, without a task per series: a
     batch is laid out in blocks like a table and goes on from the last values of
     each series, one row per series under ``folder/state``. Both are written
-    per batch, so a repeated batch replaces its own output.
+    per batch, so a repeated batch replaces its own output. Rows that are not newer
+    than the state of their series are kept under ``folder/late``.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -139,11 +140,17 @@ def averages_by_batch(folder: str, **layout):
         rows = spark.read.parquet(stage)
         before = f"{folder}/state/v={batch_id - 1}"
         known = _exists(spark, before)
+        if batch_id > 0 and not known:
+            raise ValueError(f"no state of batch {batch_id - 1} under {folder}; the folder belongs to another checkpoint")
+        if batch_id == 0 and _exists(spark, f"{folder}/state/v=1"):
+            raise ValueError(f"{folder} already holds later batches; a new checkpoint needs a new folder")
         if known:
             state = spark.read.parquet(before)
             was = state.select(*SERIES, *[F.col(n).alias(f"_was_{n}") for n in _SEEDS])
             rows = rows.join(broadcast_if_small(was), list(SERIES), "left")
-            rows = rows.where(F.col("_was_time").isNull() | (F.col("time") > F.col("_was_time")))
+            late = F.col("_was_time").isNotNull() & (F.col("time") <= F.col("_was_time"))
+            rows.where(late).select(*SERIES, "time", "close").write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
+            rows = rows.where(~late)
         else:
             nothing = {f"_was_{n}": F.lit(None).cast("double") for n in _SEEDS}
             rows = rows.withColumns(nothing)
@@ -159,6 +166,7 @@ def averages_by_batch(folder: str, **layout):
             F.max("time").alias("time"), *[F.max_by(n, "time").alias(n) for n in rest]
         )
         newest.write.mode("overwrite").parquet(f"{folder}/state/v={batch_id}")
+        remove_folder(spark, stage)
 
     return apply
 
@@ -167,17 +175,18 @@ def read_averages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").select(*SERIES, "time", "close", *_RESULTS)
 
 
-def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time", merge=upsert):
-    """A ``foreachBatch`` function that merges each batch into the day chunks it touches.
+def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time", merge=upsert, days: int = 1):
+    """A ``foreachBatch`` function that merges each batch into the chunks of ``days`` days it touches.
 
-    ``merge`` is :func:`upsert`, or ``insert_ignore`` to let stored rows win. A
-    batch must hold a key once. The new chunks are staged first, because a chunk
-    cannot be overwritten while it is read. A repeated batch gives the same table.
+    ``merge`` is :func:`upsert`, or ``insert_ignore`` to let stored rows win; copies in a
+    batch count once. The new chunks are staged first, because a chunk cannot be
+    overwritten while it is read, and the stage is removed afterwards. A repeated
+    batch gives the same table. The function also serves batch deliveries: ``apply(delivery, 0)``.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.withColumn("day", F.col(time).cast("date"))
+        batch = with_chunk(batch, time, days)
         stage = scratch_dir(spark, f"upsert-{batch_id}")
         batch.write.parquet(f"{stage}/batch")
         fresh = spark.read.parquet(f"{stage}/batch")
@@ -187,7 +196,8 @@ def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time", merge=upsert):
         else:
             merged = fresh.drop("day")
         merged.write.parquet(f"{stage}/merged")
-        write_by_day(spark.read.parquet(f"{stage}/merged"), target, time)
+        write_by_day(spark.read.parquet(f"{stage}/merged"), target, time, days)
+        remove_folder(spark, stage)
 
     return apply
 
@@ -208,6 +218,11 @@ def _exists(spark, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def remove_folder(spark, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def run_to_end(stream: DataFrame, mode: str = "append", foreach=None) -> DataFrame | None:
     """Process all available input once and return what was written (append mode) as a table."""
     spark = stream.sparkSession
