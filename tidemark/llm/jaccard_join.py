@@ -13,7 +13,6 @@ another one. Members that are in one component already need no comparison.
 import itertools
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -171,6 +170,53 @@ def members(sigs):
     return placed.mapInArrow(run, "sig long, hub long, s long")
 
 
+def parities(s):
+    """Parity of the number of shingles in each of 4 to 8 cells per shingle, as packed bits (a power of two).
+
+    Two sets differ in at least as many shingles as their cells differ in parity.
+    """
+    bits = 1 << max(8, (4 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(x, y):
+    """At least so many shingles differ between the sets of two packed parities; the longer one is folded."""
+    x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def sketches(texts):
+    """(s, n, sketch) of every set."""
+
+    def run(batches):
+        for b in batches:
+            sets = shingles(column(b, "raw").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [column(b, "s"), pa.array([len(x) for x in sets], pa.int64()), pa.array([parities(x) for x in sets], pa.binary())], ["s", "n", "sketch"])
+
+    return texts.select("s", "raw").mapInArrow(run, "s long, n long, sketch binary")
+
+
+def possible(pairs, marks, share):
+    """The pairs (a, b) whose sizes and parities don't rule out a similarity of ``share``."""
+    left = marks.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("xa"))
+    right = marks.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("xb"))
+    sized = pairs.join(left, "a").join(right, "b").filter(F.least("na", "nb") >= share * F.greatest("na", "nb"))
+
+    def run(batches):
+        for b in batches:
+            n = column(b, "na").to_numpy() + column(b, "nb").to_numpy()
+            d = np.array([least_difference(x, y) for x, y in zip(column(b, "xa").to_pylist(), column(b, "xb").to_pylist())], dtype=np.int64)
+            yield b.select(["a", "b"]).filter(pa.array(n - d >= share * (n + d), pa.bool_()))
+
+    return sized.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs, texts):
     """(a, b, both, any): sizes of intersection and union of the sets of every pair."""
     left = texts.select(F.col("s").alias("a"), F.col("raw").alias("ra"))
@@ -178,15 +224,15 @@ def verified(pairs, texts):
 
     def run(batches):
         for b in batches:
+            nodes = {}
+            for name, raw in (("a", "ra"), ("b", "rb")):
+                nodes.update(zip(column(b, name).to_pylist(), column(b, raw).to_pylist()))
+            sets = dict(zip(nodes, shingles(list(nodes.values()))))
             both, either = [], []
-            kept = {}
-            for node, ra, rb in zip(column(b, "a").to_pylist(), column(b, "ra").to_pylist(), column(b, "rb").to_pylist()):
-                if node not in kept:
-                    kept = {node: shingles([ra])[0]}
-                x, y = kept[node], shingles([rb])[0]
-                i = len(np.intersect1d(x, y, assume_unique=True))
+            for a, z in zip(column(b, "a").to_pylist(), column(b, "b").to_pylist()):
+                i = len(np.intersect1d(sets[a], sets[z], assume_unique=True))
                 both.append(i)
-                either.append(len(x) + len(y) - i)
+                either.append(len(sets[a]) + len(sets[z]) - i)
             yield pa.RecordBatch.from_arrays([column(b, "a"), column(b, "b"), pa.array(both, pa.int64()), pa.array(either, pa.int64())], ["a", "b", "both", "any"])
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ra", "rb").mapInArrow(run, "a long, b long, both long, any long")
@@ -237,51 +283,54 @@ def ball_links(balls, texts, size=BALL):
     rows = pairs.join(texts.select("s", "raw"), "s").select(
         "hub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "s", "label", "raw")
 
-    def run(rows):
-        sets = shingles(list(rows["raw"]))
-        found = block_links(sets, list(rows["label"]))
-        s = rows["s"].to_numpy()
-        return pd.DataFrame({"a": s[[i for i, _ in found]], "b": s[[j for _, j in found]]}, dtype="int64")
-
-    return rows.groupBy("hub", "i", "j").applyInPandas(run, "a long, b long")
-
-
-def sketches(texts):
-    """(s, band, n, sketch): counts of the set's shingles by residue; their differences bound those of the sets."""
-
     def run(batches):
-        for b in batches:
-            sets = shingles(column(b, "raw").to_pylist())
-            out = [np.minimum(np.bincount((x % np.uint64(64)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([column(b, "s"), pa.array([len(x) for x in sets], pa.int64()), pa.array(out, pa.binary())], ["s", "n", "sketch"])
+        for rows in repeats.groups(batches, ("hub", "i", "j")):
+            found = block_links(shingles(rows["raw"].to_pylist()), rows["label"].to_pylist())
+            if found:
+                s = rows["s"].to_numpy()
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(s[a]), pa.array(s[b])], ["a", "b"])
 
-    return texts.select("s", "raw").mapInArrow(run, "s long, n long, sketch binary")
+    placed = rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    return placed.mapInArrow(run, "a long, b long")
 
 
-def remaining_pairs(left, labels, texts, size=BALL):
-    """Pairs (a, b) of different components in one signature's rest that sizes and sketches don't rule out."""
+def remaining_pairs(left, labels, marks, size=BALL):
+    """Pairs (a, b) of different components in one signature's rest that sizes and parities don't rule out."""
     groups = left.groupBy("sig").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
     placed = left.join(groups, "sig").join(labels.withColumnRenamed("node", "s"), "s", "left").withColumn("label", F.coalesce("label", "s"))
-    placed = placed.join(sketches(texts), "s").withColumn("own", F.pmod(F.xxhash64("s"), "blocks").cast("int"))
+    placed = placed.join(marks, "s").withColumn("own", F.pmod(F.xxhash64("s"), "blocks").cast("int"))
     rows = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "s", "label", "n", "sketch")
 
-    def run(rows):
-        n, label, s = rows["n"].to_numpy(), rows["label"].to_numpy(), rows["s"].to_numpy()
-        x = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(len(rows), 64).astype(np.int16)
-        a, b = [], []
-        for r in range(len(rows) - 1):
+    def near(rows):
+        n, label, s = (rows[c].to_numpy() for c in ("n", "label", "s"))
+        marks_ = rows["sketch"].to_pylist()
+        short = min(map(len, marks_))
+        x = np.stack([np.bitwise_xor.reduce(np.frombuffer(k, dtype=np.uint8).reshape(-1, short), axis=0) for k in marks_])
+        for r in range(len(s) - 1):
             small, large = np.minimum(n[r], n[r + 1 :]), np.maximum(n[r], n[r + 1 :])
-            near = (label[r + 1 :] != label[r]) & (10 * small >= 8 * large)
-            at = np.flatnonzero(near) + r + 1
+            at = np.flatnonzero((label[r + 1 :] != label[r]) & (10 * small >= 8 * large)) + r + 1
             if len(at):
-                at = at[np.abs(x[at] - x[r]).sum(axis=1) <= np.minimum(n[at], n[r]) // 4]
-                a.append(np.minimum(s[at], s[r]))
-                b.append(np.maximum(s[at], s[r]))
-        none = np.zeros(0, dtype=np.int64)
-        return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
+                at = at[np.bitwise_count(x[at] ^ x[r]).sum(axis=1, dtype=np.int64) <= np.minimum(n[at], n[r]) // 4]
+                yield from ((min(s[r], s[k]), max(s[r], s[k])) for k in at)
 
-    return rows.groupBy("sig", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    def run(batches):
+        found = set()
+        for rows in repeats.groups(batches, ("sig", "i", "j")):
+            found.update(near(rows))
+            if len(found) > 10_000:  # signatures of one pair mostly repeat; what is left over, Spark merges
+                yield pairs_batch(found)
+                found = set()
+        if found:
+            yield pairs_batch(found)
+
+    def pairs_batch(found):
+        a, b = np.array(sorted(found), dtype=np.int64).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    placed = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return placed.mapInArrow(run, "a long, b long").distinct()
 
 
 def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
@@ -293,7 +342,8 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
     # One text per set that shares a signature, for the comparisons.
     needed = found.select("s").unionByName(found.select(F.col("hub").alias("s"))).distinct()
     reps = nodes.filter("n >= 4").groupBy("s").agg(F.min(F.struct("doc_id", "k")).alias("key")).join(needed, "s")
-    texts = stored(spark, rows.join(reps, "key").select("s", "raw").dropDuplicates(["s"]), "set-texts")
+    texts = stored(spark, rows.join(reps, "key").dropDuplicates(["key"]).select("s", "raw"), "set-texts")
+    marks = stored(spark, sketches(texts), "set-parities")
     left, links, labels = found, None, None
     known = None
     for turn in range(rounds):
@@ -301,6 +351,8 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         hubs = star.select(F.col("a").alias("hub")).distinct()
         if known is not None:
             star = star.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        # What parities rule out is far from the hub, and needs no text.
+        star = stored(spark, possible(star, marks, 0.4), "possible-pairs")
         near = stored(spark, verified(star, texts), "hub-pairs")
         known = near if known is None else known.unionByName(near)
         linked = known.filter("100 * both >= 80 * any").select("a", "b")
@@ -312,11 +364,12 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         ball = ball.unionByName(ball.select("hub", F.col("hub").alias("s")).distinct())
         ball = ball.join(by_s, "s", "left").withColumn("label", F.coalesce("label", "s"))
         inside = stored(spark, ball_links(ball, texts), "ball-links")
-        links = stored(spark, links.unionByName(inside).distinct(), "links")
-        labels = components(spark, links)
+        if not inside.isEmpty():
+            links = stored(spark, links.unionByName(inside).distinct(), "links")
+            labels = components(spark, links)
         by_s = labels.withColumnRenamed("node", "s")
-        far = known.filter("10 * both < 6 * any").select(F.col("a").alias("hub"), F.col("b").alias("s"))
-        rest = left.join(far, ["hub", "s"]).select("sig", "s")
+        close = known.filter("10 * both >= 6 * any").select(F.col("a").alias("hub"), F.col("b").alias("s"))
+        rest = left.join(close, ["hub", "s"], "left_anti").select("sig", "s")
         labelled = rest.join(by_s, "s", "left").withColumn("label", F.coalesce("label", "s"))
         open_ = labelled.groupBy("sig").agg(F.min("s").alias("hub"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
         whole = stored(spark, rest.join(open_.select("sig", "hub"), "sig"), "rest")
@@ -324,7 +377,7 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         if left.isEmpty():
             break
     else:
-        pairs = remaining_pairs(whole.select("sig", "s"), labels, texts)
+        pairs = remaining_pairs(whole.select("sig", "s"), labels, marks)
         pairs = pairs.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         last = verified(pairs, texts).filter("100 * both >= 80 * any").select("a", "b")
         links = stored(spark, links.unionByName(last), "links")

@@ -25,6 +25,24 @@ def column(batch, name):
     return batch.column(batch.schema.get_field_index(name))
 
 
+def groups(batches, keys):
+    """Tables of the rows of one key each, from batches sorted by integer ``keys``; holds one group and one batch."""
+    held = None
+    for b in batches:
+        new = pa.Table.from_batches([b])
+        held = new if held is None else pa.concat_tables([held, new])
+        change = np.zeros(max(held.num_rows - 1, 0), dtype=bool)
+        for key in keys:
+            change |= np.diff(held[key].to_numpy()) != 0
+        at = 0
+        for cut in np.flatnonzero(change) + 1:
+            yield held.slice(at, cut - at)
+            at = cut
+        held = held.slice(at)
+    if held is not None and held.num_rows:
+        yield held
+
+
 def lists(col):
     """(offsets, fields as numpy arrays) of a list<struct> column without nulls."""
     flat = col.flatten()
