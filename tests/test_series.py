@@ -75,6 +75,37 @@ def test_rsi_edges(spark):
     np.testing.assert_allclose(by["STILL"], expected_features(still)["rsi_14"].to_numpy(float), rtol=1e-9)
 
 
+def test_results_do_not_depend_on_blocks(spark):
+    pdf = walk("A", 14000, seed=3, step="1min", timeframe="1m")
+    pdf.loc[2000:11000, "close"] = pdf.loc[1999, "close"]
+    pdf["close"] = pdf["close"].astype(object)
+    pdf.loc[1200, "close"] = float("nan")
+    pdf.loc[12500, "close"] = None
+    base = to_spark(spark, pdf.astype({"close": float})).withColumn(
+        "close", F.when(F.col("time") == F.lit(pdf["time"][12500]), F.lit(None)).otherwise(F.col("close")))
+    steps = [ind.rsi_step(), ind.ema_step(), ind.macd_step(), ind.atr_step()]
+    names = [n for s in steps for n in s.adds]
+    made = [run(base, steps, block_rows=b).toPandas().sort_values("time")[names].to_numpy(float) for b in (600, 6000, 32768)]
+    for other in made[1:]:
+        np.testing.assert_allclose(other, made[0], rtol=1e-9, atol=1e-9)
+    rsi = made[0][:, 0]
+    known = pdf["close"].astype(float).ffill()
+    want = expected_features(pdf.assign(close=known))
+    np.testing.assert_allclose(rsi[:6000], want["rsi_14"][:6000].to_numpy(float), rtol=1e-7)
+    # The value is held for a fixed number of rows after the last move.
+    assert not np.isnan(rsi[1999 + ind.RSI_HOLD]) and np.isnan(rsi[2000 + ind.RSI_HOLD]) and not np.isnan(rsi[11002])
+    np.testing.assert_allclose(made[0][:, 2], want["ema_25"].to_numpy(float), rtol=1e-9)
+
+
+def test_averages_start_at_the_first_known_value(spark):
+    pdf = walk("A", 50)
+    pdf.loc[:4, "close"] = float("nan")
+    got = ind.exponential_average(to_spark(spark, pdf), chunk_rows=7).toPandas().sort_values("time")["ema_7"].to_numpy(float)
+    want = pdf["close"][5:].ewm(span=7, adjust=False).mean().to_numpy(float)
+    assert np.isnan(got[:5]).all()
+    np.testing.assert_allclose(got[5:], want, rtol=1e-12)
+
+
 def test_zero_close_and_flat_windows_give_null(spark):
     pdf = walk("Z", 60)
     pdf.loc[:, ["open", "high", "low", "close"]] = 1.0

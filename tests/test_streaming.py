@@ -51,16 +51,41 @@ def test_latest_over_batches(spark, tmp_path):
     assert row["price"] == pytest.approx(pdf["close"].iloc[-1])
 
 
-def test_running_averages_equal_batch(spark, tmp_path):
-    pdf = pd.concat([walk("A", 90, seed=1), walk("B", 90, seed=2)]).sort_values("time")
-    stream = feed(spark, tmp_path / "in", pdf[:50], pdf[50:51], pdf[40:120], pdf[120:])
-    got = jobs.run_to_end(jobs.running_averages(stream)).toPandas()
-    for symbol in "AB":
-        want = expected_features(pdf[pdf["symbol"] == symbol].reset_index(drop=True))
-        mine = got[got["symbol"] == symbol].sort_values("time").reset_index(drop=True)
-        assert len(mine) == 90
-        for name in ("ema_7", "ema_25", "ema_99", "rsi_14", "macd", "macd_signal", "macd_histogram"):
-            pd.testing.assert_series_equal(mine[name].astype(float), want[name], check_names=False, rtol=1e-9, atol=1e-9)
+def test_open_day_in_update_mode(spark, tmp_path):
+    pdf = walk("A", 60)
+    stream = feed(spark, tmp_path / "in", pdf[:30], pdf[30:40], pdf[40:])
+    got = jobs.run_updates(jobs.daily_bars(stream), ("day", "symbol", "timeframe"), "day").orderBy("day").toPandas()
+    assert list(got["candles_count"]) == [24, 24, 12]
+
+
+def test_late_and_missing_rows_are_set_aside(spark, tmp_path):
+    pdf = walk("A", 40)
+    hole = pdf[25:26].assign(close=float("nan"))
+    folder = str(tmp_path / "averages")
+    stream = feed(spark, tmp_path / "in", pdf[:20], pdf[18:25], pd.concat([hole, pdf[26:]]))
+    jobs.run_to_end(stream, foreach=jobs.averages_by_batch(folder))
+    assert jobs.read_averages(spark, folder).count() == 39
+    assert spark.read.parquet(f"{folder}/late").count() == 3
+
+
+def test_a_new_checkpoint_needs_a_new_folder(spark, tmp_path):
+    pdf = walk("A", 10)
+    folder = str(tmp_path / "averages")
+    stream = feed(spark, tmp_path / "in", pdf[:5], pdf[5:])
+    jobs.run_to_end(stream, foreach=jobs.averages_by_batch(folder))
+    with pytest.raises(Exception, match="already holds later batches"):
+        jobs.run_to_end(feed(spark, tmp_path / "again", pdf[:5]), foreach=jobs.averages_by_batch(folder))
+
+
+def test_a_repeated_batch_with_copies_changes_nothing(spark, tmp_path):
+    target = str(tmp_path / "table")
+    base = to_spark(spark, walk("A", 60)).withColumn("time", F.col("time").cast("timestamp"))
+    apply = jobs.upsert_days(target, days=7)
+    apply(base.unionByName(base.limit(9).withColumn("close", F.lit(1.0))), 0)
+    once = sorted(map(tuple, spark.read.parquet(target).collect()))
+    apply(base.unionByName(base.limit(9).withColumn("close", F.lit(1.0))), 0)
+    spark.catalog.clearCache()
+    assert len(once) == 60 and sorted(map(tuple, spark.read.parquet(target).collect())) == once
 
 
 def test_batchwise_averages_equal_one_pass(spark, tmp_path):

@@ -13,7 +13,6 @@ from tidemark.operators.series import (
     RUNNING,
     Step,
     ema,
-    ema_memory,
     ema_reach,
     over_block,
     rolling,
@@ -37,10 +36,16 @@ def sma_step(column="close", periods=(7, 25, 99)) -> Step:
     return Step(tuple(means), rolling(column, means), behind=max(periods) - 1)
 
 
+def known(column: str) -> str:
+    """The column with missing values (NULL or NaN) replaced by the last known one of the series."""
+    return f"_known_{column}"
+
+
 def ema_step(column="close", periods=(7, 25, 99)) -> Step:
-    layers = ema({f"ema_{p}": (column, p) for p in periods})
+    """A missing value counts as the last known one; NULL before the first."""
+    layers = ema({f"ema_{p}": (known(column), p) for p in periods}, started=known(column))
     return Step(
-        tuple(layers[-1]), ({}, *layers), behind=max(ema_reach(p) for p in periods)
+        tuple(layers[-1]), ({}, *layers), behind=max(ema_reach(p) for p in periods), carries={known(column): column}
     )
 
 
@@ -59,11 +64,27 @@ def moves(delta: str, gain: str, loss: str) -> dict:
     }
 
 
+# Rows of a flat stretch for which RSI holds its last value; far longer ones would underflow the averages.
+RSI_HOLD = 4000
+
+
+def held_rsi(now: str, delta: str, seed: str | None = None, still: str | None = None) -> str:
+    """The last ratio, for at most ``RSI_HOLD`` rows after the last move; NULL then, until the next move.
+
+    ``seed`` and ``still`` are the value before the first row and how many rows ago its series moved.
+    """
+    since = f"_pos - last(CASE WHEN {delta} <> 0 THEN _pos END, true) {over_block(RUNNING)}"
+    held = f"last({now}, true) {over_block(RUNNING)}"
+    if seed:
+        since, held = f"coalesce({since}, _pos + 1 + {still})", f"coalesce({held}, {seed})"
+    return f"CASE WHEN {since} <= {RSI_HOLD} THEN {held} END"
+
+
 def rsi_step(column="close", period=14) -> Step:
     """100 - 100/(1 + gain/loss) with exponential averages of gains and losses.
 
     NULL until the first move, 100 without any loss. A flat stretch shrinks both
-    averages alike and leaves their ratio as it was, until they underflow.
+    averages alike and leaves their ratio as it was; it is held for ``RSI_HOLD`` rows.
     """
     name = f"rsi_{period}"
     delta, gain, loss, up, down, now = (
@@ -73,13 +94,14 @@ def rsi_step(column="close", period=14) -> Step:
     return Step(
         (name,),
         (
-            {delta: f"{column} - {_previous(column)}"},
+            {delta: f"{known(column)} - {_previous(known(column))}"},
             {**moves(delta, gain, loss), **averages[0]},
             *averages[1:],
             {now: relative_strength(up, down)},
-            {name: f"last({now}, true) {over_block(RUNNING)}"},
+            {name: held_rsi(now, delta)},
         ),
-        behind=ema_memory(period) + ema_reach(period) + 1,
+        behind=RSI_HOLD + ema_reach(period) + 1,
+        carries={known(column): column},
     )
 
 
@@ -89,7 +111,7 @@ def macd_step(column="close", fast=12, slow=26, signal=9) -> Step:
     The signal follows from averages of the input, so it needs no second scan.
     """
     spans = sorted({fast, slow, signal})
-    averages = ema({f"_macd_ema_{s}": (column, s) for s in spans})
+    averages = ema({f"_macd_ema_{s}": (known(column), s) for s in spans}, started=known(column))
     line = {"macd": f"_macd_ema_{fast} - _macd_ema_{slow}"}
 
     def averaged(span):
@@ -103,6 +125,7 @@ def macd_step(column="close", fast=12, slow=26, signal=9) -> Step:
         ("macd", "macd_signal", "macd_histogram"),
         ({}, *layers, {"macd_histogram": "macd - macd_signal"}),
         behind=2 * max(ema_reach(s) for s in spans),
+        carries={known(column): column},
     )
 
 
@@ -123,16 +146,17 @@ def bollinger_step(column="close", period=20, std=2.0) -> Step:
 
 
 def atr_step(period=14) -> Step:
-    averages = ema({f"atr_{period}": ("_true_range", period)})
-    true_range = "greatest(high - low, abs(high - _atr_before), abs(low - _atr_before))"
+    averages = ema({f"atr_{period}": ("_true_range", period)}, started=known("close"))
+    true_range = f"greatest({known('high')} - {known('low')}, abs({known('high')} - _atr_before), abs({known('low')} - _atr_before))"
     return Step(
         (f"atr_{period}",),
         (
-            {"_atr_before": _previous("close")},
+            {"_atr_before": _previous(known("close"))},
             {"_true_range": true_range, **averages[0]},
             *averages[1:],
         ),
         behind=ema_reach(period) + 1,
+        carries={known(c): c for c in ("high", "low", "close")},
     )
 
 

@@ -43,7 +43,8 @@ class Step:
 
     ``layers`` are dicts of SQL expressions by column name; a layer may use the
     columns of the layers before it. Steps run layer by layer together, so that
-    all windows of one layer share a single pass over the block.
+    all windows of one layer share a single pass over the block. ``carries`` names
+    columns that hold the last known value of another column, from the head of the series on.
     """
 
     adds: tuple
@@ -52,6 +53,7 @@ class Step:
     ahead: int = 0
     totals: dict = field(default_factory=dict)
     firsts: dict = field(default_factory=dict)
+    carries: dict = field(default_factory=dict)
 
 
 def with_position(
@@ -60,6 +62,7 @@ def with_position(
     time: str = "time",
     totals: dict | None = None,
     firsts: dict | None = None,
+    carries: dict | None = None,
     with_length: bool = False,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
@@ -67,10 +70,13 @@ def with_position(
 
     ``totals`` maps new names to expressions summed from the head of the series
     to the row; ``firsts`` maps new names to expressions read at the first row;
-    ``with_length`` adds ``_length``, the rows of the series. Rows without a
-    key or time are left out.
+    ``carries`` maps new names to columns whose last known value (neither NULL nor NaN) up to the row
+    they hold, NULL before the first; ``with_length`` adds ``_length``, the rows of the series.
+    Rows without a key or time are left out.
     """
-    keys, totals, firsts = list(keys), totals or {}, firsts or {}
+    keys, totals, firsts, carries = list(keys), totals or {}, firsts or {}, carries or {}
+    numbers = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    there = {n: F.when(~F.isnan(c), F.col(c)) if c in numbers else F.col(c) for n, c in carries.items()}
     bar = seconds_of(F.col("timeframe")) if "timeframe" in df.columns else F.lit(3600)
     chunk_seconds = bar.cast("long") * chunk_rows
     chunked = df.withColumn("_chunk", F.floor(epoch_seconds(F.col(time)) / chunk_seconds))
@@ -79,6 +85,7 @@ def with_position(
         F.count(F.lit(1)).alias("_rows"),
         *[F.sum(e).alias(n) for n, e in totals.items()],
         *[F.min_by(e, time).alias(n) for n, e in firsts.items()],
+        *[F.max_by(e, F.when(e.isNotNull(), F.col(time))).alias(n) for n, e in there.items()],
     )
     series = W.partitionBy(*keys).orderBy("_chunk")
     before = series.rowsBetween(W.unboundedPreceding, -1)
@@ -89,6 +96,7 @@ def with_position(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         *[F.coalesce(F.sum(n).over(before), F.lit(0.0)).alias(f"_before{n}") for n in totals],
         *[F.first(n).over(so_far).alias(n) for n in firsts],
+        *[F.last(n, ignorenulls=True).over(before).alias(f"_before{n}") for n in carries],
         *([F.sum("_rows").over(W.partitionBy(*keys)).alias("_length")] if with_length else []),
     )
     in_chunk = W.partitionBy(*keys, "_chunk").orderBy(time)
@@ -97,6 +105,7 @@ def with_position(
         {
             "_local": F.row_number().over(in_chunk) - 1,
             **{n: F.sum(e).over(running) for n, e in totals.items()},
+            **{n: F.last(e, ignorenulls=True).over(running) for n, e in there.items()},
         }
     )
     placed = numbered.join(starts, [*keys, "_chunk"])
@@ -104,8 +113,9 @@ def with_position(
         {
             "_pos": F.col("_start") + F.col("_local"),
             **{n: F.col(n) + F.col(f"_before{n}") for n in totals},
+            **{n: F.coalesce(n, f"_before{n}") for n in carries},
         }
-    ).drop("_chunk", "_start", "_local", *[f"_before{n}" for n in totals])
+    ).drop("_chunk", "_start", "_local", *[f"_before{n}" for n in (*totals, *carries)])
 
 
 def in_blocks(df: DataFrame, behind=0, ahead=0, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -153,10 +163,13 @@ def run(
     """Lay the series out once, apply all steps, and return the input columns plus theirs."""
     totals = {n: e for s in steps for n, e in s.totals.items()}
     firsts = {n: e for s in steps for n, e in s.firsts.items()}
+    carries = {n: e for s in steps for n, e in s.carries.items()}
     adds = [n for s in steps for n in s.adds]
     kept = [c for c in df.columns if c not in adds]
-    df = df.select(*kept)
-    out = with_position(df, keys, time, totals, firsts, chunk_rows=chunk_rows)
+    numbers = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    # NaN counts as missing.
+    df = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if c in numbers else c for c in kept])
+    out = with_position(df, keys, time, totals, firsts, carries, chunk_rows=chunk_rows)
     out = in_blocks(
         out, max(s.behind for s in steps), max(s.ahead for s in steps), block_rows
     )
@@ -249,11 +262,6 @@ def ema_reach(span: int) -> int:
     return 1 if span <= 1 else math.ceil(_FADE / -math.log(_decay(span)))
 
 
-def ema_memory(span: int) -> int:
-    """Rows after which an old value's weight underflows to zero in double arithmetic."""
-    return 1 if span <= 1 else math.ceil(745.2 / -math.log(_decay(span)))
-
-
 def twice_averaged(of_span: str, of_signal: str, span: int, signal: int) -> str:
     """The ``signal`` average of the ``span`` average, from the two averages of the same input.
 
@@ -265,16 +273,22 @@ def twice_averaged(of_span: str, of_signal: str, span: int, signal: int) -> str:
     )
 
 
-def ema(averages: dict, keys=SERIES, seeds: dict | None = None) -> tuple:
+def ema(averages: dict, keys=SERIES, seeds: dict | None = None, started: str | None = None) -> tuple:
     """Four layers that add ``e_t = a*x_t + (1-a)*e_{t-1}``, ``e_0 = x_0``, for ``{name: (x, span)}``.
 
     ``seeds`` maps names to columns with the value before the first row, NULL
-    where there is none. ``x`` must hold a value in every row. Inside a segment
+    where there is none. ``x`` must hold a value in every row, or with ``started``, a column, in every
+    row from the first one on in which that column holds a value. Inside a segment
     of positions the average is ``q**j * sum(u_i / q**i)``; what came earlier
     enters through the last value of the previous segment, older ones have
     faded out.
     """
     decays, inner, ends, values = {}, {}, {}, {}
+    begins = "_pos = 0"
+    if started:
+        # At the head of a block's copied rows this is wrong and without weight.
+        decays[f"_start_{started}"] = f"lag({started}) {over_block(keys=keys)}"
+        begins = f"_pos = 0 OR _start_{started} IS NULL"
     for name, (x, span) in averages.items():
         x = f"CAST({x} AS DOUBLE)"
         if span <= 1:
@@ -287,7 +301,7 @@ def ema(averages: dict, keys=SERIES, seeds: dict | None = None) -> tuple:
         local, end, decay = f"_in_{name}", f"_end_{name}", f"_decay_{span}"
         weighted = f"{x} * {double(1.0 - q)}"
         first = f"coalesce({weighted} + {seeds[name]} * {double(q)}, {x})" if seeds else x
-        entry = f"CASE WHEN _pos = 0 THEN {first} ELSE {weighted} END"
+        entry = f"CASE WHEN {begins} THEN {first} ELSE {weighted} END"
         decays[decay] = f"power({double(q)}, _pos % {rows})"
         inner[local] = f"{decay} * sum(({entry}) / {decay}) {here}"
         at_end = f"CASE WHEN _pos % {rows} = {rows - 1} THEN {local} END"

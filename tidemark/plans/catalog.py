@@ -6,12 +6,13 @@ their means often lie exactly half-way, where the last bit would decide.
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import bars, lookups, quality, stats, tables
 from tidemark.operators import indicators as ind
-from tidemark.plans import features, learning, market
+from tidemark.plans import features, learning, market, model_checks
 from tidemark.schemas import SERIES, STORED_FEATURES
 from tidemark.session import broadcast_if_small, configure, scratch_dir
 from tidemark.sources import candles as files
@@ -245,6 +246,14 @@ def rsi(spark, sf):
     return _columns(ind.rsi(market.candles(spark, sf)), "rsi_14")
 
 
+@query
+def ema_missing(spark, sf):
+    """Averages of closes of which some are NULL and some NaN."""
+    hour, day = F.hour("time"), F.dayofmonth("time")
+    close = F.when((hour == 3) & (day % 5 == 3), F.lit(None)).when((hour == 7) & (day % 5 == 4), F.lit(float("nan"))).otherwise(F.col("close"))
+    return _columns(ind.exponential_average(market.candles(spark, sf).withColumn("close", close)), "ema_7", "ema_25", "ema_99")
+
+
 @query
 def macd(spark, sf):
     made = ind.macd(market.candles(spark, sf))
@@ -537,7 +546,6 @@ def _training(spark, sf):
 
 def _prepared(spark, sf):
     split = learning.chronological_split(_training(spark, sf))
-    split = learning.materialize(split, "split")
     return learning.scale(split, learning.scaler_stats(split, STORED_FEATURES), STORED_FEATURES)
 
 
@@ -629,57 +637,75 @@ def confidence_band(spark, sf):
 # --- models -----------------------------------------------------------------
 
 
-def _predicted(spark, sf, kind, **params):
+def _predicted(spark, sf, kind, facts, **params):
+    """Every row with its actual value, whether it has a finite prediction, and the facts of the fit."""
     frame = learning.materialize(_prepared(spark, sf), "scaled")
     trained = learning.fit(kind, frame, STORED_FEATURES, **params)
-    return learning.predict(trained, frame)
+    rows = learning.predict(trained, frame)
+    p = F.col("predicted")
+    rows = rows.withColumn("finite", p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e300)).drop("predicted")
+    return rows.withColumns({n: F.lit(bool(v)) for n, v in facts(trained, frame).items()})
 
 
 @query
 def lr_predict(spark, sf):
-    return _predicted(spark, sf, "linear")
+    return _predicted(spark, sf, "linear", model_checks.linear_facts)
 
 
 @query
 def ridge_predict(spark, sf):
-    return _predicted(spark, sf, "linear_ridge")
+    return _predicted(spark, sf, "linear_ridge", lambda t, f: model_checks.linear_facts(t, f, alpha=1.0))
 
 
 @query
 def lasso_predict(spark, sf):
-    return _predicted(spark, sf, "linear_lasso")
+    return _predicted(spark, sf, "linear_lasso", lambda t, f: model_checks.linear_facts(t, f, alpha=1.0, l1=True))
 
 
 @query
 def rf_predict(spark, sf):
-    return _predicted(spark, sf, "random_forest")
+    return _predicted(spark, sf, "random_forest", model_checks.tree_facts)
 
 
 @query
 def gbt_predict(spark, sf):
-    return _predicted(spark, sf, "xgboost")
+    return _predicted(spark, sf, "xgboost", lambda t, f: model_checks.tree_facts(t, f, bounded=False))
 
 
 @query
 def feature_importance(spark, sf):
+    """All features by rank of importance; the importances are not negative, descend, and sum to 1."""
     frame = learning.materialize(_prepared(spark, sf), "scaled")
     trained = learning.fit("random_forest", frame, STORED_FEATURES)
-    return learning.feature_importance(trained, spark, 15)
+    every = learning.feature_importance(trained, spark, len(STORED_FEATURES)).collect()
+    top = learning.feature_importance(trained, spark, 15).collect()
+    whole = abs(sum(r["importance"] for r in every) - 1) < 1e-9
+    falling = all(a["importance"] >= b["importance"] >= 0 for a, b in zip(every, every[1:]))
+    rows = [(r["feature"], whole, falling, top == every[:15]) for r in every]
+    return spark.createDataFrame(rows, "feature string, sums_to_one boolean, descending boolean, top_is_prefix boolean")
 
 
 @query
 def model_comparison(spark, sf):
-    kinds = ("linear", "linear_ridge", "linear_lasso", "random_forest")
-    _, scored = learning.train_models(_prepared(spark, sf), STORED_FEATURES, kinds)
-    return learning.compare_models(scored, "val")
+    few = {"random_forest": {"numTrees": 20}, "xgboost": {"maxIter": 5}, "lightgbm": {"maxIter": 5}}
+    _, scored = learning.train_models(_prepared(spark, sf), STORED_FEATURES, tuple(learning.MODEL_TYPES), params=few)
+    ranked = learning.compare_models(scored, "val")
+    place = W.partitionBy("split").orderBy("rmse", "model_name")
+    first = F.row_number().over(place) == 1
+    return ranked.select("model_name", "split", "samples", (first == F.col("is_best")).alias("best_is_first"))
 
 
 @query
 def model_roundtrip(spark, sf):
+    """Every row, and whether the saved and loaded model predicts the same."""
     frame = learning.materialize(_prepared(spark, sf), "scaled")
     path = scratch_dir(spark, "model")
-    learning.save_model(learning.fit("linear", frame, STORED_FEATURES), path, spark)
-    return learning.predict(learning.load_model(path, spark), frame)
+    trained = learning.fit("linear", frame, STORED_FEATURES)
+    learning.save_model(trained, path, spark)
+    before = learning.predict(trained, frame)
+    after = learning.predict(learning.load_model(path, spark), frame).withColumnRenamed("predicted", "again")
+    both = before.join(after.select(*KEY, "again"), KEY)
+    return both.select("model_name", *KEY, "split", "actual", (F.col("predicted") == F.col("again")).alias("same"))
 
 
 # --- files ------------------------------------------------------------------
@@ -766,11 +792,14 @@ def sink_by_week(spark, sf):
 
 
 def _candle_stream(spark, sf, source=market.candles):
-    """Candles written as a folder of files in time order, read back as a stream."""
+    """Candles as a folder of one file per week, written in time order, read back as a stream of one file per batch."""
     folder = scratch_dir(spark, "feed")
     made = source(spark, sf).withColumn("time", F.col("time").cast("timestamp"))
-    made.repartitionByRange(4, "time").write.parquet(folder)
-    return jobs.read_stream(spark, folder, made.schema)
+    ends = [_fixed_time(f"2024-01-{day:02d}").cast("timestamp") for day in (8, 15, 22)]
+    weeks = [F.col("time") < ends[0], *[(F.col("time") >= a) & (F.col("time") < b) for a, b in zip(ends, ends[1:])], F.col("time") >= ends[-1]]
+    for week in weeks:
+        made.where(week).coalesce(1).write.mode("append").parquet(folder)
+    return jobs.read_stream(spark, folder, made.schema, files_per_batch=1)
 
 
 @query
@@ -781,8 +810,8 @@ def stream_ingest(spark, sf):
 
 @query
 def stream_daily(spark, sf):
-    # The last day of the feed stays open: its end lies behind the watermark only when newer rows arrive.
-    return jobs.run_to_end(jobs.daily_bars(_candle_stream(spark, sf)))
+    # Update mode delivers the last day too, whose end the watermark never passes.
+    return jobs.run_updates(jobs.daily_bars(_candle_stream(spark, sf)), ("day", *SERIES), "day")
 
 
 @query
@@ -793,8 +822,10 @@ def stream_latest(spark, sf):
 
 @query
 def stream_ema(spark, sf):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", jobs.ROCKSDB)
-    return jobs.run_to_end(jobs.running_averages(_candle_stream(spark, sf)))
+    # Small blocks: every batch is laid out in several.
+    folder = scratch_dir(spark, "averages")
+    jobs.run_to_end(_candle_stream(spark, sf), foreach=jobs.averages_by_batch(folder, chunk_rows=50))
+    return jobs.read_averages(spark, folder)
 
 
 @query
@@ -815,6 +846,7 @@ def stream_upsert(spark, sf):
     stored, arriving = market.existing_and_incoming(spark, sf)
     target = scratch_dir(spark, "table")
     files.write_by_day(stored.withColumn("time", F.col("time").cast("timestamp")), target)
-    stream = _candle_stream(spark, sf, lambda *_: arriving)
+    twice = arriving.unionByName(arriving.withColumn("open", F.col("open") - 1))  # copies count once
+    stream = _candle_stream(spark, sf, lambda *_: twice)
     jobs.run_to_end(stream, foreach=jobs.upsert_days(target))
-    return spark.read.parquet(target).select(*KEY, "close")
+    return spark.read.parquet(target).select(*KEY, "open", "close")

@@ -167,6 +167,13 @@ def fit(kind: str, df: DataFrame, columns, label="target", **params) -> Trained:
     train = df.where(F.col("split") == "train") if "split" in df.columns else df
     train = train.withColumn(label, F.col(label).cast("double"))
     estimator = create_model(kind, train, label, **params)
+    if "split" in df.columns and isinstance(estimator, GBTRegressor):
+        # Boosting stops where the validation rows no longer improve.
+        held = F.col("split") == "val"
+        both = df.where(held | (F.col("split") == "train")).withColumn(label, F.col(label).cast("double"))
+        if not both.where(held).isEmpty():
+            train = both.withColumn("_validation", held)
+            estimator.setValidationIndicatorCol("_validation")
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
     start = clock.monotonic()
     model = Pipeline(stages=[assembler, estimator]).fit(train)
@@ -226,20 +233,23 @@ def train_models(
 ):
     """Train several models on one materialized frame.
 
-    Returns the trained models and the predictions of all of them. A model that
-    fails is logged and left out.
+    Returns the trained models and the predictions of all of them. If a model
+    fails the others are still trained, and then the failures are raised together.
     """
     frame = materialize(df, "training")
-    trained, scored = {}, None
+    trained, scored, failed = {}, None, {}
     for kind in kinds:
         try:
             fitted = fit(kind, frame, columns, label, **(params or {}).get(kind, {}))
-        except Exception:
+        except Exception as e:
             log.exception("training %s failed", kind)
+            failed[kind] = e
             continue
         trained[kind] = fitted
         rows = predict(fitted, frame, label)
         scored = rows if scored is None else scored.unionByName(rows)
+    if failed:
+        raise RuntimeError(f"training failed: {', '.join(failed)}; trained: {', '.join(trained) or 'none'}") from next(iter(failed.values()))
     return trained, scored
 
 

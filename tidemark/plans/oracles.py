@@ -23,6 +23,10 @@ HUGE_CANDLES = CANDLES.replace("candles AS (", "base_candles AS (") + """, candl
   SELECT * REPLACE (CASE WHEN symbol = 'click' AND hour(time) = 9 THEN 1e9 ELSE close END AS close,
     greatest(high, CASE WHEN symbol = 'click' AND hour(time) = 9 THEN 1e9 ELSE close END) AS high) FROM base_candles)"""
 
+HOLED_CANDLES = CANDLES.replace("candles AS (", "base_candles AS (") + """, candles AS (
+  SELECT * REPLACE (last_value(CASE WHEN (hour(time) = 3 AND day(time) % 5 = 3) OR (hour(time) = 7 AND day(time) % 5 = 4)
+    THEN NULL ELSE close END IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY time ROWS UNBOUNDED PRECEDING) AS close) FROM base_candles)"""
+
 ORDER_CANDLES = f"""order_ticks AS (
   SELECT o_orderdate AS t, o_orderpriority AS symbol, o_totalprice AS price, 1.0::DOUBLE AS size,
          o_orderkey AS id FROM orders), {_bars('candles', 'order_ticks', "date_trunc('day', t)", '1d')}"""
@@ -385,6 +389,8 @@ FROM tickers t WHERE t.volume_24h >= 1 ORDER BY t.volume_24h DESC, symbol LIMIT
     "volume_sma24": f"""WITH {CANDLES} SELECT time, symbol, timeframe, {r('volume', 'volume')},
 {r(partial('avg', 'volume', 24), 'volume_sma_24')} FROM candles""",
     "ema": f"""WITH RECURSIVE {CANDLES}, {_scan((7, 25, 99))} SELECT time, symbol, timeframe,
+{', '.join(r(f'e{s}', f'ema_{s}') for s in (7, 25, 99))} FROM ema""",
+    "ema_missing": f"""WITH RECURSIVE {HOLED_CANDLES}, {_scan((7, 25, 99))} SELECT time, symbol, timeframe,
 {', '.join(r(f'e{s}', f'ema_{s}') for s in (7, 25, 99))} FROM ema""",
     "ema_orders": f"""WITH RECURSIVE {ORDER_CANDLES}, {_scan((7, 25, 99))} SELECT time, symbol, timeframe,
 {', '.join(f'round(e{s} + 3.3e-9, 4) AS ema_{s}' for s in (7, 25, 99))} FROM ema""",
@@ -527,7 +533,25 @@ ORACLES["stream_ema"] = f"""WITH RECURSIVE {FEATURES} SELECT time, symbol, timef
 FROM features"""
 ORACLES["stream_ema_batches"] = ORACLES["stream_ema"]
 ORACLES["stream_daily"] = f"""WITH {CANDLES} SELECT date_trunc('day', time)::TIMESTAMP AS day, symbol, timeframe,
-{DAY_COLUMNS}, count(*) AS candles_count FROM candles
-WHERE date_trunc('day', time) < (SELECT date_trunc('day', max(time)) FROM candles) GROUP BY 1, 2, 3"""
-ORACLES["stream_upsert"] = f"""WITH {STORED} SELECT time, symbol, timeframe,
+{DAY_COLUMNS}, count(*) AS candles_count FROM candles GROUP BY 1, 2, 3"""
+ORACLES["stream_upsert"] = f"""WITH {STORED} SELECT time, symbol, timeframe, coalesce(a.open, s.open) AS open,
 {r('coalesce(a.close, s.close)', 'close')} FROM stored s FULL JOIN arriving a USING (time, symbol, timeframe)"""
+
+_FITTED = f"""WITH RECURSIVE {TRAINING}, {_split('training')}"""
+
+
+def _model(name, *facts):
+    return f"""{_FITTED} SELECT '{name}' AS model_name, symbol, timeframe, time, split, {r('target', 'actual')}, true AS finite,
+{', '.join(f'true AS {f}' for f in facts)} FROM divided"""
+
+
+for _query, _name in (("lr_predict", "linear"), ("ridge_predict", "linear_ridge"), ("lasso_predict", "linear_lasso")):
+    ORACLES[_query] = _model(_name, "residuals_sum_to_zero", "optimal")
+ORACLES["rf_predict"] = _model("random_forest", "better_than_mean", "within_range")
+ORACLES["gbt_predict"] = _model("xgboost", "better_than_mean")
+ORACLES["feature_importance"] = f"""SELECT unnest([{', '.join(f"'{n}'" for n in STORED_FEATURES)}]) AS feature,
+true AS sums_to_one, true AS descending, true AS top_is_prefix"""
+ORACLES["model_comparison"] = f"""{_FITTED} SELECT unnest(['linear', 'linear_ridge', 'linear_lasso', 'random_forest', 'xgboost', 'lightgbm']) AS model_name,
+'val' AS split, n AS samples, true AS best_is_first FROM (SELECT count(*) AS n FROM divided WHERE split = 'val')"""
+ORACLES["model_roundtrip"] = f"""{_FITTED} SELECT 'linear' AS model_name, time, symbol, timeframe, split, {r('target', 'actual')}, true AS same
+FROM divided"""

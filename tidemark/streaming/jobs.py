@@ -3,24 +3,20 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.indicators import moves, relative_strength
+from tidemark.operators.indicators import RSI_HOLD, held_rsi, moves, relative_strength
 from tidemark.operators.series import (
     RUNNING,
     Step,
     ema,
-    ema_memory,
     ema_reach,
     over_block,
     run,
     twice_averaged,
 )
-from tidemark.operators.tables import upsert
+from tidemark.operators.tables import one_per_key, upsert
 from tidemark.schemas import CANDLE_KEY, SERIES
 from tidemark.session import broadcast_if_small, scratch_dir
 from tidemark.sources.candles import with_chunk, write_by_day
-from tidemark.streaming.running import AVERAGES, averages_processor
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_stream(spark: SparkSession, folder: str, schema, glob="*.parquet", files_per_batch=None):
@@ -36,7 +32,10 @@ def ingest(candles: DataFrame, keys=CANDLE_KEY, delay: str = "1 day") -> DataFra
 
 
 def daily_bars(candles: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Daily bars, emitted when the watermark has passed the end of the day; later rows are dropped."""
+    """Daily bars, final when the watermark has passed the end of the day; later rows are dropped.
+
+    In append mode a bar is emitted then; in update mode (:func:`run_updates`) an open day is delivered too.
+    """
     return (
         candles.withWatermark("time", delay)
         .groupBy(F.window("time", "1 day"), *SERIES)
@@ -66,27 +65,8 @@ def known_only(candles: DataFrame, metadata: DataFrame) -> DataFrame:
     return candles.join(broadcast_if_small(metadata.select("symbol")), "symbol", "left_semi")
 
 
-def running_averages(candles: DataFrame) -> DataFrame:
-    """EMA, RSI and MACD per series as candles arrive, for many series and small batches.
-
-    A batch of one series is handled by one task; where a series may fill a
-    batch, use :func:`averages_by_batch`. Needs the RocksDB state store and input
-    in time order across batches; late rows belong to :func:`upsert_days`.
-    """
-    return (
-        candles.select(*SERIES, F.col("time").cast("timestamp").alias("time"), "close")
-        .groupBy(*SERIES)
-        .transformWithStateInPandas(
-            statefulProcessor=averages_processor(),
-            outputStructType=AVERAGES,
-            outputMode="Append",
-            timeMode="None",
-        )
-    )
-
-
 _HELD = ("ema_7", "ema_25", "ema_99", "ema_9", "ema_12", "ema_26", "gain", "loss")
-_SEEDS = ("time", "close", *_HELD, "rsi_14")
+_SEEDS = ("time", "close", *_HELD, "rsi_14", "still")
 _RESULTS = ("ema_7", "ema_25", "ema_99", "rsi_14", "macd", "macd_signal", "macd_histogram")
 
 
@@ -104,7 +84,7 @@ def _seeded_averages() -> Step:
     of_fast = twice_averaged("ema_12", "ema_9", 12, 9)
     of_slow = twice_averaged("ema_26", "ema_9", 26, 9)
     return Step(
-        (*_HELD, *[n for n in _RESULTS if n not in _HELD]),
+        (*_HELD, "still", *[n for n in _RESULTS if n not in _HELD]),
         (
             {"_delta": f"close - {before}"},
             {**moves("_delta", "_gain", "_loss"), **averages[0]},
@@ -115,22 +95,24 @@ def _seeded_averages() -> Step:
                 "macd_signal": f"{of_fast} - {of_slow}",
             },
             {
-                "rsi_14": f"coalesce(last(_rsi, true) {over_block(RUNNING)}, _was_rsi_14)",
+                "rsi_14": held_rsi("_rsi", "_delta", "_was_rsi_14", "_was_still"),
+                # NULL in a series that never moved
+                "still": f"coalesce(_pos - last(CASE WHEN _delta <> 0 THEN _pos END, true) {over_block(RUNNING)}, _pos + 1 + _was_still)",
                 "macd_histogram": "macd - macd_signal",
             },
         ),
-        behind=max(ema_memory(14) + ema_reach(14) + 1, ema_reach(99)),
+        behind=max(RSI_HOLD + ema_reach(14) + 1, ema_reach(99)),
     )
 
 
 def averages_by_batch(folder: str, **layout):
-    """A ``foreachBatch`` function: the running averages of each batch, under ``folder/out``.
+    """A ``foreachBatch`` function: EMA, RSI and MACD of each batch, under ``folder/out``.
 
-    The same results as :func:`running_averages`, without a task per series: a
+    The same results as one pass over all rows, without a task per series: a
     batch is laid out in blocks like a table and goes on from the last values of
     each series, one row per series under ``folder/state``. Both are written
-    per batch, so a repeated batch replaces its own output. Rows that are not newer
-    than the state of their series are kept under ``folder/late``.
+    per batch, so a repeated batch replaces its own output. Rows that are not newer than the
+    state of their series, or without a close, are set aside under ``folder/late``.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -138,6 +120,9 @@ def averages_by_batch(folder: str, **layout):
         stage = f"{scratch_dir(spark, 'averages')}/{batch_id}"
         batch.select(*SERIES, "time", "close").write.parquet(stage)
         rows = spark.read.parquet(stage)
+        missing = F.col("close").isNull() | F.isnan("close")
+        aside = rows.where(missing)
+        rows = rows.where(~missing)
         before = f"{folder}/state/v={batch_id - 1}"
         known = _exists(spark, before)
         if batch_id > 0 and not known:
@@ -149,13 +134,14 @@ def averages_by_batch(folder: str, **layout):
             was = state.select(*SERIES, *[F.col(n).alias(f"_was_{n}") for n in _SEEDS])
             rows = rows.join(broadcast_if_small(was), list(SERIES), "left")
             late = F.col("_was_time").isNotNull() & (F.col("time") <= F.col("_was_time"))
-            rows.where(late).select(*SERIES, "time", "close").write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
+            aside = aside.unionByName(rows.where(late).select(*aside.columns))
             rows = rows.where(~late)
         else:
             nothing = {f"_was_{n}": F.lit(None).cast("double") for n in _SEEDS}
             rows = rows.withColumns(nothing)
+        aside.write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
         made = run(rows, [_seeded_averages()], **layout).select(
-            *SERIES, "time", "close", *dict.fromkeys((*_HELD, *_RESULTS))
+            *SERIES, "time", "close", *dict.fromkeys((*_HELD, *_RESULTS, "still"))
         )
         made.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
         held = spark.read.parquet(f"{folder}/out/batch={batch_id}").select(*SERIES, *_SEEDS)
@@ -194,7 +180,7 @@ def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time", merge=upsert,
             old = _only_days(spark.read.parquet(target), fresh.select("day").distinct())
             merged = merge(old.drop("day"), fresh.drop("day"), keys)
         else:
-            merged = fresh.drop("day")
+            merged = one_per_key(fresh.drop("day"), keys, last=merge is upsert)
         merged.write.parquet(f"{stage}/merged")
         write_by_day(spark.read.parquet(f"{stage}/merged"), target, time, days)
         remove_folder(spark, stage)
