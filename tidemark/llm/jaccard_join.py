@@ -356,16 +356,21 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         near = stored(spark, verified(star, texts), "hub-pairs")
         known = near if known is None else known.unionByName(near)
         linked = known.filter("100 * both >= 80 * any").select("a", "b")
-        links = linked if links is None else linked.unionByName(links)
-        labels = components(spark, links)
-        by_s = labels.withColumnRenamed("node", "s")
-        # Within 0.6 of the hub in distance lies every link of a member within 0.4.
-        ball = known.filter("10 * both >= 4 * any").select(F.col("a").alias("hub"), F.col("b").alias("s")).join(hubs, "hub", "left_semi")
-        ball = ball.unionByName(ball.select("hub", F.col("hub").alias("s")).distinct())
-        ball = ball.join(by_s, "s", "left").withColumn("label", F.coalesce("label", "s"))
-        inside = stored(spark, ball_links(ball, texts), "ball-links")
-        if not inside.isEmpty():
-            links = stored(spark, links.unionByName(inside).distinct(), "links")
+        # Within 0.6 of the hub in distance lies every link of a member within 0.4. Members that link with
+        # the hub are in its component.
+        ball = known.filter("10 * both >= 4 * any").select(F.col("a").alias("hub"), F.col("b").alias("s"), (100 * F.col("both") >= 80 * F.col("any")).alias("linked"))
+        ball = ball.join(hubs, "hub", "left_semi")
+        ball = ball.unionByName(ball.select("hub", F.col("hub").alias("s"), F.lit(True).alias("linked")).distinct())
+        if labels is None:
+            ball = ball.withColumn("label", F.when(F.col("linked"), F.col("hub")).otherwise(F.col("s")))
+        else:
+            ball = ball.join(labels.select(F.col("node").alias("s"), F.col("label").alias("own")), "s", "left")
+            ball = ball.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("its")), "hub", "left")
+            ball = ball.withColumn("label", F.when(F.col("linked"), F.coalesce("its", "hub")).otherwise(F.coalesce("own", "s")))
+        inside = ball_links(ball.select("hub", "s", "label"), texts)
+        links = linked.unionByName(inside) if links is None else links.unionByName(linked).unionByName(inside)
+        links = stored(spark, links.distinct(), "links")
+        if labels is None:
             labels = components(spark, links)
         by_s = labels.withColumnRenamed("node", "s")
         close = known.filter("10 * both >= 6 * any").select(F.col("a").alias("hub"), F.col("b").alias("s"))
@@ -375,6 +380,8 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         whole = stored(spark, rest.join(open_.select("sig", "hub"), "sig"), "rest")
         left = whole.filter("s <> hub").select("sig", "hub", "s")
         if left.isEmpty():
+            if turn:
+                labels = components(spark, links)
             break
     else:
         pairs = remaining_pairs(whole.select("sig", "s"), labels, marks)
