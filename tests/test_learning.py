@@ -84,8 +84,10 @@ def test_several_models_and_comparison(linear_frame, spark):
     _, frame = linear_frame
     small = {"random_forest": {"numTrees": 5, "maxDepth": 4}, "xgboost": {"maxIter": 3}}
     trained, scored = learning.train_models(
-        frame, COLUMNS, ("linear", "random_forest", "xgboost", "no_such"), params=small
+        frame, COLUMNS, ("linear", "random_forest", "xgboost", "no_such"), params=small, on_error="skip"
     )
+    with pytest.raises(RuntimeError, match="no_such"):
+        learning.train_models(frame, COLUMNS, ("linear", "no_such"))
     assert set(trained) == {"linear", "random_forest", "xgboost"}
     table = learning.compare_models(scored, "test").collect()
     assert [r["model_name"] for r in table if r["is_best"]] == ["linear"]

@@ -230,11 +230,13 @@ def train_models(
     kinds=("linear", "random_forest", "xgboost"),
     label="target",
     params: dict | None = None,
+    on_error: str = "raise",
 ):
     """Train several models on one materialized frame.
 
     Returns the trained models and the predictions of all of them. If a model
-    fails the others are still trained, and then the failures are raised together.
+    fails the others are still trained; then the failures are raised together, or
+    with ``on_error="skip"`` logged and left out.
     """
     frame = materialize(df, "training")
     trained, scored, failed = {}, None, {}
@@ -248,7 +250,7 @@ def train_models(
         trained[kind] = fitted
         rows = predict(fitted, frame, label)
         scored = rows if scored is None else scored.unionByName(rows)
-    if failed:
+    if failed and on_error == "raise":
         raise RuntimeError(f"training failed: {', '.join(failed)}; trained: {', '.join(trained) or 'none'}") from next(iter(failed.values()))
     return trained, scored
 
