@@ -9,11 +9,6 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
-def pct_change(value: Column, before: Column) -> Column:
-    """Relative change, NULL without a previous value or after a zero."""
-    return F.try_divide(value, before) - 1
-
-
 def round_half_up(x: Column, places: int) -> Column:
     """Round like SQL NUMERIC (half away from zero), back to double."""
     return F.round(x.cast("decimal(38,8)"), places).cast("double")

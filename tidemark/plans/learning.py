@@ -285,8 +285,12 @@ def confidence_band(predictions: DataFrame, level: float = 0.95, predicted="pred
     return predictions.withColumns({"confidence_lower": p - margin, "confidence_upper": p + margin})
 
 
-def model_performance(predictions: DataFrame, evaluation_date, by=("model_name", *SERIES), time="target_time", **layout):
-    """Rows for the performance table: measures per model and series at a date."""
+def model_performance(predictions: DataFrame, evaluation_date, by=("model_name", *SERIES), time="target_time",
+                      model_version: str = "1.0", train_samples: int = 0, **layout):
+    """Rows to append to the performance table: measures per model and series at a date.
+
+    ``train_samples`` is the number of rows the models were fitted on, 0 for a rule that needs no fit.
+    """
     by = list(by)
     errors = error_metrics(predictions, by)
     moves = directional_accuracy(predictions, by, time=time, **layout)
@@ -299,6 +303,8 @@ def model_performance(predictions: DataFrame, evaluation_date, by=("model_name",
         F.col("r2").cast("decimal(10,6)").alias("r2_score"),
         F.col("directional_accuracy").cast("decimal(10,4)").alias("directional_accuracy"),
         F.col("samples").cast("int").alias("test_samples"),
+        F.lit(model_version).alias("model_version"),
+        F.lit(train_samples).cast("int").alias("train_samples"),
     )
 
 

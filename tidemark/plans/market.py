@@ -49,6 +49,18 @@ def order_candles(spark, sf_dir) -> DataFrame:
     return ticks_to_candles(orders, "1d")
 
 
+def line_candles(spark, sf_dir) -> DataFrame:
+    """Order lines as one-minute candles: one long series with about two thirds of all rows and seven short ones."""
+    price, long = F.col("l_extendedprice").cast("double"), F.col("l_orderkey") % 3 < 2
+    return table(spark, sf_dir, "lineitem").select(
+        F.timestamp_seconds(F.col("l_orderkey") * 600 + F.col("l_linenumber") * 60).cast("timestamp_ntz").alias("time"),
+        F.when(long, F.lit("all")).otherwise(F.col("l_shipmode")).alias("symbol"),
+        F.lit("1m").alias("timeframe"),
+        *[price.alias(c) for c in ("open", "high", "low", "close")],
+        F.col("l_quantity").cast("double").alias("volume"),
+    )
+
+
 def metadata(spark, sf_dir) -> DataFrame:
     """Known symbols; the event type ``error`` is left out and serves as an orphan."""
     symbol = F.col("event_type")
@@ -122,7 +134,3 @@ def naive_predictions(spark, sf_dir) -> DataFrame:
     return model("last_close", F.col("close")).unionByName(
         model("midrange", (F.col("high") + F.col("low")) / 2)
     )
-
-
-def day_of(time):
-    return time_bucket("1d", time)

@@ -180,14 +180,15 @@ features AS (
   JOIN ema e ON e.symbol = t.symbol AND e.timeframe = t.timeframe AND e.rn = t.rn
   JOIN signal g ON g.symbol = t.symbol AND g.timeframe = t.timeframe AND g.rn = t.rn)"""
 
-FEATURE_NAMES = (
-    "returns log_returns cumulative_returns price_change price_change_pct daily_range daily_range_pct "
-    "sma_7 sma_25 sma_99 ema_7 ema_25 ema_99 rsi_14 macd macd_signal macd_histogram "
-    "bb_upper bb_middle bb_lower bb_width atr_14 stoch_k stoch_d "
-    "volume_sma_7 volume_sma_25 volume_ratio vwap volatility_7 volatility_14 volatility_30 "
-    "price_volatility_7 price_volatility_14 price_volatility_30 "
-    "close_lag_1 close_lag_3 close_lag_6 close_lag_12 close_lag_24"
-).split()
+# The feature columns other than the calendar ones.
+FEATURE_NAMES = [
+    "returns", "log_returns", "cumulative_returns", "price_change", "price_change_pct", "daily_range",
+    "daily_range_pct", "sma_7", "sma_25", "sma_99", "ema_7", "ema_25", "ema_99", "rsi_14", "macd",
+    "macd_signal", "macd_histogram", "bb_upper", "bb_middle", "bb_lower", "bb_width", "atr_14",
+    "stoch_k", "stoch_d", "volume_sma_7", "volume_sma_25", "volume_ratio", "vwap", "volatility_7",
+    "volatility_14", "volatility_30", "price_volatility_7", "price_volatility_14",
+    "price_volatility_30", "close_lag_1", "close_lag_3", "close_lag_6", "close_lag_12", "close_lag_24",
+]
 
 _few_nulls = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in STORED_FEATURES)
 KEPT = f"{FEATURES}, kept AS (SELECT * FROM features WHERE {_few_nulls} < {len(STORED_FEATURES) / 2})"
@@ -497,7 +498,8 @@ DATE '2024-02-01' AS evaluation_date, {r('CAST(CAST(rmse AS DECIMAL(20,8)) AS DO
 {r('CAST(CAST(mae AS DECIMAL(20,8)) AS DOUBLE)', 'mae')}, {r('CAST(CAST(mape AS DECIMAL(10,4)) AS DOUBLE)', 'mape')},
 {r('CAST(CAST(r2 AS DECIMAL(10,6)) AS DOUBLE)', 'r2_score')},
 {r('CAST(CAST(directional_accuracy AS DECIMAL(10,4)) AS DOUBLE)', 'directional_accuracy')},
-CAST(samples AS INTEGER) AS test_samples FROM metrics JOIN directions USING (model_name, symbol)""",
+CAST(samples AS INTEGER) AS test_samples, '1.0' AS model_version, 0::INTEGER AS train_samples
+FROM metrics JOIN directions USING (model_name, symbol)""",
     "mape_alerts": f"WITH {PREDICTED}, {METRICS} SELECT {METRIC_COLUMNS} FROM metrics m WHERE m.mape > 200",
     "confidence_band": f"""WITH {PREDICTED}, {METRICS}, banded AS (
   SELECT s.*, CASE WHEN s.model_name = 'last_close' THEN m.rmse * 1.96 ELSE predicted * 0.05 END AS margin
