@@ -50,11 +50,11 @@ def order_candles(spark, sf_dir) -> DataFrame:
 
 
 def line_candles(spark, sf_dir) -> DataFrame:
-    """Order lines as one-minute candles: one long series with about two thirds of all rows and seven short ones."""
+    """Order lines as one-minute candles: one long series with about two thirds of all rows and some short ones."""
     price, long = F.col("l_extendedprice").cast("double"), F.col("l_orderkey") % 3 < 2
     return table(spark, sf_dir, "lineitem").select(
         F.timestamp_seconds(F.col("l_orderkey") * 600 + F.col("l_linenumber") * 60).cast("timestamp_ntz").alias("time"),
-        F.when(long, F.lit("all")).otherwise(F.col("l_shipmode")).alias("symbol"),
+        F.when(long, F.lit("all")).otherwise(F.concat("l_returnflag", "l_linestatus")).alias("symbol"),
         F.lit("1m").alias("timeframe"),
         *[price.alias(c) for c in ("open", "high", "low", "close")],
         F.col("l_quantity").cast("double").alias("volume"),
