@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import crc_mod
 from tidemark.llm.ngrams import counts, scaled, slices
 
-DIM = 4096
+DIM = 2048
 ORDERS = (1, 2, 3)
-SAMPLE_ROWS = 2400
+SAMPLE_ROWS = 1600
 MAX_LANGUAGES = 200
 # A language that is not listed is a family of its own.
 FAMILIES = {
