@@ -77,3 +77,23 @@ def test_no_python_or_exchange(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = secrets.report(secrets.scan(docs))._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_joined_runs_are_judged_by_their_own_class(spark):
+    key = "0123456789ABCDEF0123456789ABCDEF"  # 3.92 bits in every window of 20
+    low = "0112233445566778899AABBCCDDEEFF0"  # every window of 20 holds ten or eleven symbols
+    mixed = "x9Kq2LmZ8vT4bN7cW1sRx9Kq2"
+    cases = [
+        (key, 0, "entropy_hex"), (f"id={low}", 3, "entropy_hex"), (f"key/{low}", 4, "entropy_hex"), (f"auth-{low}", 5, "entropy_hex"),
+        (f"SESSION_KEY={low}", 12, "entropy_hex"), (f"{low}_old", 0, "entropy_hex"), (f"\U0001f600 KEY{low}", 5, "entropy_hex"), (f"{low}xyz", 0, "entropy_hex"),
+        (f"EXAMPLE_KEY={low}", 12, "entropy_hex"), (f"app-{mixed}", 4, "entropy_alnum"), (f"a={low}/b={mixed}", 2, "entropy_hex"), (f"a={low}/b={mixed}", 37, "entropy_alnum"),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in secrets.report(secrets.scan(docs)).collect()}
+    for i, (text, start, kind) in enumerate(cases):
+        length = len(mixed) if kind == "entropy_alnum" else 32
+        assert f"{kind}:{start}:{start + length}" in got[i], (text, got[i])
+        assert len(set(got[i])) == len(got[i]), text
+    plain = ["id=aaaaaaaaaaaaaaaaaaaaaaaa9", "look_at_theLongNameWithoutAnyDigits", "id=550e8400-e29b-41d4-a716-446655440000", "no-20240115123456789012345"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(plain)], "doc_id long, text string")
+    assert all("entropy_hex" not in r.spans and "entropy_alnum" not in r.spans for r in secrets.report(secrets.scan(docs)).collect())

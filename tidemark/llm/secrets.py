@@ -19,7 +19,13 @@ PATTERNS = {
     "hex": (r"[0-9a-f]{16,}", 16),
 }
 CANDIDATE = r"[A-Za-z0-9+/=_-]"
-# Bits per character that a window must reach, by the class of the whole candidate.
+# Runs of a narrower class within a candidate are candidates of their own: a secret joined to a name by a sign
+# (`KEY=`, `key/`, `auth-`), and hexadecimals joined to other letters. A run that no sign or letter joins is whole already.
+JOINED = {
+    "alnum": r"(?<=[+/=_-])[A-Za-z0-9]{%d,}|(?<![A-Za-z0-9])[A-Za-z0-9]{%d,}+(?=[+/=_-])",
+    "hexdigits": r"(?<=[G-Zg-z])[0-9a-fA-F]{%d,}|(?<![0-9a-fA-F])[0-9a-fA-F]{%d,}+(?=[G-Zg-z])",
+}
+# Bits per character that a window must reach, by the class of the whole candidate or run.
 LEAST_BITS = {"hex": 3.0, "alnum": 3.6, "base64": 3.8}
 # Candidates that are no secrets: plain words and names, numbers, rules of one or two signs, UUIDs, documented samples.
 ALLOWED = (
@@ -95,7 +101,8 @@ def entropy_windows(candidates, window=WINDOW, least_bits=LEAST_BITS, allowed=AL
 def scan(docs, id_col="doc_id", text_col="text", window=WINDOW, least_bits=LEAST_BITS, allowed=ALLOWED):
     """One row per input row: id, the spans of every base kind and ``entropy``, in code points, end exclusive.
 
-    A null text counts as empty. Rows are handled alone, so repeated or null ids need nothing; other
+    A run joined to other characters is judged by its own class too, beside the candidate that holds it,
+    so spans of different kinds may overlap. A null text counts as empty. Rows are handled alone, so repeated or null ids need nothing; other
     columns are ignored.
     """
     text = F.translate(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), MARK, "\x02")
@@ -107,7 +114,11 @@ def scan(docs, id_col="doc_id", text_col="text", window=WINDOW, least_bits=LEAST
         rows = rows.withColumn(kind, F.transform(long_enough, lambda m: F.struct(m["start"], m["end"])))
         rows = rows.drop(f"_{kind}")
     rows = with_matches(rows, "_text", f"{CANDIDATE}{{{window},}}", "_candidates")
-    return rows.withColumn("entropy", entropy_windows("_candidates", window, least_bits, allowed)).drop("_text", "_candidates")
+    for name, pattern in JOINED.items():
+        rows = with_matches(rows, "_text", pattern % (window, window), f"_{name}")
+    every = f"concat(_candidates, {', '.join(f'_{name}' for name in JOINED)})"
+    found = rows.withColumn("entropy", entropy_windows(every, window, least_bits, allowed))
+    return found.drop("_text", "_candidates", *[f"_{name}" for name in JOINED])
 
 
 def report(found):
