@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import language_id, ngrams, quality
 from tidemark.llm.queries import QUERIES
 
@@ -57,6 +58,13 @@ def test_languages_without_labels(spark):
     assert language_id.predict(frame(spark, [])).collect() == []
 
 
+def test_stage_without_labels_keeps_every_text_with_a_letter(spark):
+    none = frame(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_stage(spark, none, None)
+    assert kept.columns == none.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 4, 4, 5, 6, 7, 8, 9, 10]
+
+
 def test_one_language_only(spark):
     one = frame(spark).withColumn("lang", F.lit("en"))
     assert {r.lang_pred for r in language_id.predict(one).collect()} == {"en", "und"}

@@ -172,15 +172,22 @@ def predict(docs, modulus=4, remainder=2):
 
 
 def recognised(docs, model, text_col="text"):
-    """The input rows, all columns, whose text has a language: neither null nor without a letter."""
+    """The input rows, all columns, whose text has a language: neither null nor without a letter.
+
+    Without a model (no labelled row to fit one on) no language is named, so every text with a letter stays.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            got = predict_texts(b.column(b.schema.get_field_index(text_col)).to_pylist(), shared.value)
-            yield b.filter(pa.array([lang != UNKNOWN for lang, _ in got], pa.bool_()))
+            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+            if shared.value is None:
+                kept = [bool(t and LETTER.search(t)) for t in texts]
+            else:
+                kept = [lang != UNKNOWN for lang, _ in predict_texts(texts, shared.value)]
+            yield b.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
