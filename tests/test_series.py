@@ -97,6 +97,17 @@ def test_results_do_not_depend_on_blocks(spark):
     np.testing.assert_allclose(made[0][:, 2], want["ema_25"].to_numpy(float), rtol=1e-9)
 
 
+def test_rsi_is_held_over_any_flat_stretch(spark):
+    pdf = walk("A", 14000, seed=3, step="1min", timeframe="1m")
+    pdf.loc[2000:11000, "close"] = pdf.loc[1999, "close"]
+    want = expected_features(pdf)["rsi_14"].to_numpy(float)
+    for rows in (600, 6000, 32768):
+        got = ind.rsi(to_spark(spark, pdf), block_rows=rows).toPandas().sort_values("time")["rsi_14"].to_numpy(float)
+        np.testing.assert_allclose(got[:7000], want[:7000], rtol=1e-7)  # the reference underflows after some 5,200 flat rows
+        np.testing.assert_allclose(got[2000:11001], got[1999], rtol=1e-9)
+        np.testing.assert_allclose(got[11001:], want[11001:], rtol=1e-7)
+
+
 def test_averages_start_at_the_first_known_value(spark):
     pdf = walk("A", 50)
     pdf.loc[:4, "close"] = float("nan")

@@ -1,9 +1,11 @@
+import numpy as np
 import pandas as pd
 import pytest
 from frames import expected_features, to_spark, walk
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars
+from tidemark.operators import indicators as ind
 from tidemark.operators.tables import insert_ignore
 from tidemark.streaming import jobs
 
@@ -132,3 +134,16 @@ def test_known_symbols_only(spark, tmp_path):
     stream = feed(spark, tmp_path / "in", pdf)
     known = spark.createDataFrame([("A",)], "symbol string")
     assert jobs.run_to_end(jobs.known_only(stream, known)).count() == 5
+
+
+def test_rsi_of_batches_is_held_over_a_long_flat_stretch(spark, tmp_path):
+    pdf = walk("A", 6500, seed=3, step="1min", timeframe="1m")
+    pdf.loc[300:6400, "close"] = pdf.loc[299, "close"]
+    folder = str(tmp_path / "held")
+    apply = jobs.averages_by_batch(folder, block_rows=600)
+    for i, part in enumerate((pdf[:3000], pdf[3000:6000], pdf[6000:])):
+        apply(to_spark(spark, part), i)
+    got = jobs.read_averages(spark, folder).toPandas().sort_values("time")["rsi_14"].to_numpy(float)
+    want = ind.rsi(to_spark(spark, pdf)).toPandas().sort_values("time")["rsi_14"].to_numpy(float)
+    np.testing.assert_allclose(got, want, rtol=1e-7)
+    np.testing.assert_allclose(got[300:6401], got[299], rtol=1e-9)

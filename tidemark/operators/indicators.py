@@ -64,43 +64,50 @@ def moves(delta: str, gain: str, loss: str) -> dict:
     }
 
 
-# Rows of a flat stretch for which RSI holds its last value; far longer ones would underflow the averages.
+# Rows of a flat stretch for which ``rsi_step`` holds its last value unless told to hold it without end.
 RSI_HOLD = 4000
 
 
-def held_rsi(now: str, delta: str, seed: str | None = None, still: str | None = None) -> str:
-    """The last ratio, for at most ``RSI_HOLD`` rows after the last move; NULL then, until the next move.
-
-    ``seed`` and ``still`` are the value before the first row and how many rows ago its series moved.
-    """
+def held_rsi(now: str, delta: str, hold: int) -> str:
+    """The last ratio, for at most ``hold`` rows after the last move; NULL then, until the next move."""
     since = f"_pos - last(CASE WHEN {delta} <> 0 THEN _pos END, true) {over_block(RUNNING)}"
-    held = f"last({now}, true) {over_block(RUNNING)}"
-    if seed:
-        since, held = f"coalesce({since}, _pos + 1 + {still})", f"coalesce({held}, {seed})"
-    return f"CASE WHEN {since} <= {RSI_HOLD} THEN {held} END"
+    return f"CASE WHEN {since} <= {hold} THEN last({now}, true) {over_block(RUNNING)} END"
+
+
+def moved_rsi(up: str, down: str, delta: str) -> str:
+    """The ratio in rows that move, NULL in others."""
+    return f"CASE WHEN {delta} <> 0 THEN {relative_strength(up, down)} END"
 
 
-def rsi_step(column="close", period=14) -> Step:
+def rsi_step(column="close", period=14, hold: int | None = RSI_HOLD) -> Step:
     """100 - 100/(1 + gain/loss) with exponential averages of gains and losses.
 
     NULL until the first move, 100 without any loss. A flat stretch shrinks both
-    averages alike and leaves their ratio as it was; it is held for ``RSI_HOLD`` rows.
+    averages alike and leaves their ratio as it was; it is held for ``hold`` rows, with None until the next move.
     """
     name = f"rsi_{period}"
     delta, gain, loss, up, down, now = (
         f"_{n}_{name}" for n in ("delta", "gain", "loss", "up", "down", "now")
     )
     averages = ema({up: (gain, period), down: (loss, period)})
+    layers = (
+        {delta: f"{known(column)} - {_previous(known(column))}"},
+        {**moves(delta, gain, loss), **averages[0]},
+        *averages[1:],
+    )
+    if hold is None:
+        # Copied rows must reach back from a move only; the value of the last move is carried over blocks.
+        return Step(
+            (name,),
+            (*layers, {now: moved_rsi(up, down, delta)}),
+            behind=ema_reach(period) + 1,
+            carries={known(column): column},
+            holds={name: (now, None)},
+        )
     return Step(
         (name,),
-        (
-            {delta: f"{known(column)} - {_previous(known(column))}"},
-            {**moves(delta, gain, loss), **averages[0]},
-            *averages[1:],
-            {now: relative_strength(up, down)},
-            {name: held_rsi(now, delta)},
-        ),
-        behind=RSI_HOLD + ema_reach(period) + 1,
+        (*layers, {now: relative_strength(up, down)}, {name: held_rsi(now, delta, hold)}),
+        behind=hold + ema_reach(period) + 1,
         carries={known(column): column},
     )
 
@@ -290,8 +297,8 @@ def exponential_average(df: DataFrame, column="close", periods=(7, 25, 99), **la
     return run(df, [ema_step(column, periods)], **layout)
 
 
-def rsi(df: DataFrame, column="close", period=14, **layout) -> DataFrame:
-    return run(df, [rsi_step(column, period)], **layout)
+def rsi(df: DataFrame, column="close", period=14, hold=None, **layout) -> DataFrame:
+    return run(df, [rsi_step(column, period, hold)], **layout)
 
 
 def macd(df: DataFrame, column="close", fast=12, slow=26, signal=9, **layout) -> DataFrame:

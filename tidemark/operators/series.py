@@ -45,6 +45,8 @@ class Step:
     columns of the layers before it. Steps run layer by layer together, so that
     all windows of one layer share a single pass over the block. ``carries`` names
     columns that hold the last known value of another column, from the head of the series on.
+    ``holds`` maps result columns to a column of the layers whose last known value in the series they
+    hold, however far back it lies, and to a column with the value before the first row (or None).
     """
 
     adds: tuple
@@ -54,6 +56,7 @@ class Step:
     totals: dict = field(default_factory=dict)
     firsts: dict = field(default_factory=dict)
     carries: dict = field(default_factory=dict)
+    holds: dict = field(default_factory=dict)
 
 
 def with_position(
@@ -152,6 +155,28 @@ def double(x: float) -> str:
     return f"{x!r}D"
 
 
+def with_held(out: DataFrame, holds: dict, keys=SERIES) -> DataFrame:
+    """Add ``{name: (column, seed)}``: the last known value of ``column`` among the rows of the series up to this one.
+
+    Only own rows count, as copied rows lack the history before them. What earlier blocks hold comes
+    from a table of one row per block, joined back by the key that the rows are dealt by.
+    """
+    known = {n: F.when(F.col("_own"), F.col(c)) for n, (c, _) in holds.items()}
+    ends = out.groupBy(*keys, "_block").agg(
+        *[F.max_by(e, F.when(e.isNotNull(), F.col("_pos"))).alias(f"_before_{n}") for n, e in known.items()]
+    )
+    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    starts = ends.select(
+        *keys, "_block", *[F.last(f"_before_{n}", ignorenulls=True).over(before).alias(f"_before_{n}") for n in holds]
+    )
+    within = {
+        n: f"last(CASE WHEN _own THEN {c} END, true) {over_block(RUNNING, keys)}" for n, (c, _) in holds.items()
+    }
+    out = out.selectExpr("*", *[f"{e} AS _within_{n}" for n, e in within.items()]).join(starts, [*keys, "_block"], "left")
+    seeds = {n: [seed] if seed else [] for n, (_, seed) in holds.items()}
+    return out.withColumns({n: F.coalesce(f"_within_{n}", f"_before_{n}", *seeds[n]) for n in holds})
+
+
 def run(
     df: DataFrame,
     steps,
@@ -181,6 +206,9 @@ def run(
         if new:
             out = out.selectExpr("*", *[f"{e} AS {n}" for n, e in new.items()])
         made.update(new)
+    holds = {n: e for s in steps for n, e in s.holds.items()}
+    if holds:
+        out = with_held(out, holds, keys)
     return out.where("_own").select(*kept, *adds)
 
 

@@ -18,7 +18,7 @@ def feature_steps() -> list:
         ind.candle_shape_step(),
         ind.sma_step(),
         ind.ema_step(),
-        ind.rsi_step(),
+        ind.rsi_step(hold=None),
         ind.macd_step(),
         ind.bollinger_step(),
         ind.atr_step(),

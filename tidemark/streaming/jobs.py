@@ -3,9 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.indicators import RSI_HOLD, held_rsi, moves, relative_strength
+from tidemark.operators.indicators import moved_rsi, moves
 from tidemark.operators.series import (
-    RUNNING,
     Step,
     ema,
     ema_reach,
@@ -66,7 +65,7 @@ def known_only(candles: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 _HELD = ("ema_7", "ema_25", "ema_99", "ema_9", "ema_12", "ema_26", "gain", "loss")
-_SEEDS = ("time", "close", *_HELD, "rsi_14", "still")
+_SEEDS = ("time", "close", *_HELD, "rsi_14")
 _RESULTS = ("ema_7", "ema_25", "ema_99", "rsi_14", "macd", "macd_signal", "macd_histogram")
 
 
@@ -84,24 +83,20 @@ def _seeded_averages() -> Step:
     of_fast = twice_averaged("ema_12", "ema_9", 12, 9)
     of_slow = twice_averaged("ema_26", "ema_9", 26, 9)
     return Step(
-        (*_HELD, "still", *[n for n in _RESULTS if n not in _HELD]),
+        (*_HELD, *[n for n in _RESULTS if n not in _HELD]),
         (
             {"_delta": f"close - {before}"},
             {**moves("_delta", "_gain", "_loss"), **averages[0]},
             *averages[1:],
             {
-                "_rsi": relative_strength("gain", "loss"),
+                "_rsi": moved_rsi("gain", "loss", "_delta"),
                 "macd": "ema_12 - ema_26",
                 "macd_signal": f"{of_fast} - {of_slow}",
             },
-            {
-                "rsi_14": held_rsi("_rsi", "_delta", "_was_rsi_14", "_was_still"),
-                # NULL in a series that never moved
-                "still": f"coalesce(_pos - last(CASE WHEN _delta <> 0 THEN _pos END, true) {over_block(RUNNING)}, _pos + 1 + _was_still)",
-                "macd_histogram": "macd - macd_signal",
-            },
+            {"macd_histogram": "macd - macd_signal"},
         ),
-        behind=max(RSI_HOLD + ema_reach(14) + 1, ema_reach(99)),
+        behind=max(ema_reach(14) + 1, ema_reach(99)),
+        holds={"rsi_14": ("_rsi", "_was_rsi_14")},
     )
 
 
@@ -141,7 +136,7 @@ def averages_by_batch(folder: str, **layout):
             rows = rows.withColumns(nothing)
         aside.write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
         made = run(rows, [_seeded_averages()], **layout).select(
-            *SERIES, "time", "close", *dict.fromkeys((*_HELD, *_RESULTS, "still"))
+            *SERIES, "time", "close", *dict.fromkeys((*_HELD, *_RESULTS))
         )
         made.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
         held = spark.read.parquet(f"{folder}/out/batch={batch_id}").select(*SERIES, *_SEEDS)
