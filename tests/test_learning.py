@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.lookups import join_features
 from tidemark.plans import features, learning
+from tidemark.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -133,3 +134,23 @@ def test_confidence_band(spark):
     assert got == [(pytest.approx(96.08), pytest.approx(103.92)), (95.0, 105.0)]
     with pytest.raises(ValueError):
         learning.confidence_band(frame, 0.9)
+
+
+def test_models_are_compared_with_default_fits_and_measures(spark, sf_dir, monkeypatch):
+    given, fit = {}, learning.fit
+
+    def recorded(kind, df, columns, label="target", **params):
+        given[kind] = params
+        return fit(kind, df, columns, label, **params)
+
+    monkeypatch.setattr(learning, "fit", recorded)
+    rows = QUERIES["model_measures"](spark, sf_dir).collect()
+    assert given == {kind: {} for kind in learning.MODEL_TYPES}
+    assert {r.model_name for r in rows} == set(learning.MODEL_TYPES)
+    assert all(r.rmse > 0 and r.mae > 0 and r.r2 is not None for r in rows)
+    best = [r for r in rows if r.is_best]
+    assert len(best) == 1 and best[0].rmse == min(r.rmse for r in rows)
+    predicted = QUERIES["lr_predictions"](spark, sf_dir).toPandas()
+    held = predicted[predicted["split"] == "val"]
+    rmse = float(np.sqrt(((held["predicted"] - held["actual"]) ** 2).mean()))
+    assert rmse == pytest.approx(next(r.rmse for r in rows if r.model_name == "linear"), rel=1e-6)

@@ -637,10 +637,14 @@ def confidence_band(spark, sf):
 # --- models -----------------------------------------------------------------
 
 
-def _predicted(spark, sf, kind, facts, **params):
-    """Every row with its actual value, whether it has a finite prediction, and the facts of the fit."""
+def _fitted(spark, sf, kind):
     frame = learning.materialize(_prepared(spark, sf), "scaled")
-    trained = learning.fit(kind, frame, STORED_FEATURES, **params)
+    return learning.fit(kind, frame, STORED_FEATURES), frame
+
+
+def _predicted(spark, sf, kind, facts):
+    """Every row with its actual value, whether it has a finite prediction, and the facts of the fit."""
+    trained, frame = _fitted(spark, sf, kind)
     rows = learning.predict(trained, frame)
     p = F.col("predicted")
     rows = rows.withColumn("finite", p.isNotNull() & ~F.isnan(p) & (F.abs(p) < 1e300)).drop("predicted")
@@ -672,11 +676,49 @@ def gbt_predict(spark, sf):
     return _predicted(spark, sf, "xgboost", lambda t, f: model_checks.tree_facts(t, f, bounded=False))
 
 
+# The fits themselves, beside the facts that SQL can state about them: every row with its predicted value.
+
+
+def _predictions(spark, sf, kind):
+    return learning.predict(*_fitted(spark, sf, kind))
+
+
+@query
+def lr_predictions(spark, sf):
+    return _predictions(spark, sf, "linear")
+
+
+@query
+def ridge_predictions(spark, sf):
+    return _predictions(spark, sf, "linear_ridge")
+
+
+@query
+def lasso_predictions(spark, sf):
+    return _predictions(spark, sf, "linear_lasso")
+
+
+@query
+def rf_predictions(spark, sf):
+    return _predictions(spark, sf, "random_forest")
+
+
+@query
+def gbt_predictions(spark, sf):
+    return _predictions(spark, sf, "xgboost")
+
+
+@query
+def feature_importances(spark, sf):
+    """All features with their importance in the forest."""
+    trained, _ = _fitted(spark, sf, "random_forest")
+    return learning.feature_importance(trained, spark, len(STORED_FEATURES))
+
+
 @query
 def feature_importance(spark, sf):
     """All features by rank of importance; the importances are not negative, descend, and sum to 1."""
-    frame = learning.materialize(_prepared(spark, sf), "scaled")
-    trained = learning.fit("random_forest", frame, STORED_FEATURES)
+    trained, _ = _fitted(spark, sf, "random_forest")
     every = learning.feature_importance(trained, spark, len(STORED_FEATURES)).collect()
     top = learning.feature_importance(trained, spark, 15).collect()
     whole = abs(sum(r["importance"] for r in every) - 1) < 1e-9
@@ -685,11 +727,21 @@ def feature_importance(spark, sf):
     return spark.createDataFrame(rows, "feature string, sums_to_one boolean, descending boolean, top_is_prefix boolean")
 
 
+def _compared(spark, sf):
+    """All model types, fitted with their default parameters and ranked."""
+    _, scored = learning.train_models(_prepared(spark, sf), STORED_FEATURES, tuple(learning.MODEL_TYPES))
+    return learning.compare_models(scored, "val")
+
+
+@query
+def model_measures(spark, sf):
+    """The measures and the rank of every model."""
+    return _compared(spark, sf)
+
+
 @query
 def model_comparison(spark, sf):
-    few = {"random_forest": {"numTrees": 20}, "xgboost": {"maxIter": 5}, "lightgbm": {"maxIter": 5}}
-    _, scored = learning.train_models(_prepared(spark, sf), STORED_FEATURES, tuple(learning.MODEL_TYPES), params=few)
-    ranked = learning.compare_models(scored, "val")
+    ranked = _compared(spark, sf)
     place = W.partitionBy("split").orderBy("rmse", "model_name")
     first = F.row_number().over(place) == 1
     return ranked.select("model_name", "split", "samples", (first == F.col("is_best")).alias("best_is_first"))
