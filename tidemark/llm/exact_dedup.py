@@ -1,4 +1,4 @@
-"""Exact deduplication by a tree merge of sorted digest runs, in DataFrame operations only."""
+"""Exact deduplication by a tree merge of digest runs, in DataFrame operations only."""
 
 from pyspark.sql import functions as F
 
@@ -20,8 +20,8 @@ def merge_runs(rows, runs=RUNS, fan_in=FAN_IN, keep="min"):
     """One row per digest: (sha, check, keep_id, group_size), merged level by level.
 
     Level 0 puts every row into one of ``runs`` runs by its id, each digest once per run. At each
-    further level ``fan_in`` neighbouring runs exchange what falls into the same digest range, sort it
-    and merge it into one run, keeping the smallest (or largest) id and the number of rows of every
+    further level ``fan_in`` neighbouring runs exchange what falls into the same digest range
+    and merge it into one run by hash aggregation (Spark drops the sort, as no aggregate depends on it), keeping the smallest (or largest) id and the number of rows of every
     digest whose length and second hash agree too. A group of copies shrinks to at most one row per
     run before any exchange, so no level gathers a hot group.
     """
