@@ -128,6 +128,14 @@ def test_training_frame_keeps_complete_rows(spark):
     assert join_features(stored, base).count() == 150 - 6
 
 
+def test_plan_of_the_training_frame_stays_small(spark):
+    base = to_spark(spark, walk("A", 150))
+    frame = learning.training_frame(features.refresh_features(base), base)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 400_000
+    assert max(map(len, plan.splitlines())) < 30_000
+
+
 def test_confidence_band(spark):
     frame = spark.createDataFrame([(100.0, 2.0), (100.0, None)], "predicted double, rmse double")
     got = [(r["confidence_lower"], r["confidence_upper"]) for r in learning.confidence_band(frame).collect()]

@@ -1,5 +1,8 @@
 """The feature matrix of a candle table and the stored feature table."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +48,7 @@ def all_features_with_target(candles: DataFrame, horizon: int = 1, **layout) ->
 
 
 def _store_candidates(features: DataFrame) -> DataFrame:
-    """Rows that are at most half NULL, NaN counted as NULL, with ``overflow``: columns that don't fit their store type.
-
-    ``volatility_24h`` is filled with ``volatility_7``.
-    """
+    """Rows that are at most half NULL, NaN counted as NULL. ``volatility_24h`` is filled with ``volatility_7``."""
     chosen = features.where(F.col("time").isNotNull()).select(
         *CANDLE_KEY,
         *[
@@ -56,24 +56,29 @@ def _store_candidates(features: DataFrame) -> DataFrame:
             for n in STORED_FEATURES
         ],
     )
-    kept = null_share_filter(nan_to_null(chosen, STORED_FEATURES), STORED_FEATURES)
-    broken = [
-        F.when(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull(), F.lit(n))
-        for n, t in FEATURE_STORE_TYPES.items()
-    ]
-    return kept.withColumn("overflow", F.array_compact(F.array(*broken)))
+    return null_share_filter(nan_to_null(chosen, STORED_FEATURES), STORED_FEATURES)
 
 
 def stored_features(features: DataFrame) -> DataFrame:
-    """Rows of the features table: 19 columns in store types. Rows that don't fit are left out (overflowing_features)."""
-    return _store_candidates(features).where(F.size("overflow") == 0).select(
+    """Rows of the features table: 19 columns in store types. Rows that don't fit are left out (overflowing_features).
+
+    One condition per column: the optimizer rewrites a condition once for every subset of the casts that it shares
+    with the columns selected, so a single one over all 19 exhausts the driver.
+    """
+    fits = [F.col(n).isNull() | F.col(n).try_cast(t).isNotNull() for n, t in FEATURE_STORE_TYPES.items()]
+    return _store_candidates(features).where(reduce(and_, fits)).select(
         *CANDLE_KEY, *[F.col(n).try_cast(t).alias(n) for n, t in FEATURE_STORE_TYPES.items()]
     )
 
 
 def overflowing_features(features: DataFrame) -> DataFrame:
     """Key and columns of the rows that don't fit the store types."""
-    return _store_candidates(features).where(F.size("overflow") > 0).select(*CANDLE_KEY, "overflow")
+    broken = [
+        F.when(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull(), F.lit(n))
+        for n, t in FEATURE_STORE_TYPES.items()
+    ]
+    overflow = F.array_compact(F.array(*broken)).alias("overflow")
+    return _store_candidates(features).select(*CANDLE_KEY, overflow).where(F.size("overflow") > 0)
 
 
 def refresh_features(
