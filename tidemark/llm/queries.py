@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup
-from tidemark.llm.common import documents, shared_folder
+from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup, url_filter
+from tidemark.llm.common import documents, prepare, shared_folder
 
 QUERIES = {}
 ORACLES = {}
@@ -105,3 +105,11 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 SELECT doc_id, len(g)::BIGINT AS n_shingles, least AS component_id
 FROM sets JOIN (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a) USING (doc_id)
 """
+
+
+@query
+def op12_url_filter(spark, sf):
+    return url_filter.judge(prepare(spark).read.parquet(f"{sf}/pages.parquet")).drop("score")
+
+
+ORACLES["op12_url_filter"] = url_filter.oracle()
