@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup, url_filter
+from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup, url_filter, whitening
 from tidemark.llm.common import documents, prepare, shared_folder
 
 QUERIES = {}
@@ -113,3 +113,9 @@ def op12_url_filter(spark, sf):
 
 
 ORACLES["op12_url_filter"] = url_filter.oracle()
+
+
+@query
+def op11_embedding_whitening(spark, sf):
+    rows = whitening.whiten(prepare(spark).read.parquet(f"{sf}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
