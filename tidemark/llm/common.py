@@ -7,6 +7,12 @@ from tidemark.session import scratch_dir
 BLANKS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# DuckDB SQL, (t, crc) of the texts t of a table. The crc32 register takes a byte at a time, each in eight steps.
+CRC32_SQL = """
+SELECT t, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * strlen(t), 2), lambda k: ('0x' || substr(hex(t), k, 2))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) AS crc FROM {table}
+"""
+
 
 def prepare(spark):
     """Bound what one Arrow batch holds, so that very long texts do not pile up in a Python worker."""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, substring_dedup, suffix_dedup, url_filter, whitening
+from tidemark.llm import bpe, decontaminate, exact_dedup, jaccard_join, language_id, materialise, quality, secrets, spelling, substring_dedup, suffix_dedup, url_filter, whitening
 from tidemark.llm.common import documents, prepare, shared_folder
 
 QUERIES = {}
@@ -119,3 +119,11 @@ ORACLES["op12_url_filter"] = url_filter.oracle()
 def op11_embedding_whitening(spark, sf):
     rows = whitening.whiten(prepare(spark).read.parquet(f"{sf}/embeddings.parquet"))
     return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op13_spelling_variants(spark, sf):
+    return spelling.variants(documents(spark, sf))
+
+
+ORACLES["op13_spelling_variants"] = spelling.ORACLE

@@ -14,7 +14,7 @@ once the models have more rows than may be broadcast.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, stored
+from tidemark.llm.common import CRC32_SQL, lower_ascii, stored
 from tidemark.session import broadcast_if_small
 
 # Verdict and rule, a host followed by a path.
@@ -199,10 +199,3 @@ best AS (SELECT coalesce((SELECT step / {STEPS} FROM recalls WHERE r IS NOT NULL
 SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.decided, CASE WHEN s.score >= least THEN 'allow' ELSE 'block' END) AS verdict
 FROM ruled r JOIN scored s USING (text) CROSS JOIN best
 """
-
-
-# The crc32 register, a byte at a time: each step takes the low byte eight times through the reflected polynomial.
-CRC32_SQL = """
-SELECT t, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * strlen(t), 2), lambda k: ('0x' || substr(hex(t), k, 2))::BIGINT)),
-  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) AS crc FROM {table}
-"""
