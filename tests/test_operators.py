@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import bars, lookups, quality, stats, tables
-from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.quantiles import exact_quantiles, narrowed_quantiles
 from tidemark.plans import features
 
 
@@ -34,6 +34,39 @@ def test_quantiles_with_outliers_and_copies(spark):
     np.testing.assert_allclose(list(row)[1:], np.quantile(values, [0.1, 0.5, 0.999]), rtol=1e-12)
 
 
+@pytest.mark.parametrize("kind", ["log-uniform", "normal", "copies", "few values", "two lumps"])
+def test_quantiles_narrow_by_rank(spark, kind):
+    """Every pass leaves a small fixed share of a group, whatever the distribution."""
+    rng = np.random.default_rng(5)
+    size = 60_000
+    values = {
+        "log-uniform": 10.0 ** rng.uniform(-30, 30, size),
+        "normal": rng.normal(size=size),
+        "copies": np.concatenate((np.zeros(size // 2), rng.normal(size=size // 2))),
+        "few values": rng.integers(0, 3, size).astype(float),
+        "two lumps": np.concatenate((rng.normal(size=size // 2) * 1e-9, 1e9 + rng.normal(size=size // 2))),
+    }[kind]
+    wanted = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9999, "e": 1.0}
+    frame = spark.createDataFrame(pd.DataFrame({"k": np.arange(size) % 2, "_v": values})).repartition(7)
+    left = []
+    got = narrowed_quantiles(frame, ["k"], wanted, limit=50, left=left).collect()
+    for row in got:
+        want = np.quantile(values[row["k"] :: 2], list(wanted.values()))
+        np.testing.assert_allclose([row[n] for n in wanted], want, rtol=1e-12)
+    assert left[0] == size // 2 and all(b <= a * 0.05 + 2 for a, b in zip(left, left[1:])), left
+
+
+def test_quantiles_of_small_and_large_groups_agree(spark):
+    pdf = pd.DataFrame({"k": ["a"] * 999 + ["b"] * 5 + ["c", "c"], "v": [*np.random.default_rng(0).normal(size=1004), np.nan, None]})
+    frame = spark.createDataFrame(pdf)
+    wanted = {"x": 0.5, "y": 0.1}
+    total = [F.count("v").alias("n")]
+    small = sorted(map(tuple, exact_quantiles(frame, ["k"], "v", wanted, aggregates=total).collect()), key=repr)
+    large = sorted(map(tuple, exact_quantiles(frame, ["k"], "v", wanted, aggregates=total, limit=3).collect()), key=repr)
+    for a, b in zip(small, large):
+        assert a[:2] == b[:2] and all(x == y or x == pytest.approx(y, rel=1e-12) for x, y in zip(a[2:], b[2:]))
+
+
 def test_correlation_equals_pandas(spark):
     a, b = walk("A", 300, seed=1, drop=(3, 40, 41)), walk("B", 260, seed=2, start="2024-01-02", drop=(7,))
     c = walk("C", 280, seed=3)

@@ -1,18 +1,18 @@
 """Summaries, distributions, correlation, gaps and error measures."""
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio, round_half_up
-from tidemark.functions.timeframes import bars_between, epoch_seconds, later_bar
+from tidemark.functions.timeframes import bars_between, epoch_seconds, later_bar, seconds_of
 from tidemark.operators.indicators import returns_pct, returns_step
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.series import Step, over_block, run
 from tidemark.schemas import SERIES
-from tidemark.session import BROADCAST_ROWS
+from tidemark.session import BROADCAST_ROWS, broadcast_if_small, scratch_dir
 
 
 def rows():
@@ -120,16 +120,10 @@ def feature_coverage(features: DataFrame) -> DataFrame:
 def returns_stats(candles: DataFrame, **layout) -> DataFrame:
     """Mean, exact median, deviation and extremes of percent returns per symbol, to 4 places."""
     returns = returns_pct(candles, **layout).where(F.col("returns_pct").isNotNull())
-    moments = returns.groupBy("symbol").agg(
-        F.avg("returns_pct").alias("mean"),
-        F.stddev_samp("returns_pct").alias("std"),
-        F.min("returns_pct").alias("min"),
-        F.max("returns_pct").alias("max"),
-    )
-    medians = exact_quantiles(
-        returns, ["symbol"], "returns_pct", {"median": 0.5}, groups=distinct_symbols(candles)
-    )
-    return moments.join(medians, "symbol").select(
+    aggregates = [fn("returns_pct").alias(n) for n, fn in (("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]
+    sizes = candles.groupBy("symbol").agg(rows().alias("rows"))
+    found = exact_quantiles(returns, ["symbol"], "returns_pct", {"median": 0.5}, sizes, aggregates)
+    return found.select(
         "symbol",
         *[round_half_up(F.col(c), 4).alias(c) for c in ("mean", "median", "std", "min", "max")],
     )
@@ -150,21 +144,15 @@ def describe(
             )
         ).alias("_e"),
     ).select(*by, F.col("_e.k").alias("column"), F.col("_e.v").alias("value"))
-    moments = long.groupBy(*by, "column").agg(
+    aggregates = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(
-        long,
-        [*by, "column"],
-        "value",
-        {"p25": 0.25, "p50": 0.5, "p75": 0.75},
-        groups=df.select(*by).distinct(),
-    )
-    return moments.join(quartiles, [*by, "column"], "left")
+    ]
+    sizes = df.groupBy(*by).agg(rows().alias("rows"))
+    return exact_quantiles(long, [*by, "column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, sizes, aggregates)
 
 
 def returns_histogram(candles: DataFrame, bins: int = 50, **layout) -> DataFrame:
@@ -201,7 +189,9 @@ def pivot_close(candles: DataFrame, symbols=None) -> DataFrame:
     return unique.groupBy("time").pivot("symbol", symbols).agg(F.max("close"))
 
 
+# Symbols of one side and times that a task multiplies at once.
 CORRELATION_GROUP = 64
+CORRELATION_TIMES = 1024
 
 
 def returns_correlation(candles: DataFrame, **layout) -> DataFrame:
@@ -211,46 +201,49 @@ def returns_correlation(candles: DataFrame, **layout) -> DataFrame:
     return is zero; times before every symbol has a return, and times at which a
     symbol's return is undefined, are left out. ``candles`` must hold one timeframe.
 
-    Symbols are spread over groups. The returns of a group at a time are one row, rows of two
-    groups meet by time, and tasks sum their products as small matrices; the sums of each pair
-    are then added up. Neither the grid of times nor any matrix of all symbols is ever formed.
+    Symbols are numbered and taken in groups. A task holds the returns of two groups over a range of times as
+    matrices and adds up their products, sums included; Spark adds the partial products of all ranges. Neither
+    the grid of times nor any matrix of all symbols is ever formed.
     """
-    if candles.select("timeframe").distinct().limit(2).count() > 1:
+    spark = candles.sparkSession
+    group = CORRELATION_GROUP
+
+    def kept(frame, label):
+        path = scratch_dir(spark, label)
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    ends = candles.groupBy("symbol").agg(
+        F.min("time").alias("begins"), F.min("timeframe").alias("f0"), F.max("timeframe").alias("f1"))
+    symbols = kept(ends.withColumn("i", F.row_number().over(W.orderBy("symbol")) - 1), "symbols")
+    total = symbols.agg(F.count("*").alias("n"), F.max("begins").alias("t"), F.min("f0").alias("f0"), F.max("f1").alias("f1")).first()
+    if total["f0"] != total["f1"]:
         raise ValueError("candles of several timeframes; filter one first")
-    symbols = distinct_symbols(candles)
-    groups = max(1, -(-symbols.count() // CORRELATION_GROUP))
-    group = F.pmod(F.xxhash64("symbol"), F.lit(groups)).cast("int")
-    complete_from = (
-        candles.groupBy("symbol").agg(F.min("time").alias("t")).agg(F.max("t")).scalar()
-    )
+    groups = max(1, -(-total["n"] // group))
+    complete_from = F.lit(total["t"])
+    symbols = symbols.select("symbol", "i")
     returns = run(candles, [returns_step()], **layout).where(F.col("time") > complete_from)
-    returns = returns.groupBy("time", "symbol").agg(F.max("returns").alias("r"))
+    returns = returns.groupBy("time", "symbol", "timeframe").agg(F.max("returns").alias("r"))
+    span = seconds_of(F.col("timeframe")).cast("long") * CORRELATION_TIMES
+    returns = returns.join(broadcast_if_small(symbols), "symbol").select(
+        "time", F.floor(epoch_seconds(F.col("time")) / span).alias("range"), "i", "r")
+    returns = kept(returns, "returns")
     undefined = returns.where("r IS NULL OR isnan(r)").select("time").distinct()
     returns = returns.join(undefined, "time", "left_anti")
-    sums = returns.groupBy("symbol").agg(F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q"))
-    times = returns.agg(F.count_distinct("time").cast("double").alias("n"))
-    rows_by_group = returns.groupBy("time", group.alias("g")).agg(F.collect_list(F.struct("symbol", "r")).alias("cells"))
-    left = rows_by_group.withColumnsRenamed({"g": "ga", "cells": "a"})
-    right = rows_by_group.withColumnsRenamed({"g": "gb", "cells": "b"})
-    met = left.join(right, "time").where("ga <= gb").select("ga", "gb", "a", "b")
-    products = met.mapInPandas(_products, "symbol_a string, symbol_b string, p double")
-    products = products.groupBy("symbol_a", "symbol_b").agg(F.sum("p").alias("p"))
-    both = products.unionByName(
-        products.where("symbol_a <> symbol_b").select(F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), "p")
-    )
-    members = symbols.groupBy(group.alias("gb")).agg(F.collect_list("symbol").alias("_members"))
-    pairs = (
-        symbols.select(F.col("symbol").alias("symbol_a"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("gb"))
-        .join(members, "gb")
-        .select("symbol_a", F.explode("_members").alias("symbol_b"))
-    )
-
-    def of(side):
-        return sums.select(F.col("symbol").alias(f"symbol_{side}"), F.col("s").alias(f"s{side}"), F.col("q").alias(f"q{side}"))
-
-    known = pairs.join(both, ["symbol_a", "symbol_b"], "left").join(of("a"), "symbol_a", "left").join(of("b"), "symbol_b", "left")
-    zero = {c: F.coalesce(c, F.lit(0.0)) for c in ("p", "sa", "qa", "sb", "qb")}
-    known = known.withColumns(zero).withColumn("n", F.lit(times.scalar()))
+    own = F.floor(F.col("i") / group).cast("int")
+    met = returns.withColumn("g", own).withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    met = met.select("range", F.least("g", "h").alias("a"), F.greatest("g", "h").alias("b"), "i", "time", "r")
+    products = met.groupBy("a", "b", "range").applyInArrow(_products(group), "i int, j int, p double")
+    products = kept(products.groupBy("i", "j").agg(F.sum("p").alias("p")), "products")
+    sums = products.where("j = -1").select("i", F.col("p").alias("s"))
+    sums = sums.join(products.where("i = j").select("i", F.col("p").alias("q")), "i")
+    n = returns.select("time").distinct().count()
+    named = symbols.select("symbol", "i").join(sums, "i", "left").fillna(0.0, ["s", "q"])
+    of_a = named.selectExpr("symbol AS symbol_a", "i AS ia", "s AS sa", "q AS qa").withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    of_b = named.selectExpr("symbol AS symbol_b", "i AS ib", "s AS sb", "q AS qb").withColumn("g", F.floor(F.col("ib") / group).cast("int"))
+    pairs = of_a.join(of_b, "g")
+    known = pairs.join(products.where("j >= i"), (F.least("ia", "ib") == F.col("i")) & (F.greatest("ia", "ib") == F.col("j")), "left")
+    known = known.withColumns({"p": F.coalesce("p", F.lit(0.0)), "n": F.lit(float(n))})
 
     def spread(side):
         # What rounding leaves of a flat series' variance is no variance.
@@ -263,26 +256,30 @@ def returns_correlation(candles: DataFrame, **layout) -> DataFrame:
     return known.select("symbol_a", "symbol_b", F.when(F.col("symbol_a") == F.col("symbol_b"), one).otherwise(corr).alias("corr"))
 
 
-def _products(batches):
-    """Sums of products of every pair of symbols within a batch of joined rows."""
-    for batch in batches:
-        for (ga, gb), rows_ in batch.groupby(["ga", "gb"]):
-            sides = []
-            for side in ("a", "b"):
-                cells = [(t, c["symbol"], c["r"]) for t, row in enumerate(rows_[side]) for c in row]
-                names = sorted({c[1] for c in cells})
-                place = {name: i for i, name in enumerate(names)}
-                m = np.zeros((len(rows_), len(names)))
-                for t, name, r in cells:
-                    m[t, place[name]] = r
-                sides.append((names, m))
-            (na, ma), (nb, mb) = sides
-            p = ma.T @ mb
-            if ga == gb:  # once per pair
-                i, k = np.triu_indices(len(na))
-            else:
-                i, k = (x.ravel() for x in np.indices(p.shape))
-            yield pd.DataFrame({"symbol_a": [na[x] for x in i], "symbol_b": [nb[x] for x in k], "p": p[i, k]})
+def _products(group: int):
+    """A function of one range of times of two groups of symbols: partial sums of products (i <= j), and sums as j = -1."""
+
+    def partial(key, table):
+        a, b = key[0].as_py(), key[1].as_py()
+        at = np.unique(table["time"].cast("int64").to_numpy(), return_inverse=True)[1]
+        i, r = table["i"].to_numpy(), table["r"].to_numpy()
+        m = np.zeros((2 * group, at.max() + 1))
+        row = i % group + group * (i // group != a)  # the first group above the second
+        m[row, at] = r
+        there = np.bincount(row, minlength=2 * group) > 0
+        left, right = m[:group], m[group:] if a != b else m[:group]
+        keep = np.outer(there[:group], there[group:] if a != b else there[:group])
+        if a == b:
+            keep = np.triu(keep)
+        x, y = np.nonzero(keep)
+        out = [(x + a * group, y + b * group, (left @ right.T)[x, y])]
+        if a == b:
+            x = np.flatnonzero(there[:group])
+            out.append((x + a * group, np.full(len(x), -1), left.sum(axis=1)[x]))
+        i, j, p = (np.concatenate(c) for c in zip(*out))
+        return pa.table({"i": pa.array(i, pa.int32()), "j": pa.array(j, pa.int32()), "p": pa.array(p, pa.float64())})
+
+    return partial
 
 
 def gaps(candles: DataFrame, **layout) -> DataFrame:
