@@ -92,3 +92,30 @@ def daily_latest(candles: DataFrame, rows: int = 50) -> DataFrame:
         *_day_columns()
     )
     return days.orderBy(F.desc("day"), "symbol").limit(rows)
+
+
+def partial_bars(candles: DataFrame) -> DataFrame:
+    """Daily bars that can be merged: opening and closing price with their times, extremes and sums."""
+    return candles.groupBy(time_bucket("1d", F.col("time")).alias("time_"), "symbol", "timeframe").agg(
+        F.min("time").alias("open_time"), F.max("time").alias("close_time"), *_day_columns(), F.count(F.lit(1)).alias("candles_count")
+    ).withColumnRenamed("time_", "time")
+
+
+def merged_bars(bars: DataFrame) -> DataFrame:
+    """One bar per day and series from several partial ones of disjoint candles."""
+    return bars.groupBy("time", "symbol", "timeframe").agg(
+        F.min("open_time").alias("open_time"),
+        F.max("close_time").alias("close_time"),
+        F.min_by("day_open", "open_time").alias("day_open"),
+        F.max("day_high").alias("day_high"),
+        F.min("day_low").alias("day_low"),
+        F.max_by("day_close", "close_time").alias("day_close"),
+        F.sum("day_volume").alias("day_volume"),
+        F.sum("candles_count").alias("candles_count"),
+    )
+
+
+def finished_bars(bars: DataFrame) -> DataFrame:
+    """The columns of :func:`daily_stats` from merged bars."""
+    values = ["day_open", "day_high", "day_low", "day_close", "day_volume", "candles_count"]
+    return bars.select(F.col("time").alias("day"), "symbol", "timeframe", *values)

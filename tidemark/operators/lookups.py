@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import ratio, round_half_up
+from tidemark.operators.series import with_position
+from tidemark.schemas import SERIES
 from tidemark.session import broadcast_if_small
 
 
@@ -56,13 +58,41 @@ def asof_price(candles: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     return _newest_close(old).select("symbol", "time", F.col("close").alias("price_ago"))
 
 
+def asof_many(candles: DataFrame, requests: DataFrame, at: str = "at", value: str = "close", **layout) -> DataFrame:
+    """Every request (symbol, timeframe, ``at``, ...) with the last known ``value`` of its series at or before that time, and its time.
+
+    Requests and candles are laid out together by time chunks, and the last known value is carried along, over
+    chunks too; no series is one task. NULL where nothing is known yet. Equal requests are looked up once; requests
+    without a series or time find nothing.
+    """
+    known = F.col(value).isNotNull()
+    if candles.schema[value].dataType.typeName() in ("double", "float"):
+        known &= ~F.isnan(value)
+    moments = requests.select(*SERIES, F.col(at).alias("_t")).distinct()
+    given = candles.where(known).select(*SERIES, F.col("time").alias("_t"), F.col(value).alias("_v"), F.col("time").alias("_vt"), F.lit(0).alias("_ask"))
+    rows = given.unionByName(moments.withColumn("_ask", F.lit(1)), allowMissingColumns=True)
+    carries = {"_value": "_v", "_value_time": "_vt"}
+    placed = with_position(rows, SERIES, "_t", carries=carries, then=("_ask",), **layout)
+    found = placed.where("_ask = 1").select(*SERIES, F.col("_t").alias(at), F.col("_value").alias(f"{value}_then"), F.col("_value_time").alias(f"{value}_time"))
+    return requests.join(found, [*SERIES, at], "left")
+
+
 def performance_24h(candles: DataFrame, as_of=None) -> DataFrame:
-    """Current price, price 24 hours before ``as_of`` and the change in percent."""
-    now = _newest_close(candles).select("symbol", F.col("close").alias("_now"))
-    ago = asof_price(candles, as_of).select("symbol", F.col("price_ago").alias("_ago"))
+    """Current price, price 24 hours before ``as_of`` and the change in percent, in one aggregation.
+
+    Without ``as_of`` the newest time is looked up first, from the time column alone.
+    """
+    if as_of is None:
+        as_of = F.lit(candles.agg(F.max("time")).first()[0]).cast(candles.schema["time"].dataType)
+    old = F.when(F.col("time") <= as_of - F.make_dt_interval(hours=F.lit(24)), F.col("time"))
+    series = candles.groupBy("symbol", "timeframe").agg(
+        F.max("time").alias("_t"), F.max_by("close", "time").alias("_now"), F.max(old).alias("_old"), F.max_by("close", old).alias("_ago"))
+    both = series.groupBy("symbol").agg(
+        F.max_by("_now", F.struct("_t", "timeframe")).alias("_now"),
+        F.max_by("_ago", F.when(F.col("_old").isNotNull(), F.struct("_old", "timeframe"))).alias("_ago"), F.max("_old").alias("_old"))
     change = ratio(F.col("_now") - F.col("_ago"), F.col("_ago")) * 100
     return (
-        now.join(ago, "symbol")
+        both.where("_old IS NOT NULL")
         .select(
             "symbol",
             round_half_up(F.col("_now"), 2).alias("current_price"),

@@ -68,13 +68,15 @@ def with_position(
     carries: dict | None = None,
     with_length: bool = False,
     chunk_rows: int = CHUNK_ROWS,
+    then=(),
 ) -> DataFrame:
     """Add ``_pos``, the 0-based position of each row in its series by ``time``.
 
     ``totals`` maps new names to expressions summed from the head of the series
     to the row; ``firsts`` maps new names to expressions read at the first row;
     ``carries`` maps new names to columns whose last known value (neither NULL nor NaN) up to the row
-    they hold, NULL before the first; ``with_length`` adds ``_length``, the rows of the series.
+    they hold, NULL before the first; ``with_length`` adds ``_length``, the rows of the series. Equal times are
+    put in the order of the columns ``then``.
     Rows without a key or time are left out.
     """
     keys, totals, firsts, carries = list(keys), totals or {}, firsts or {}, carries or {}
@@ -102,7 +104,7 @@ def with_position(
         *[F.last(n, ignorenulls=True).over(before).alias(f"_before{n}") for n in carries],
         *([F.sum("_rows").over(W.partitionBy(*keys)).alias("_length")] if with_length else []),
     )
-    in_chunk = W.partitionBy(*keys, "_chunk").orderBy(time)
+    in_chunk = W.partitionBy(*keys, "_chunk").orderBy(time, *then)
     running = in_chunk.rowsBetween(W.unboundedPreceding, 0)
     numbered = chunked.withColumns(
         {

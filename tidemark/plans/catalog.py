@@ -16,6 +16,7 @@ from tidemark.plans import features, learning, market, model_checks
 from tidemark.schemas import SERIES, STORED_FEATURES
 from tidemark.session import broadcast_if_small, configure, scratch_dir
 from tidemark.sources import candles as files
+from tidemark.sources import chunks
 from tidemark.streaming import jobs
 
 QUERIES = {}
@@ -189,6 +190,15 @@ def performance_24h(spark, sf):
     return lookups.performance_24h(market.candles_two_frames(spark, sf))
 
 
+@query
+def asof_many(spark, sf):
+    """The hourly close known at every event, and 90 minutes before it."""
+    made = market.candles(spark, sf)
+    late = market.plus_seconds(F.col("time"), F.lit(-5400))
+    asked = market.ticks(spark, sf).select("symbol", F.lit("1h").alias("timeframe"), F.explode(F.array("time", late)).alias("at"), F.col("id").alias("request"))
+    return lookups.asof_many(made, asked, chunk_rows=50)
+
+
 @query
 def market_summary(spark, sf):
     return lookups.market_summary(market.candles(spark, sf))
@@ -498,6 +508,17 @@ def upsert_update(spark, sf):
     return merged.select(*KEY, "open", "close", "created_at")
 
 
+@query
+def upsert_stored(spark, sf):
+    """A delivery merged into a stored table: only the days it touches are read and written."""
+    stored, arriving = market.existing_and_incoming(spark, sf)
+    target = scratch_dir(spark, "table")
+    files.write_by_day(stored.withColumn("created_at", _fixed_time("2024-02-01")), target)
+    arriving = arriving.withColumn("created_at", _fixed_time("2024-02-02"))
+    chunks.merge_chunks(target, arriving.unionByName(arriving.withColumn("open", F.col("open") + 1)))
+    return spark.read.parquet(target).select(*KEY, "open", "close", "created_at")
+
+
 @query
 def upsert_touch(spark, sf):
     stored = market.metadata(spark, sf).withColumn("updated_at", _fixed_time("2024-01-01"))
@@ -528,6 +549,34 @@ def retention(spark, sf):
     return tables.retain(market.candles(spark, sf), as_of, months=12).select(*KEY, "close")
 
 
+@query
+def retention_stored(spark, sf):
+    """Old chunks go as folders; only the chunk at the border is rewritten."""
+    target = scratch_dir(spark, "table")
+    files.write_by_day(market.candles(spark, sf), target, days=7)
+    chunks.drop_older(spark, target, _fixed_time("2025-01-15 00:00:00"), months=12, days=7)
+    return spark.read.parquet(target).select(*KEY, "close")
+
+
+@query
+def cascade_stored(spark, sf):
+    """Only chunks that hold a deleted symbol are rewritten."""
+    target = scratch_dir(spark, "table")
+    files.write_by_day(market.candles(spark, sf), target)
+    chunks.drop_symbols(target, market.metadata(spark, sf).where(F.col("symbol") == "view"))
+    return spark.read.parquet(target).select(*KEY, "close")
+
+
+@query
+def daily_refresh(spark, sf):
+    """Daily bars refreshed by three deliveries, the last one back in time."""
+    made, target = market.candles(spark, sf), scratch_dir(spark, "bars")
+    hour = F.hour("time") % 3
+    for part in (1, 2, 0):
+        chunks.refresh_bars(target, made.where(hour == part))
+    return bars.finished_bars(spark.read.parquet(target))
+
+
 @query
 def cascade_delete(spark, sf):
     deleted = market.metadata(spark, sf).where(F.col("symbol") == "view")
@@ -843,13 +892,13 @@ def sink_by_week(spark, sf):
 # --- streams ----------------------------------------------------------------
 
 
-def _candle_stream(spark, sf, source=market.candles):
-    """Candles as a folder of one file per week, written in time order, read back as a stream of one file per batch."""
+def _candle_stream(spark, sf, source=market.candles, order=(0, 1, 2, 3)):
+    """Candles as a folder of one file per week, written in the ``order`` of weeks, read back as a stream of one file per batch."""
     folder = scratch_dir(spark, "feed")
     made = source(spark, sf).withColumn("time", F.col("time").cast("timestamp"))
     ends = [_fixed_time(f"2024-01-{day:02d}").cast("timestamp") for day in (8, 15, 22)]
     weeks = [F.col("time") < ends[0], *[(F.col("time") >= a) & (F.col("time") < b) for a, b in zip(ends, ends[1:])], F.col("time") >= ends[-1]]
-    for week in weeks:
+    for week in (weeks[i] for i in order):
         made.where(week).coalesce(1).write.mode("append").parquet(folder)
     return jobs.read_stream(spark, folder, made.schema, files_per_batch=1)
 
@@ -866,6 +915,17 @@ def stream_daily(spark, sf):
     return jobs.run_updates(jobs.daily_bars(_candle_stream(spark, sf)), ("day", *SERIES), "day")
 
 
+@query
+def stream_daily_late(spark, sf):
+    """Bars of a stream whose first week arrives after the second one: it is late and kept aside, one row per day and series."""
+    folder = scratch_dir(spark, "bars")
+    stream = _candle_stream(spark, sf, order=(1, 0, 2, 3))
+    jobs.run_to_end(stream, foreach=jobs.daily_bars_by_batch(folder))
+    made, late = jobs.read_bars(spark, folder, batches=4)
+    aside = late.groupBy(F.date_trunc("day", "time").alias("day"), *SERIES).agg(F.count(F.lit(1)).alias("late_count"))
+    return made.join(aside, ["day", *SERIES], "full_outer")
+
+
 @query
 def stream_latest(spark, sf):
     stream = jobs.latest(_candle_stream(spark, sf, market.candles_two_frames))

@@ -12,6 +12,7 @@ from tidemark.operators.series import run
 from tidemark.operators.stats import rows
 from tidemark.operators.tables import upsert
 from tidemark.schemas import CANDLE_KEY, FEATURE_STORE_TYPES, SERIES, STORED_FEATURES
+from tidemark.sources.chunks import merge_chunks
 
 
 def feature_steps() -> list:
@@ -91,6 +92,11 @@ def refresh_features(
     return fresh if existing is None else upsert(existing, fresh)
 
 
+def store_features(candles: DataFrame, target: str, timeframe: str | None = None, days: int = 1, **layout) -> None:
+    """Compute all series and upsert them into the stored features table ``target``: only the chunks they touch are read."""
+    merge_chunks(target, refresh_features(candles, timeframe=timeframe, **layout), days=days)
+
+
 def feature_run_stats(candles: DataFrame, stored: DataFrame, overflow: DataFrame | None = None) -> DataFrame:
     """Candle rows, stored feature rows and rows set aside of each series."""
     read = candles.groupBy(*SERIES).agg(rows().alias("rows"))

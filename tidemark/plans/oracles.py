@@ -557,3 +557,16 @@ ORACLES["model_comparison"] = f"""{_FITTED} SELECT unnest(['linear', 'linear_rid
 'val' AS split, n AS samples, true AS best_is_first FROM (SELECT count(*) AS n FROM divided WHERE split = 'val')"""
 ORACLES["model_roundtrip"] = f"""{_FITTED} SELECT 'linear' AS model_name, time, symbol, timeframe, split, {r('target', 'actual')}, true AS same
 FROM divided"""
+
+ORACLES["upsert_stored"] = ORACLES["upsert_update"]
+ORACLES["retention_stored"] = ORACLES["retention"]
+ORACLES["cascade_stored"] = ORACLES["cascade_delete"]
+ORACLES["daily_refresh"] = ORACLES["daily_stats"]
+ORACLES["asof_many"] = f"""WITH {CANDLES}, asked AS (
+  SELECT symbol, '1h' AS timeframe, unnest([t, t - INTERVAL 90 MINUTE]) AS at, id AS request FROM ticks)
+SELECT a.symbol, a.timeframe, a.at, request, {r('c.close', 'close_then')}, c.time AS close_time
+FROM asked a ASOF LEFT JOIN candles c ON a.symbol = c.symbol AND a.at >= c.time"""
+ORACLES["stream_daily_late"] = f"""WITH {CANDLES}, days AS (SELECT date_trunc('day', time)::TIMESTAMP AS day, symbol, timeframe,
+{DAY_COLUMNS}, count(*) AS candles_count FROM candles GROUP BY 1, 2, 3)
+SELECT * REPLACE ({", ".join(f"CASE WHEN day >= TIMESTAMP '2024-01-08' THEN {c} END AS {c}" for c in ("day_open", "day_high", "day_low", "day_close", "day_volume", "candles_count"))}),
+CASE WHEN day < TIMESTAMP '2024-01-08' THEN candles_count END AS late_count FROM days"""

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.bars import finished_bars, merged_bars, partial_bars
 from tidemark.operators.indicators import moved_rsi, moves
 from tidemark.operators.series import (
     Step,
@@ -12,10 +13,10 @@ from tidemark.operators.series import (
     run,
     twice_averaged,
 )
-from tidemark.operators.tables import one_per_key, upsert
+from tidemark.operators.tables import upsert
 from tidemark.schemas import CANDLE_KEY, SERIES
 from tidemark.session import broadcast_if_small, scratch_dir
-from tidemark.sources.candles import with_chunk, write_by_day
+from tidemark.sources.chunks import exists, merge_chunks, remove_folder
 
 
 def read_stream(spark: SparkSession, folder: str, schema, glob="*.parquet", files_per_batch=None):
@@ -119,10 +120,10 @@ def averages_by_batch(folder: str, **layout):
         aside = rows.where(missing)
         rows = rows.where(~missing)
         before = f"{folder}/state/v={batch_id - 1}"
-        known = _exists(spark, before)
+        known = exists(spark, before)
         if batch_id > 0 and not known:
             raise ValueError(f"no state of batch {batch_id - 1} under {folder}; the folder belongs to another checkpoint")
-        if batch_id == 0 and _exists(spark, f"{folder}/state/v=1"):
+        if batch_id == 0 and exists(spark, f"{folder}/state/v=1"):
             raise ValueError(f"{folder} already holds later batches; a new checkpoint needs a new folder")
         if known:
             state = spark.read.parquet(before)
@@ -157,51 +158,69 @@ def read_averages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def upsert_days(target: str, keys=CANDLE_KEY, time: str = "time", merge=upsert, days: int = 1):
-    """A ``foreachBatch`` function that merges each batch into the chunks of ``days`` days it touches.
+    """A ``foreachBatch`` function that merges each batch into the chunks of ``days`` days it touches (see merge_chunks).
 
-    ``merge`` is :func:`upsert`, or ``insert_ignore`` to let stored rows win; copies in a
-    batch count once. The new chunks are staged first, because a chunk cannot be
-    overwritten while it is read, and the stage is removed afterwards. A repeated
-    batch gives the same table. The function also serves batch deliveries: ``apply(delivery, 0)``.
+    A repeated batch gives the same table. The function also serves batch deliveries: ``apply(delivery, 0)``.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = with_chunk(batch, time, days)
-        stage = scratch_dir(spark, f"upsert-{batch_id}")
-        batch.write.parquet(f"{stage}/batch")
-        fresh = spark.read.parquet(f"{stage}/batch")
-        if _exists(spark, target):
-            old = _only_days(spark.read.parquet(target), fresh.select("day").distinct())
-            merged = merge(old.drop("day"), fresh.drop("day"), keys)
-        else:
-            merged = one_per_key(fresh.drop("day"), keys, last=merge is upsert)
-        merged.write.parquet(f"{stage}/merged")
-        write_by_day(spark.read.parquet(f"{stage}/merged"), target, time, days)
-        remove_folder(spark, stage)
+        merge_chunks(target, batch, keys, time, merge, days)
 
     return apply
 
 
-DAY_LIMIT = 10_000
+def daily_bars_by_batch(folder: str, delay: str = "1 hour"):
+    """A ``foreachBatch`` function: final daily bars under ``folder/out``, open ones in ``folder/open``, late rows in ``folder/late``.
 
+    The watermark is the newest time of all earlier batches minus ``delay``. A row is late if its day ended at or
+    before it, as in :func:`daily_bars`, which drops such rows; here they are kept, so the candles of final and open bars
+    and the late rows are together the input. Bars are merged from partial ones, one row per open day and series. All is
+    written per batch, so a repeated batch replaces its own output. Rows without a time are set aside too.
+    """
 
-def _only_days(table: DataFrame, days: DataFrame) -> DataFrame:
-    """The day folders that occur in ``days``: named one by one while they are few, else joined."""
-    found = days.limit(DAY_LIMIT + 1).collect()
-    if len(found) <= DAY_LIMIT:
-        return table.where(F.col("day").isin([r["day"] for r in found]))
-    return table.join(days, "day", "left_semi")
-
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stage = f"{scratch_dir(spark, 'bars')}/{batch_id}"
+        batch.write.parquet(stage)
+        rows = spark.read.schema(batch.schema).parquet(stage)
+        before, mark = f"{folder}/open/v={batch_id - 1}", None
+        if batch_id and not exists(spark, before):
+            raise ValueError(f"no open bars of batch {batch_id - 1} under {folder}; the folder belongs to another checkpoint")
+        if batch_id == 0 and exists(spark, f"{folder}/open/v=1"):
+            raise ValueError(f"{folder} already holds later batches; a new checkpoint needs a new folder")
+        if batch_id:
+            mark = spark.read.parquet(f"{folder}/mark/v={batch_id - 1}").first()["newest"]
+
+        def ended(time, newest):
+            """Whether the day of ``time`` ended at or before the watermark of ``newest``."""
+            if newest is None:
+                return F.lit(False)
+            watermark = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+            return F.date_trunc("day", time) + F.expr("INTERVAL 1 DAY") <= watermark
+
+        late = F.col("time").isNull() | ended(F.col("time"), mark)
+        rows.where(late).write.mode("overwrite").parquet(f"{folder}/late/batch={batch_id}")
+        bars = partial_bars(rows.where(~late))
+        if batch_id:
+            bars = merged_bars(spark.read.parquet(before).unionByName(bars))
+        bars.write.mode("overwrite").parquet(f"{stage}-bars")
+        bars = spark.read.parquet(f"{stage}-bars")
+        newest = rows.agg(F.max("time")).first()[0]
+        newest = max((t for t in (mark, newest) if t is not None), default=None)
+        done = ended(F.col("time"), newest)
+        bars.where(done).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+        spark.createDataFrame([(newest,)], "newest timestamp").write.mode("overwrite").parquet(f"{folder}/mark/v={batch_id}")
+        bars.where(~done).write.mode("overwrite").parquet(f"{folder}/open/v={batch_id}")
+        remove_folder(spark, stage)
+        remove_folder(spark, f"{stage}-bars")
 
-def _exists(spark, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    return apply
 
 
-def remove_folder(spark, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+def read_bars(spark: SparkSession, folder: str, batches: int) -> tuple:
+    """(bars, late rows) after ``batches`` batches: final bars and those still open."""
+    bars = spark.read.parquet(f"{folder}/out").drop("batch").unionByName(spark.read.parquet(f"{folder}/open/v={batches - 1}"))
+    return finished_bars(bars), spark.read.parquet(f"{folder}/late").drop("batch")
 
 
 def run_to_end(stream: DataFrame, mode: str = "append", foreach=None) -> DataFrame | None:
