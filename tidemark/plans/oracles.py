@@ -221,22 +221,21 @@ divided AS (
   FROM placed)"""
 
 
-def _scaled():
-    moments = ", ".join(
-        f"avg({c}::DOUBLE) AS {c}_m, var_pop({c}::DOUBLE) AS {c}_v" for c in STORED_FEATURES
-    )
+_moments = ", ".join(f"avg({c}::DOUBLE) AS {c}_m, var_pop({c}::DOUBLE) AS {c}_v" for c in STORED_FEATURES)
+MOMENTS = f"""moments AS (SELECT symbol, timeframe, count(*)::DOUBLE AS n, {_moments} FROM divided
+            WHERE split = 'train' GROUP BY symbol, timeframe)"""
+
+
+def _standardized(c):
     eps = "2.220446049250313e-16"
+    noise = f"(n * {eps} * {c}_v + pow(n * {c}_m * {eps}, 2))"
+    return f"({c}::DOUBLE - {c}_m) / CASE WHEN {c}_v <= {noise} THEN 1.0 ELSE sqrt({c}_v) END"
 
-    def scaled(c):
-        noise = f"(n * {eps} * {c}_v + pow(n * {c}_m * {eps}, 2))"
-        return r(
-            f"({c}::DOUBLE - {c}_m) / CASE WHEN {c}_v <= {noise} THEN 1.0 ELSE sqrt({c}_v) END", c
-        )
 
-    columns = ", ".join(scaled(c) for c in STORED_FEATURES)
+def _scaled():
+    columns = ", ".join(r(_standardized(c), c) for c in STORED_FEATURES)
     return f"""WITH RECURSIVE {TRAINING}, {_split('training')},
-moments AS (SELECT symbol, timeframe, count(*)::DOUBLE AS n, {moments} FROM divided
-            WHERE split = 'train' GROUP BY symbol, timeframe)
+{MOMENTS}
 SELECT time, symbol, timeframe, {columns}, {r('target', 'target')}, split
 FROM divided JOIN moments USING (symbol, timeframe)"""
 
@@ -570,3 +569,27 @@ ORACLES["stream_daily_late"] = f"""WITH {CANDLES}, days AS (SELECT date_trunc('d
 {DAY_COLUMNS}, count(*) AS candles_count FROM candles GROUP BY 1, 2, 3)
 SELECT * REPLACE ({", ".join(f"CASE WHEN day >= TIMESTAMP '2024-01-08' THEN {c} END AS {c}" for c in ("day_open", "day_high", "day_low", "day_close", "day_volume", "candles_count"))}),
 CASE WHEN day < TIMESTAMP '2024-01-08' THEN candles_count END AS late_count FROM days"""
+
+
+def _ridge_predictions(alpha=1.0):
+    """The closed form: Gram matrix of the centred training rows, Gauss-Jordan elimination one column a step."""
+    k = len(STORED_FEATURES)
+    centred = [f"(x[{i}] - mx[{i}])" for i in range(1, k + 1)] + ["(y - my)"]
+    gram = ", ".join(
+        "[" + ", ".join(f"sum({centred[i]} * {centred[j]})" + (f" + {alpha}" if i == j else "") for j in range(k + 1)) + "]" for i in range(k))
+    return f"""{_FITTED},
+{MOMENTS},
+vectors AS (SELECT symbol, timeframe, time, split, target::DOUBLE AS y, [{", ".join(map(_standardized, STORED_FEATURES))}] AS x FROM divided JOIN moments USING (symbol, timeframe)),
+center AS (SELECT [{", ".join(f"avg(x[{i}])" for i in range(1, k + 1))}] AS mx, avg(y) AS my FROM vectors WHERE split = 'train'),
+solving AS (
+  SELECT 0 AS step, (SELECT [{gram}] FROM vectors, center WHERE split = 'train')::DOUBLE[][] AS m
+  UNION ALL
+  SELECT step + 1, list_transform(range(1, {k + 1}), lambda i: CASE WHEN i = step + 1 THEN lead_row
+    ELSE list_transform(range(1, {k + 2}), lambda j: m[i][j] - m[i][step + 1] * lead_row[j]) END)
+  FROM (SELECT step, m, list_transform(m[step + 1], lambda v: v / m[step + 1][step + 1]) AS lead_row FROM solving WHERE step < {k})),
+solved AS (SELECT list_transform(m, lambda row: row[{k + 1}]) AS b FROM solving WHERE step = {k})
+SELECT 'linear_ridge' AS model_name, symbol, timeframe, time, split, {r('y', 'actual')},
+{r(f"my + list_sum(list_transform(range(1, {k + 1}), lambda j: (x[j] - mx[j]) * b[j]))", 'predicted')} FROM vectors, center, solved"""
+
+
+ORACLES["ridge_predictions"] = _ridge_predictions()
