@@ -9,6 +9,7 @@ from test_jaccard_join import expected as near
 
 import corpus_pipeline
 from tidemark.llm import decontaminate as dc
+from tidemark.llm import exact_dedup, jaccard_join
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -55,3 +56,14 @@ def test_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.collect() == []
+
+
+def test_stages_keep_columns_that_look_like_helpers(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, 10, 11, 12, 13, "a"), (2, text + " more", 20, 21, 22, 23, "b"), (3, "etwas anderes", 30, 31, 32, 33, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _k int, _own int, _row int, _doc_id int, k string")
+    items = spark.createDataFrame([(1, "etwas ganz anderes, das nirgends steht und lang genug ist")], "item_id long, text string")
+    kept = exact_dedup.kept_rows(docs, exact_dedup.exact_dedup(docs))
+    assert sorted(tuple(r) for r in kept.collect()) == rows
+    assert sorted(tuple(r) for r in dc.clean_rows(docs, items).collect()) == rows
+    assert sorted(tuple(r) for r in jaccard_join.one_of_each(docs).collect()) == [rows[0], rows[2]]

@@ -55,7 +55,25 @@ def stored(spark, frame, label):
     """Write ``frame`` to the shared folder and read it back; cuts the lineage."""
     path = scratch_dir(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(*tables):
+    """Remove tables that ``stored`` wrote and that nothing still to be computed reads."""
+    for table in tables:
+        if getattr(table, "_scratch", None):
+            hadoop = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
+            hadoop.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def unused(name, *columns):
+    """A column name that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def named_rows(docs, winners, id_col, text_col):
@@ -65,8 +83,9 @@ def named_rows(docs, winners, id_col, text_col):
         return F.concat(F.coalesce(i.cast("string"), F.lit("null")), F.lit(":"), k.cast("string"))
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.withColumn("_row", name(F.col(f"`{id_col}`"), F.xxhash64(text)))
-    return rows.join(winners.select(name(F.col("doc_id"), F.col("k")).alias("_row")), "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    row = unused("_row", *docs.columns)
+    rows = docs.withColumn(row, name(F.col(f"`{id_col}`"), F.xxhash64(text)))
+    return rows.join(winners.select(name(F.col("doc_id"), F.col("k")).alias(row)), row, "left_semi").dropDuplicates([row]).drop(row)
 
 
 def shared_folder(spark, label):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def _with_least(pairs):
@@ -31,7 +31,8 @@ def components(spark, links, most_rounds=60):
         large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         small = _with_least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        pairs = stored(spark, small.filter("u <> v").distinct(), "pairs")
+        before, pairs = pairs, stored(spark, small.filter("u <> v").distinct(), "pairs")
+        discard(before)
         if _is_settled(pairs):
             break
     else:

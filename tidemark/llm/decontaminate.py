@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, rolling
-from tidemark.llm.common import keyed, on_row, stored
+from tidemark.llm.common import keyed, on_row, unused, stored
 from tidemark.llm.repeats import column
 
 LEAST = 6
@@ -208,6 +208,7 @@ def clean_rows(docs, benchmark, least=LEAST, share=COVERAGE, id_col="doc_id", te
     """The input rows, all columns, that hold no test item."""
     bad = contaminated_pairs(docs, benchmark, least, share, id_col, text_col, **names).select("doc_id", "k").distinct()
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    marked = docs.withColumn("_own", F.xxhash64(text))
-    b = bad.withColumnsRenamed({"doc_id": "_doc_id", "k": "_k"})
-    return marked.join(b, (F.col("_own") == F.col("_k")) & marked[id_col].eqNullSafe(b["_doc_id"]), "left_anti").drop("_own")
+    own, doc, k = (unused(n, *docs.columns) for n in ("_own", "_doc_id", "_k"))
+    marked = docs.withColumn(own, F.xxhash64(text))
+    b = bad.withColumnsRenamed({"doc_id": doc, "k": k})
+    return marked.join(b, (F.col(own) == F.col(k)) & F.col(f"`{id_col}`").eqNullSafe(F.col(doc)), "left_anti").drop(own)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lower_ascii, unused
 
 RUNS = 64
 FAN_IN = 4
@@ -74,6 +74,7 @@ def kept_rows(docs, decisions, id_col="doc_id", text_col="text", normalise=lower
         return F.concat(sha, F.lit(":"), F.coalesce(i.cast("string"), F.lit("null")))
 
     sha = F.sha2(normalise(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))), 256)
-    winners = decisions.filter("kept").select(named(F.col("text_sha256"), F.col(id_col)).alias("_row"))
-    rows = docs.withColumn("_row", named(sha, docs[id_col]))
-    return rows.join(winners, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    row = unused("_row", *docs.columns)
+    winners = decisions.filter("kept").select(named(F.col("text_sha256"), F.col(id_col)).alias(row))
+    rows = docs.withColumn(row, named(sha, docs[id_col]))
+    return rows.join(winners, row, "left_semi").dropDuplicates([row]).drop(row)

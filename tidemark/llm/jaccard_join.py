@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, rolling
-from tidemark.llm.common import named_rows, stored
+from tidemark.llm.common import discard, named_rows, stored
 from tidemark.llm.components import components
 from tidemark.llm.repeats import column
 
@@ -344,8 +344,8 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
     reps = nodes.filter("n >= 4").groupBy("s").agg(F.min(F.struct("doc_id", "k")).alias("key")).join(needed, "s")
     texts = stored(spark, rows.join(reps, "key").dropDuplicates(["key"]).select("s", "raw"), "set-texts")
     marks = stored(spark, sketches(texts), "set-parities")
-    left, links, labels = found, None, None
-    known = None
+    left, links, labels, whole = found, None, None, None
+    known, spent = None, []
     for turn in range(rounds):
         star = left.select(F.col("hub").alias("a"), F.col("s").alias("b")).distinct()
         hubs = star.select(F.col("a").alias("hub")).distinct()
@@ -354,6 +354,8 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         # What parities rule out is far from the hub, and needs no text.
         star = stored(spark, possible(star, marks, 0.4), "possible-pairs")
         near = stored(spark, verified(star, texts), "hub-pairs")
+        discard(star)
+        spent.append(near)
         known = near if known is None else known.unionByName(near)
         linked = known.filter("100 * both >= 80 * any").select("a", "b")
         # Within 0.6 of the hub in distance lies every link of a member within 0.4. Members that link with
@@ -370,6 +372,7 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         inside = ball_links(ball.select("hub", "s", "label"), texts)
         links = linked.unionByName(inside) if links is None else links.unionByName(linked).unionByName(inside)
         links = stored(spark, links.distinct(), "links")
+        spent.append(links)
         if labels is None:
             labels = components(spark, links)
         by_s = labels.withColumnRenamed("node", "s")
@@ -377,7 +380,9 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         rest = left.join(close, ["hub", "s"], "left_anti").select("sig", "s")
         labelled = rest.join(by_s, "s", "left").withColumn("label", F.coalesce("label", "s"))
         open_ = labelled.groupBy("sig").agg(F.min("s").alias("hub"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-        whole = stored(spark, rest.join(open_.select("sig", "hub"), "sig"), "rest")
+        before, whole = whole, stored(spark, rest.join(open_.select("sig", "hub"), "sig"), "rest")
+        if before is not None:
+            discard(before)
         left = whole.filter("s <> hub").select("sig", "hub", "s")
         if left.isEmpty():
             if turn:
@@ -388,7 +393,10 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
         pairs = pairs.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         last = verified(pairs, texts).filter("100 * both >= 80 * any").select("a", "b")
         links = stored(spark, links.unionByName(last), "links")
+        spent.append(links)
         labels = components(spark, links)
+    # The result reads the sets and the labels only.
+    discard(found, texts, marks, whole, *spent)
     return nodes.join(labels.withColumnRenamed("node", "s"), "s", "left").withColumn("label", F.coalesce("label", "s"))
 
 
