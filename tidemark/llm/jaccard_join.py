@@ -111,37 +111,26 @@ def signatures(s, n2=N2, k2=K2):
     return np.unique(np.concatenate(out))
 
 
-def node_rows(rows):
-    """(doc_id, k, n, s): size and number of every row's set."""
+def signed_rows(rows):
+    """(doc_id, k, n, s, sigs): size and number of every row's set and its signatures, empty where a batch holds them already."""
     flat = rows.select("key.doc_id", "key.k", "raw")
     id_type = flat.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            sets = shingles(column(b, "raw").to_pylist())
+            sets, done = shingles(column(b, "raw").to_pylist()), set()
+            nodes = [set_hash(s) for s in sets]
+            sigs = []
+            for s, node in zip(sets, nodes):
+                sigs.append(np.zeros(0, dtype=np.uint64) if node in done else signatures(s))
+                done.add(node)
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in sigs])))
+            flat_sigs = np.concatenate(sigs) if sigs else np.zeros(0, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [column(b, "doc_id"), column(b, "k"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(np.array([set_hash(s) for s in sets], dtype=np.uint64).view(np.int64))], ["doc_id", "k", "n", "s"])
-
-    return flat.mapInArrow(run, f"doc_id {id_type}, k long, n long, s long")
-
-
-def signature_rows(rows):
-    """(sig, s) of every row."""
-
-    def run(batches):
-        for b in batches:
-            sigs, owners, done = [], [], set()
-            for s in shingles(column(b, "raw").to_pylist()):
-                node = set_hash(s)
-                if node not in done:
-                    done.add(node)
-                    sigs.append(signatures(s))
-                    owners.append(np.full(len(sigs[-1]), node, dtype=np.uint64))
-            if sigs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owners).view(np.int64))], ["sig", "s"])
+                [column(b, "doc_id"), column(b, "k"), pa.array([len(s) for s in sets], pa.int64()), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat_sigs.view(np.int64)))], ["doc_id", "k", "n", "s", "sigs"])
 
-    return rows.select("raw").mapInArrow(run, "sig long, s long")
+    return flat.mapInArrow(run, f"doc_id {id_type}, k long, n long, s long, sigs array<long>")
 
 
 def members(sigs):
@@ -337,8 +326,10 @@ def labelled_rows(docs, id_col="doc_id", text_col="text", rounds=ROUNDS):
     """(doc_id, k, n, s, label) of every row; rows of one component have one label."""
     spark = docs.sparkSession
     rows = repeats.binary_rows(docs, id_col, text_col)
-    nodes = stored(spark, node_rows(rows), "sets")
-    found = stored(spark, members(signature_rows(rows)), "members")
+    signed = stored(spark, signed_rows(rows), "signed-sets")
+    nodes = stored(spark, signed.drop("sigs"), "sets")
+    found = stored(spark, members(signed.select(F.explode("sigs").alias("sig"), "s")), "members")
+    discard(signed)
     # One text per set that shares a signature, for the comparisons.
     needed = found.select("s").unionByName(found.select(F.col("hub").alias("s"))).distinct()
     reps = nodes.filter("n >= 4").groupBy("s").agg(F.min(F.struct("doc_id", "k")).alias("key")).join(needed, "s")
