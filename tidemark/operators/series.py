@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timeframes import epoch_seconds, seconds_of
 from tidemark.schemas import SERIES
+from tidemark.session import broadcast_if_small, scratch_dir
 
 CHUNK_ROWS = 32768
 BLOCK_ROWS = 32768
@@ -161,7 +162,8 @@ def with_held(out: DataFrame, holds: dict, keys=SERIES) -> DataFrame:
     """Add ``{name: (column, seed)}``: the last known value of ``column`` among the rows of the series up to this one.
 
     Only own rows count, as copied rows lack the history before them. What earlier blocks hold comes
-    from a table of one row per block, joined back by the key that the rows are dealt by.
+    from a table of one row per block, written first by a pass over the columns that ``holds`` needs, so that the
+    plan of the result has one layout only.
     """
     known = {n: F.when(F.col("_own"), F.col(c)) for n, (c, _) in holds.items()}
     ends = out.groupBy(*keys, "_block").agg(
@@ -171,6 +173,10 @@ def with_held(out: DataFrame, holds: dict, keys=SERIES) -> DataFrame:
     starts = ends.select(
         *keys, "_block", *[F.last(f"_before_{n}", ignorenulls=True).over(before).alias(f"_before_{n}") for n in holds]
     )
+    spark = out.sparkSession
+    path = scratch_dir(spark, "ends")
+    starts.write.parquet(path)
+    starts = broadcast_if_small(spark.read.schema(starts.schema).parquet(path))
     within = {
         n: f"last(CASE WHEN _own THEN {c} END, true) {over_block(RUNNING, keys)}" for n, (c, _) in holds.items()
     }
