@@ -60,3 +60,17 @@ def test_query_equals_its_sql(spark, sf_dir):
 def test_no_python(spark, sf_dir):
     plan = QUERIES["op8_exact_dedup"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_every_round_sorts_and_merges(spark):
+    rows = spark.createDataFrame([(i, f"copy {i % 3}") for i in range(50)], "doc_id long, text string")
+    merged = ed.merge_runs(ed.digests(rows), runs=64, fan_in=4)
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    planned = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 3 and planned.count("Sort [sha") == 3
+    assert sorted(r.group_size for r in merged.collect()) == [16, 17, 17]
+
+
+def test_texts_are_hashed_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "A")], "doc_id long, text string")
+    assert "sha2(" not in ed.exact_dedup(rows)._jdf.queryExecution().optimizedPlan().toString()

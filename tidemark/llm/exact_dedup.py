@@ -1,8 +1,9 @@
-"""Exact deduplication by a tree merge of digest runs, in DataFrame operations only."""
+"""Exact deduplication by a tree merge of sorted digest runs, in DataFrame operations only."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, unused
+from tidemark.llm.common import lower_ascii, stored, unused
 
 RUNS = 64
 FAN_IN = 4
@@ -12,40 +13,41 @@ def digests(docs, id_col="doc_id", text_col="text", normalise=lower_ascii):
     """(id, sha, check): SHA-256 of the normalised text; length and a second hash verify a match."""
     text = normalise(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     return docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("t")).select(
-        "id", F.sha2("t", 256).alias("sha"), F.struct(F.octet_length("t").alias("bytes"), F.xxhash64("t").alias("xx")).alias("check")
+        "id", F.unhex(F.sha2("t", 256)).alias("sha"), F.struct(F.octet_length("t").alias("bytes"), F.xxhash64("t").alias("xx")).alias("check")
     )
 
 
 def merge_runs(rows, runs=RUNS, fan_in=FAN_IN, keep="min"):
-    """One row per digest: (sha, check, keep_id, group_size), merged level by level.
+    """One row per digest: (sha, check, keep_id, group_size), merged round by round.
 
-    Level 0 puts every row into one of ``runs`` runs by its id, each digest once per run. At each
-    further level ``fan_in`` neighbouring runs exchange what falls into the same digest range
-    and merge it into one run by hash aggregation (Spark drops the sort, as no aggregate depends on it), keeping the smallest (or largest) id and the number of rows of every
-    digest whose length and second hash agree too. A group of copies shrinks to at most one row per
-    run before any exchange, so no level gathers a hot group.
+    Input partitions form ``runs`` runs; each holds a digest once, collapsed before its first exchange. In
+    round r, runs whose numbers agree above the r-th digit (base ``fan_in``) send their digest ranges to the
+    first of them, which sorts what it gets by digest and keeps, of adjacent rows that agree in digest, length
+    and second hash, the one with the smallest (or largest) id and the sum of their rows. Spark's sort merges
+    the sorted runs it receives. A digest has at most ``fan_in`` rows there, however many copies exist.
     """
     best = F.min if keep == "min" else F.max
+    first = F.asc_nulls_last("keep_id") if keep == "min" else F.desc_nulls_last("keep_id")
     ranges = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     level = rows.select(
-        F.pmod(F.xxhash64("id"), F.lit(runs)).cast("int").alias("run"),
+        (F.spark_partition_id() % runs).alias("run"),
         # the digest's leading bits, so that ranges follow digest order
-        F.floor(F.conv(F.substring("sha", 1, 8), 16, 10).cast("long") * ranges / F.lit(2**32)).cast("int").alias("range"),
+        F.floor(F.conv(F.hex(F.substring("sha", 1, 4)), 16, 10).cast("long") * ranges / F.lit(2**32)).cast("int").alias("range"),
         "sha", "check", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
     )
-    left = runs
-    while True:
-        level = level.groupBy("range", "run", "sha", "check").agg(
-            best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
-        )
-        if left <= 1:
-            return level.drop("range", "run")
-        left = -(-left // fan_in)
+    level = level.groupBy("sha", "check", "range", "run").agg(best("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    same = Window.partitionBy("sha", "check", "range", "run").orderBy(first)
+    stride = 1
+    while stride < runs:
+        stride *= fan_in
         level = (
-            level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+            level.withColumn("run", F.col("run") - F.col("run") % stride)
             .repartition(ranges, "range", "run")
-            .sortWithinPartitions("run", "sha")
+            .withColumn("place", F.row_number().over(same))
+            .withColumn("group_size", F.sum("group_size").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+            .filter("place = 1").drop("place")
         )
+    return level.drop("range", "run")
 
 
 def exact_dedup(docs, id_col="doc_id", text_col="text", normalise=lower_ascii, keep="max", runs=RUNS):
@@ -55,13 +57,14 @@ def exact_dedup(docs, id_col="doc_id", text_col="text", normalise=lower_ascii, k
     id stays only if every id of its group is null. Of rows that repeat an id and a text exactly one
     can stay. Other columns, also clashing ones, are ignored; an empty table gives an empty result.
     """
-    rows = digests(docs, id_col, text_col, normalise)
+    # Stored, so that texts are read and hashed once.
+    rows = stored(docs.sparkSession, digests(docs, id_col, text_col, normalise), "digests")
     groups = merge_runs(rows, runs, keep=keep)
     # Rows that repeat id and text are counted, not gathered, and laid out again at the end.
     own = rows.groupBy("id", "sha", "check").agg(F.count("*").alias("n"))
     same = [F.col("o.sha") == F.col("g.sha"), F.col("o.check.bytes") == F.col("g.check.bytes"), F.col("o.check.xx") == F.col("g.check.xx")]
     joined = own.alias("o").join(groups.alias("g"), same[0] & same[1] & same[2])
-    spread = joined.select("o.id", "g.keep_id", "g.group_size", F.col("o.sha").alias("text_sha256"),
+    spread = joined.select("o.id", "g.keep_id", "g.group_size", F.lower(F.hex("o.sha")).alias("text_sha256"),
                            F.explode(F.sequence(F.lit(1).cast("long"), "o.n")).alias("copy"))
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return spread.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "text_sha256")
