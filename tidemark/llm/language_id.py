@@ -10,6 +10,7 @@ import itertools
 import numpy as np
 import pandas as pd
 import regex
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_mod
@@ -19,6 +20,7 @@ DIM = 2048
 ORDERS = (1, 2, 3)
 SAMPLE_ROWS = 1600
 MAX_LANGUAGES = 200
+RANKS = 2**63 - 1
 # A language that is not listed is a family of its own.
 FAMILIES = {
     "en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
@@ -86,26 +88,34 @@ def vote(x, fitted):
 
 
 def training_sample(docs, held_out, id_col, text_col, lang_col, sample_rows, max_languages):
-    """Rows (lang, features) of at most about ``sample_rows`` documents, evenly over the languages."""
+    """Rows (lang, features) of at most ``sample_rows`` documents: the same number of each language, first by a hash of id and text.
+
+    At most ``max_languages`` languages, the most frequent ones, are learned, as the machines grow with the square
+    of a family's languages. Rows that repeat an id and a text count once.
+    """
     usable = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"), held_out.alias("out")
-    ).filter("lang is not null and text is not null and not out")
-    sizes = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    ).filter("lang is not null and text is not null and not out").withColumn("rank", F.xxhash64("id", "text").bitwiseAND(RANKS))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("rows"), F.approx_count_distinct("rank").alias("different"))
+    sizes = sizes.orderBy(F.desc("rows"), "lang").limit(max_languages).collect()
     if not sizes:
         return [], np.zeros((0, DIM), dtype=np.float32)
     each = max(1, sample_rows // len(sizes))
-    share = F.lit(0.0)
-    for lang, n in sizes:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))).otherwise(share)
-    rank = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    rows = usable.withColumn("rank", rank).filter(F.col("rank") < share * 1_000_000)
+    spark = docs.sparkSession
+    # The first ``each`` of n different hashes lie below 8 * each / n of their range, or n is small and all are looked at.
+    bounds = spark.createDataFrame([(r.lang, min(1.0, 8 * each / max(r.different, 1)) * RANKS) for r in sizes], "lang string, bound double")
+    ranked = usable.join(F.broadcast(bounds), "lang").filter("rank <= bound")
+    order = Window.partitionBy("lang").orderBy("rank")
+    few = ranked.select("lang", "rank").distinct().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
+    # at most sample_rows pairs are broadcast
+    rows = ranked.join(F.broadcast(few.select("lang", "rank")), ["lang", "rank"]).groupBy("lang", "rank").agg(F.min("text").alias("text"))
 
     def run(batches):
         for b in batches:
             yield pd.DataFrame({"lang": b["lang"], "rank": b["rank"], "x": [r.astype(np.float16).tobytes() for r in features(b["text"])]})
 
     got = rows.select("lang", "rank", "text").mapInPandas(run, "lang string, rank long, x binary")
-    got = got.orderBy("rank").limit(2 * sample_rows).toPandas().sort_values(["lang", "rank", "x"])
+    got = got.toPandas().sort_values(["lang", "rank"])
     x = np.frombuffer(b"".join(got["x"]), dtype=np.float16).reshape(-1, DIM).astype(np.float32)
     return list(got["lang"]), x
 
