@@ -92,3 +92,12 @@ def test_whole_table_equals_brute_force(spark, sf_dir):
     got = {r.doc_id: (r.contaminated, r.n_items, r.item_id) for r in dc.decontaminate(docs, items).collect()}
     want = expected([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()], dc.LEAST, dc.COVERAGE)
     assert got == want
+
+
+def test_scripts_without_blanks(spark):
+    item = "今天天气很好，我们去公园散步。"
+    docs = [(1, "前言" + item + "后记"), (2, "今天我们不去"), (3, "วันนี้อากาศดีมากเราไปเดินเล่น"), (4, "ก่อน วันนี้อากาศดีมากเราไปเดินเล่น หลัง"), (5, "plain words only")]
+    items = [(0, item), (1, "วันนี้อากาศดีมากเราไปเดินเล่น")]
+    got = {r.doc_id: r.item_id for r in dc.decontaminate(*frames(spark, docs, items)).collect() if r.contaminated}
+    assert got == {1: 0, 3: 1, 4: 1}
+    assert dc.normal("Día, x") == "día  x".encode()

@@ -7,6 +7,7 @@ hashes; the share of an item's tokens that is marked counts, so passages in anot
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, rolling
@@ -17,10 +18,15 @@ LEAST = 6
 COVERAGE = 0.5
 FILTER_BITS = 22
 _SIGNS = bytes(ord(" ") if c < 128 and not chr(c).isalnum() else c for c in range(256))
+# Scripts written without blanks between words: each of their characters is a token. Their signs separate tokens.
+_UNSPACED = regex.compile(r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]\p{M}*)")
+_OWN_SIGNS = regex.compile(r"[\u3000-\u3004\u3008-\u3020\uFF01-\uFF0F\uFF1A-\uFF20\uFF3B-\uFF40\uFF5B-\uFF65]")
 
 
 def normal(text):
-    """Lower-cased UTF-8 with a blank for every ASCII sign."""
+    """Lower-cased UTF-8 with a blank for every ASCII sign, and around each character of an unspaced script."""
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \1 ", _OWN_SIGNS.sub(" ", text))
     return text.lower().encode().translate(_SIGNS)
 
 
@@ -191,7 +197,8 @@ def contaminated_pairs(docs, benchmark, least=LEAST, share=COVERAGE, id_col="doc
 def decontaminate(docs, benchmark, least=LEAST, share=COVERAGE, id_col="doc_id", text_col="text", **names):
     """One row per input row: doc_id, contaminated, n_items, item_id and coverage (of the best covered item).
 
-    Tokens are runs of letters, digits and other non-ASCII characters, lower-cased. A null text has none; items
+    Tokens are runs of letters, digits and other non-ASCII characters, lower-cased; of scripts without blanks
+    (Chinese, Japanese, Thai and others) every character is one. A null text has none; items
     of fewer than ``least`` tokens match nothing. Of equally covered items the smallest id counts. Rows that
     repeat an id and a text get the same result; repeated items count once; other columns are ignored.
     """
