@@ -112,3 +112,28 @@ def test_counts_do_not_depend_on_slices():
     assert b"".join(p for g in parts for i, p in g if i == 0) == raws[0]
     cut, owner = ngrams.counts(raws, 64, (1,), segment=512)
     assert owner.tolist() == [0, 0, 0, 1, 2, 2, 3] and cut.sum() == sum(map(len, raws))
+
+
+def test_sample_takes_each_language_alike(spark):
+    rows = [(i, f"the house number {i} of the town", "en") for i in range(3000)] + [(9000 + i, f"la casa {i} del pueblo", "es") for i in range(12)]
+    rows += [(None, "le chat et le chien", "fr")] * 500
+    got, x = language_id.training_sample(frame(spark, rows), F.lit(False), "doc_id", "text", "lang", 30, 200)
+    assert {lang: got.count(lang) for lang in set(got)} == {"en": 10, "es": 10, "fr": 1} and len(x) == 21
+    again, y = language_id.training_sample(frame(spark, rows).repartition(7), F.lit(False), "doc_id", "text", "lang", 30, 200)
+    assert got == again and (x == y).all()
+    assert set(language_id.training_sample(frame(spark, rows), F.lit(False), "doc_id", "text", "lang", 30, 2)[0]) == {"en", "fr"}
+
+
+def test_passages_of_a_long_text_are_bounded_for_the_fit_only():
+    texts = ["ab" * 400_000, None, "short", "e" * 512]
+    bags = quality.bags_of(texts, 8)
+    rows = [len(b) // 2 // quality.DIM for b in bags]
+    assert rows == [8, 1, 1, 1]
+    assert np.frombuffer(bags[3], dtype=np.uint16).max() >= 500
+    assert quality.bags_of(["x" * 2000], 64) == quality.bags_of(["x" * 2000], 4)
+
+
+def test_quality_of_text_ids(spark):
+    labels = spark.createDataFrame([("4", 1), ("9", 0), ("7", 1)], "doc_id string, quality int")
+    docs = frame(spark).withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert quality.predict(docs, labels).count() == len(ROWS)

@@ -2,8 +2,8 @@
 
 A document is a bag of passages. Every passage is encoded from hashed byte n-grams by a small
 learned layer, a gated attention weighs the passages, and the weighted sum is scored. Only
-documents carry labels. The network is fitted on a bounded sample of labelled rows (``sample_rows``);
-scoring covers every passage of every text.
+documents carry labels. The network is fitted on a bounded sample of labelled rows (``sample_rows``),
+of each at most ``BAG_PASSAGES`` passages spread over the whole text; scoring covers every passage of every text.
 """
 
 import numpy as np
@@ -18,6 +18,7 @@ ORDERS = (1, 2, 3)
 PASSAGE = 512
 HIDDEN, GATE = 24, 12
 SAMPLE_ROWS = 2000
+BAG_PASSAGES = 64
 
 
 def passages(texts):
@@ -28,6 +29,19 @@ def passages(texts):
         yield x, np.array([i for i, _ in group])[owner]
 
 
+def bags_of(texts, most=BAG_PASSAGES):
+    """Counts of at most ``most`` passages of every text as bytes of 16-bit numbers, spread evenly by multiples of the golden ratio."""
+    bags, seen = {i: [] for i in range(len(texts))}, [0] * len(texts)
+    for x, owner in passages(texts):
+        for i in np.unique(owner):
+            own = x[owner == i]
+            ranks = (np.arange(seen[i], seen[i] + len(own), dtype=np.uint64) * np.uint64(2654435769)) % np.uint64(1 << 32)
+            seen[i] += len(own)
+            few = np.argsort(ranks)[:most]
+            bags[i] = sorted(bags[i] + [(int(ranks[j]), own[j].astype(np.uint16).tobytes()) for j in few])[:most]
+    return [b"".join(row for _, row in bags[i]) for i in range(len(texts))]
+
+
 def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -120,20 +134,17 @@ def training_sample(docs, labels, held_out, sample_rows, id_col, text_col, label
     share = F.when(F.col("y") == 1, min(1.0, each / max(sizes.get(1, 0), 1))).otherwise(min(1.0, each / max(sizes.get(0, 0), 1)))
     few = usable.filter(F.pmod("rank", F.lit(1_000_000)) < share * 1_000_000).orderBy("rank", "y").limit(sample_rows)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            bags = {}
-            for x, owner in passages(b["text"]):
-                for i in np.unique(owner):
-                    bags.setdefault(i, []).append(np.minimum(x[owner == i], 255).astype(np.uint8).tobytes())
-            yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": [b"".join(bags[i]) for i in range(len(b))]})
+            yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": bags_of(list(b["text"]))})
 
     # at most sample_rows pairs of numbers are broadcast
-    got = rows.join(F.broadcast(few.select("id", "y")), "id").select("id", "y", "text").mapInPandas(run, "id long, y int, x binary")
+    got = rows.join(F.broadcast(few.select("id", "y")), "id").select("id", "y", "text").mapInPandas(run, f"id {id_type}, y int, x binary")
     got = got.toPandas().sort_values(["id", "y", "x"])
     y = got["y"].to_numpy(dtype=np.float32)
-    bags = [np.frombuffer(x, dtype=np.uint8).reshape(-1, DIM) for x in got["x"]]
+    bags = [np.frombuffer(x, dtype=np.uint16).reshape(-1, DIM) for x in got["x"]]
     weight = np.array([sizes[int(v)] / max((y == v).sum(), 1) for v in y], dtype=np.float32)
     return bags, y, weight
 
