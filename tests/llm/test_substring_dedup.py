@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import repeats, rolling, substring_dedup
 
@@ -92,3 +93,10 @@ def test_words_are_hashed_alike_in_any_part():
 def test_spans_are_maximal(spark):
     assert [x.tolist() for x in rolling.intervals(rolling.covered(np.array([1, 2, 7]), np.array([1, 3, 7]), 3, 10))] == [[1, 7], [6, 10]]
     assert repeats.KEY == ["doc_id", "k"]
+
+
+def test_rows_that_repeat_id_and_text_keep_one_list_of_spans(spark):
+    rows = spark.createDataFrame([(None, 5, "text")] * 300, "doc_id long, k long, raw string").select(F.struct("doc_id", "k").alias("key"), "raw")
+    spans = spark.createDataFrame([(None, 5, 0, 3), (None, 5, 4, 9)] * 300, "doc_id long, k long, lo int, hi int")
+    got = repeats.with_spans(rows, spans).collect()
+    assert len(got) == 300 and {len(r.spans) for r in got} == {2}

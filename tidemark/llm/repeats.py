@@ -102,8 +102,11 @@ def whole_runs(found, kinds, later_only=False):
 
 
 def with_spans(rows, spans):
-    """Rows joined with their spans: (key, raw, spans), an empty list where there are none."""
-    lists_ = spans.groupBy(F.struct(*KEY).alias("key")).agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    """Rows joined with their spans: (key, raw, spans), an empty list where there are none.
+
+    Rows that repeat an id and a text bring the same spans, which are kept once.
+    """
+    lists_ = spans.groupBy(F.struct(*KEY).alias("key")).agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     joined = rows.join(lists_, "key", "left")
     empty = F.expr("cast(array() as array<struct<lo:int,hi:int>>)")
     return joined.select("key.doc_id", "raw", F.coalesce("spans", empty).alias("spans"))
