@@ -1,23 +1,26 @@
 """Training-order materialisation: token ids of all texts as fixed-stride binary shards in a keyed order.
 
-The texts' byte tokens form one stream, each text closed by an end mark; the stream is cut into sequences of equal
-length. A Feistel permutation of the sequence numbers, walked along its cycle until it stays in range, gives
-every sequence a slot; range partitions of the slots write the shards.
+The token ids of the texts, ordered by a hash of id and text, form one stream, each text closed by an end mark; the
+stream is cut into sequences of equal length. A Feistel permutation of the sequence numbers, walked along its cycle
+until it stays in range, gives every sequence a slot; range partitions of the slots write the shards. The shards
+depend on rows, key and parameters alone, not on how Spark partitions anything.
 """
 
 import hashlib
 import uuid
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidemark.llm import bpe
 from tidemark.llm.repeats import column
 
-END, FILL = 0xFE, 0xFF  # bytes that no UTF-8 text holds
 SEQUENCE = 1024
 SHARD_SEQUENCES = 4096
 ROUNDS = 6
+CHANGED = "the input changed between two scans; write it to a table first"
 
 
 def _mix(x, key):
@@ -62,50 +65,74 @@ def file_system(uri):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri.removeprefix("file:"))
 
 
-def stream_sizes(rows):
-    """{partition: bytes of stream} of a scan, and the total; one number per partition reaches the driver."""
-    sizes = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length("raw") + 1).alias("n")).collect()
-    return {r["p"]: r["n"] for r in sizes}
+def qualified(spark, folder):
+    """The folder with the scheme that Spark gives a path without one, so tasks and Spark mean the same store."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
-def pieces(rows, bases, sizes, n, length, key):
-    """(slot, sequence, at, bytes) of the stretch of each sequence that a text gives."""
-    marked = rows.select(F.spark_partition_id().alias("p"), "raw")
-    schema = "slot long, sequence long, at int, bytes binary"
+def token_type(vocabulary):
+    """(numpy type, end mark, fill mark): the two ids after the vocabulary are the marks."""
+    return np.dtype("<u2" if vocabulary + 2 <= 1 << 16 else "<u4"), vocabulary, vocabulary + 1
+
+
+def token_rows(docs, ranks, kind, end, bits, id_col, text_col, counts_only=False):
+    """(bucket, k, n, ids): the ids of every text with the end mark. ``k`` orders the texts, its first ``bits`` are the bucket."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("k"), text.alias("text"))
+
+    def run(batches):
+        encoding = bpe.load_encoding(*ranks.value)
+        for b in batches:
+            ids = [np.array(bpe.encode_text(encoding, t) + [end], dtype=kind) for t in column(b, "text").to_pylist()]
+            n = pa.array([len(i) for i in ids], pa.int64())
+            raw = pa.nulls(len(ids), pa.binary()) if counts_only else pa.array([i.tobytes() for i in ids], pa.binary())
+            yield pa.RecordBatch.from_arrays([column(b, "k"), n, raw], ["k", "n", "ids"])
+
+    bucket = (F.shiftright("k", 64 - bits) + (1 << (bits - 1))).cast("int")
+    return rows.mapInArrow(run, "k long, n long, ids binary").withColumn("bucket", bucket)
+
+
+def pieces(ordered, bases, sizes, n, length, width, key):
+    """(slot, sequence, at, ids) of the stretch of each sequence that a text gives, from texts in order within each bucket."""
+    schema = "slot long, sequence long, at int, ids binary"
 
     def run(batches):
-        at, part = None, None
+        at = own = None
+
+        def settle():
+            if own is not None and at != bases[own] + sizes[own]:
+                raise ValueError(CHANGED)
+
         for b in batches:
-            raws = column(b, "raw").to_pylist()
-            if not raws:
-                continue
-            part = column(b, "p")[0].as_py()
-            at = bases[part] if at is None else at
             seq, offset, cut = [], [], []
-            for raw in raws:
-                stream = raw + bytes([END])
-                i = 0
-                while i < len(stream):
+            for bucket, raw in zip(column(b, "bucket").to_pylist(), column(b, "ids").to_pylist()):
+                if bucket != own:
+                    settle()
+                    if bucket not in bases:
+                        raise ValueError(CHANGED)
+                    own, at = bucket, bases[bucket]
+                i, count = 0, len(raw) // width
+                while i < count:
                     s, o = divmod(at, length)
-                    take = stream[i : i + length - o]
+                    take = min(length - o, count - i)
                     seq.append(s)
                     offset.append(o)
-                    cut.append(take)
-                    i += len(take)
-                    at += len(take)
-            if at > bases[part] + sizes[part]:
-                raise ValueError("the input changed between two scans; write it to a table first")
+                    cut.append(raw[i * width : (i + take) * width])
+                    i += take
+                    at += take
+                if at > bases[own] + sizes[own]:
+                    raise ValueError(CHANGED)
             seq = np.array(seq, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(permute(seq, n, key)), pa.array(seq), pa.array(offset, pa.int32()), pa.array(cut, pa.binary())],
-                ["slot", "sequence", "at", "bytes"])
-        if part is not None and at != bases[part] + sizes[part]:
-            raise ValueError("the input changed between two scans; write it to a table first")
+                ["slot", "sequence", "at", "ids"])
+        settle()
 
-    return marked.mapInArrow(run, schema)
+    return ordered.select("bucket", "ids").mapInArrow(run, schema)
 
 
-def write_shards(spread, folder, n, length, per_shard):
+def write_shards(spread, folder, length, per_shard, kind, fill):
     """Write the shards of every range partition; rows (slot, sequence, shard, offset, n_tokens, tokens_sha256).
 
     A shard is written under a name of its own and then renamed, so a repeated or lost task leaves whole files
@@ -135,10 +162,10 @@ def write_shards(spread, folder, n, length, per_shard):
                 shard = s
                 temporary = f"{root}/.{s:08d}-{uuid.uuid4().hex}"
                 out = fs.open_output_stream(temporary)
-            used = len(row)
-            full = bytes(row) + bytes([FILL]) * (length - used)
+            used = len(row) // kind.itemsize
+            full = bytes(row) + np.full(length - used, fill, dtype=kind).tobytes()
             out.write(full)
-            done.append((slot, seq, s, (slot - s * per_shard) * length, used, hashlib.sha256(full).hexdigest()))
+            done.append((slot, seq, s, (slot - s * per_shard) * len(full), used, hashlib.sha256(full).hexdigest()))
 
         def result():
             cols = list(zip(*done)) or [[]] * 6
@@ -148,7 +175,7 @@ def write_shards(spread, folder, n, length, per_shard):
                                               ["slot", "sequence", "shard", "offset", "n_tokens", "tokens_sha256"])
 
         for b in batches:
-            for x, q, cut in zip(column(b, "slot").to_pylist(), column(b, "sequence").to_pylist(), column(b, "bytes").to_pylist()):
+            for x, q, cut in zip(column(b, "slot").to_pylist(), column(b, "sequence").to_pylist(), column(b, "ids").to_pylist()):
                 if x != slot:
                     finish()
                     slot, seq, row = x, q, bytearray()
@@ -163,44 +190,56 @@ def write_shards(spread, folder, n, length, per_shard):
     return spread.mapInArrow(run, "slot long, sequence long, shard long, offset long, n_tokens int, tokens_sha256 string")
 
 
-def materialise(docs, folder, key="order", length=SEQUENCE, per_shard=SHARD_SEQUENCES, id_col="doc_id", text_col="text"):
+def materialise(docs, folder, key="order", length=SEQUENCE, per_shard=SHARD_SEQUENCES, rank_path=bpe.RANKS,
+                pattern=public_tokenizers.PATTERN, id_col="doc_id", text_col="text"):
     """Write all sequences in training order and return one row per sequence.
 
     slot (place in the order), sequence (place in the stream), shard and byte offset in it, n_tokens (fill marks
-    excluded; only the last sequence may be short) and the digest of its bytes. Tokens are UTF-8 bytes, one byte
-    each; every text, also a null or empty one, ends with 0xFE. ``docs`` must give the same rows in the same
-    partitions when scanned again (a table does; the counts of both scans are compared). Ids do not matter, other
-    columns are ignored, an empty table writes nothing.
+    excluded; only the last sequence may be short) and the digest of its bytes. Tokens are the ids of byte-level BPE
+    (see bpe.py), little-endian, two bytes each if the vocabulary and two marks fit, else four. Every text, also a null
+    or empty one, ends with the first id after the vocabulary; the second one fills the last sequence. ``docs`` must
+    give the same rows when scanned again (a table does; the counts of both scans are compared). Texts follow
+    each other by a hash of id and text, ties by their ids; rows that repeat both are interchangeable and each
+    give a text. Other columns are ignored, an empty table writes nothing.
     """
+    spark = docs.sparkSession
+    folder = qualified(spark, folder)
     fs, root = file_system(folder)
     fs.create_dir(root, recursive=True)
-    raw = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(raw.alias("raw"))
-    sizes = stream_sizes(rows)
+    ranks = bpe._frames(rank_path, pattern, spark)
+    kind, end, fill = token_type(bpe.load_encoding(*ranks.value).n_vocab)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(20, max(1, (partitions - 1).bit_length()))
+    counted = token_rows(docs, ranks, kind, end, bits, id_col, text_col, counts_only=True)
+    sizes = {r["bucket"]: r["n"] for r in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # one number per bucket
     total, bases = 0, {}
-    for p in sorted(sizes):
-        bases[p] = total
-        total += sizes[p]
+    for bucket in sorted(sizes):
+        bases[bucket] = total
+        total += sizes[bucket]
     n = -(-total // length)
     shards = max(1, -(-n // per_shard))
-    parts = min(shards, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    cut = pieces(rows, bases, sizes, n, length, key).withColumn("shard", F.floor(F.col("slot") / per_shard))
-    spread = cut.repartitionByRange(parts, "shard").sortWithinPartitions("slot", "at")
-    return write_shards(spread.select("slot", "sequence", "bytes"), folder, n, length, per_shard)
+    parts = min(shards, max(1, partitions))
+    tokens = token_rows(docs, ranks, kind, end, bits, id_col, text_col)
+    ordered = tokens.repartitionById(1 << bits, "bucket").sortWithinPartitions("bucket", "k", "ids")
+    cut = pieces(ordered, bases, sizes, n, length, kind.itemsize, key)
+    part = F.floor(F.floor(F.col("slot") / per_shard) * parts / shards).cast("int")
+    spread = cut.withColumn("part", part).repartitionById(parts, "part").sortWithinPartitions("slot", "at")
+    return write_shards(spread.select("slot", "sequence", "ids"), folder, length, per_shard, kind, fill)
 
 
-def read_from(folder, slot, count, length=SEQUENCE, per_shard=SHARD_SEQUENCES):
-    """Resume: the bytes of ``count`` sequences from ``slot`` on, by seeking at multiples of the stride."""
+def read_from(folder, slot, count, length=SEQUENCE, per_shard=SHARD_SEQUENCES, kind=np.dtype("<u2")):
+    """Resume: the ids of ``count`` sequences from ``slot`` on, by seeking at multiples of the stride."""
     fs, root = file_system(folder)
+    stride = length * kind.itemsize
     out = []
     while count > 0:
         shard, row = divmod(slot, per_shard)
         take = min(count, per_shard - row)
         with fs.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
-            f.seek(row * length)
-            block = f.read(take * length)
-        out += [block[i : i + length] for i in range(0, len(block), length)]
-        if len(block) < take * length:
+            f.seek(row * stride)
+            block = f.read(take * stride)
+        out += [np.frombuffer(block[i : i + stride], dtype=kind) for i in range(0, len(block), stride)]
+        if len(block) < take * stride:
             break
         slot, count = slot + take, count - take
     return out
