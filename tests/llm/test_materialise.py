@@ -75,3 +75,10 @@ def test_whole_table_whatever_the_partitions(spark, sf_dir, tmp_path):
     assert sorted(again) == rows
     for shard in {r.shard for r in rows}:
         assert (tmp_path / "b" / f"shard-{shard:08d}.bin").read_bytes() == (tmp_path / "c" / f"shard-{shard:08d}.bin").read_bytes()
+
+
+def test_texts_are_encoded_once(spark, sf_dir, tmp_path):
+    rows = m.materialise(spark.read.parquet(f"{sf_dir}/documents.parquet"), str(tmp_path / "d"))
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan, plan

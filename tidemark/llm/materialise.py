@@ -12,6 +12,7 @@ import uuid
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe
@@ -23,6 +24,15 @@ ROUNDS = 6
 CHANGED = "the input changed between two scans; write it to a table first"
 
 
+def pack(raw):
+    """Bytes of ids on their way through a shuffle."""
+    return pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
+
+
+def unpack(packed, size):
+    return pa.Codec("zstd").decompress(packed, size, asbytes=True)
+
+
 def _mix(x, key):
     x = (x ^ key) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
@@ -76,8 +86,8 @@ def token_type(vocabulary):
     return np.dtype("<u2" if vocabulary + 2 <= 1 << 16 else "<u4"), vocabulary, vocabulary + 1
 
 
-def token_rows(docs, ranks, kind, end, bits, id_col, text_col, counts_only=False):
-    """(bucket, k, n, ids): the ids of every text with the end mark. ``k`` orders the texts, its first ``bits`` are the bucket."""
+def token_rows(docs, ranks, kind, end, bits, id_col, text_col):
+    """(k, n, ids, bucket): the packed ids of every text with the end mark. ``k`` orders the texts, its first ``bits`` are the bucket."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("k"), text.alias("text"))
 
@@ -85,51 +95,64 @@ def token_rows(docs, ranks, kind, end, bits, id_col, text_col, counts_only=False
         encoding = bpe.load_encoding(*ranks.value)
         for b in batches:
             ids = [np.array(bpe.encode_text(encoding, t) + [end], dtype=kind) for t in column(b, "text").to_pylist()]
-            n = pa.array([len(i) for i in ids], pa.int64())
-            raw = pa.nulls(len(ids), pa.binary()) if counts_only else pa.array([i.tobytes() for i in ids], pa.binary())
-            yield pa.RecordBatch.from_arrays([column(b, "k"), n, raw], ["k", "n", "ids"])
+            packed = [pack(i.tobytes()) for i in ids]
+            yield pa.RecordBatch.from_arrays([column(b, "k"), pa.array([len(i) for i in ids], pa.int64()), pa.array(packed, pa.binary())], ["k", "n", "ids"])
 
     bucket = (F.shiftright("k", 64 - bits) + (1 << (bits - 1))).cast("int")
-    return rows.mapInArrow(run, "k long, n long, ids binary").withColumn("bucket", bucket)
+    return rows.mapInArrow(run, "k long, n long, ids binary").withColumn("bucket", bucket).filter("bucket is not null")
 
 
-def pieces(ordered, bases, sizes, n, length, width, key):
-    """(slot, sequence, at, ids) of the stretch of each sequence that a text gives, from texts in order within each bucket."""
-    schema = "slot long, sequence long, at int, ids binary"
+def bucket_bases(dealt):
+    """(bucket, base, size, total): where every bucket's tokens lie in the stream; one row per bucket, whatever the corpus.
 
-    def run(batches):
-        at = own = None
+    All columns of ``dealt`` are used, and its bucket is known to be set, so that Spark finds the same exchange here and
+    where the tokens are cut, and encodes once.
+    """
+    sums = dealt.groupBy("bucket").agg(F.sum("n").alias("size"), F.max("k").alias("k"), F.max(F.octet_length("ids")).alias("longest"))
+    sums = sums.filter("k is not null and longest > 0")
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("size").over(before), F.lit(0))
+    return sums.select("bucket", base.alias("base"), "size", F.sum("size").over(Window.partitionBy()).alias("total"))
 
-        def settle():
-            if own is not None and at != bases[own] + sizes[own]:
-                raise ValueError(CHANGED)
 
+def pieces(ordered, length, kind, key):
+    """(slot, sequence, sequences, at, n, ids) of the stretch of each sequence that a text gives, from texts in order within each bucket."""
+    schema = "slot long, sequence long, sequences long, at int, n int, ids binary"
+    width = kind.itemsize
+
+    def run(batches):
+        at = own = close = None
         for b in batches:
-            seq, offset, cut = [], [], []
-            for bucket, raw in zip(column(b, "bucket").to_pylist(), column(b, "ids").to_pylist()):
+            seq, offset, used, cut = [], [], [], []
+            names = ["bucket", "n", "ids", "base", "size"]
+            for bucket, n, packed, base, size in zip(*(column(b, c).to_pylist() for c in names)):
                 if bucket != own:
-                    settle()
-                    if bucket not in bases:
+                    if at != close:
                         raise ValueError(CHANGED)
-                    own, at = bucket, bases[bucket]
-                i, count = 0, len(raw) // width
-                while i < count:
+                    own, at, close = bucket, base, base + size
+                raw = unpack(packed, n * width)
+                i = 0
+                while i < n:
                     s, o = divmod(at, length)
-                    take = min(length - o, count - i)
+                    take = min(length - o, n - i)
                     seq.append(s)
                     offset.append(o)
-                    cut.append(raw[i * width : (i + take) * width])
+                    used.append(take)
+                    cut.append(pack(raw[i * width : (i + take) * width]))
                     i += take
                     at += take
-                if at > bases[own] + sizes[own]:
-                    raise ValueError(CHANGED)
+            if not seq:
+                continue
+            sequences = -(-column(b, "total")[0].as_py() // length)
             seq = np.array(seq, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(permute(seq, n, key)), pa.array(seq), pa.array(offset, pa.int32()), pa.array(cut, pa.binary())],
-                ["slot", "sequence", "at", "ids"])
-        settle()
+                [pa.array(permute(seq, sequences, key)), pa.array(seq), pa.array(np.full(len(seq), sequences)),
+                 pa.array(offset, pa.int32()), pa.array(used, pa.int32()), pa.array(cut, pa.binary())],
+                ["slot", "sequence", "sequences", "at", "n", "ids"])
+        if at != close:
+            raise ValueError(CHANGED)
 
-    return ordered.select("bucket", "ids").mapInArrow(run, schema)
+    return ordered.select("bucket", "n", "ids", "base", "size", "total").mapInArrow(run, schema)
 
 
 def write_shards(spread, folder, length, per_shard, kind, fill):
@@ -175,11 +198,11 @@ def write_shards(spread, folder, length, per_shard, kind, fill):
                                               ["slot", "sequence", "shard", "offset", "n_tokens", "tokens_sha256"])
 
         for b in batches:
-            for x, q, cut in zip(column(b, "slot").to_pylist(), column(b, "sequence").to_pylist(), column(b, "ids").to_pylist()):
+            for x, q, used, cut in zip(*(column(b, c).to_pylist() for c in ("slot", "sequence", "n", "ids"))):
                 if x != slot:
                     finish()
                     slot, seq, row = x, q, bytearray()
-                row += cut
+                row += unpack(cut, used * kind.itemsize)
             if done:
                 yield result()
         finish()
@@ -198,7 +221,7 @@ def materialise(docs, folder, key="order", length=SEQUENCE, per_shard=SHARD_SEQU
     excluded; only the last sequence may be short) and the digest of its bytes. Tokens are the ids of byte-level BPE
     (see bpe.py), little-endian, two bytes each if the vocabulary and two marks fit, else four. Every text, also a null
     or empty one, ends with the first id after the vocabulary; the second one fills the last sequence. ``docs`` must
-    give the same rows when scanned again (a table does; the counts of both scans are compared). Texts follow
+    give the same rows when a lost task scans them again (a table does; counts are compared). Texts follow
     each other by a hash of id and text, ties by their ids; rows that repeat both are interchangeable and each
     give a text. Other columns are ignored, an empty table writes nothing.
     """
@@ -210,21 +233,13 @@ def materialise(docs, folder, key="order", length=SEQUENCE, per_shard=SHARD_SEQU
     kind, end, fill = token_type(bpe.load_encoding(*ranks.value).n_vocab)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(20, max(1, (partitions - 1).bit_length()))
-    counted = token_rows(docs, ranks, kind, end, bits, id_col, text_col, counts_only=True)
-    sizes = {r["bucket"]: r["n"] for r in counted.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}  # one number per bucket
-    total, bases = 0, {}
-    for bucket in sorted(sizes):
-        bases[bucket] = total
-        total += sizes[bucket]
-    n = -(-total // length)
-    shards = max(1, -(-n // per_shard))
-    parts = min(shards, max(1, partitions))
-    tokens = token_rows(docs, ranks, kind, end, bits, id_col, text_col)
-    ordered = tokens.repartitionById(1 << bits, "bucket").sortWithinPartitions("bucket", "k", "ids")
-    cut = pieces(ordered, bases, sizes, n, length, kind.itemsize, key)
-    part = F.floor(F.floor(F.col("slot") / per_shard) * parts / shards).cast("int")
-    spread = cut.withColumn("part", part).repartitionById(parts, "part").sortWithinPartitions("slot", "at")
-    return write_shards(spread.select("slot", "sequence", "ids"), folder, length, per_shard, kind, fill)
+    dealt = token_rows(docs, ranks, kind, end, bits, id_col, text_col).repartitionById(1 << bits, "bucket")
+    placed = dealt.join(F.broadcast(bucket_bases(dealt)), "bucket")  # at most 2 ** 20 rows
+    cut = pieces(placed.sortWithinPartitions("bucket", "k", "ids"), length, kind, key)
+    shards = F.ceil(F.col("sequences") / per_shard)
+    part = F.floor(F.floor(F.col("slot") / per_shard) * partitions / shards).cast("int")
+    spread = cut.withColumn("part", part).repartitionById(partitions, "part").sortWithinPartitions("slot", "at")
+    return write_shards(spread.select("slot", "sequence", "n", "ids"), folder, length, per_shard, kind, fill)
 
 
 def read_from(folder, slot, count, length=SEQUENCE, per_shard=SHARD_SEQUENCES, kind=np.dtype("<u2")):
