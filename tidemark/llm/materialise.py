@@ -26,7 +26,7 @@ CHANGED = "the input changed between two scans; write it to a table first"
 
 def pack(raw):
     """Bytes of ids on their way through a shuffle."""
-    return pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
+    return pa.Codec("zstd", compression_level=6).compress(raw, asbytes=True)
 
 
 def unpack(packed, size):
@@ -116,41 +116,57 @@ def bucket_bases(dealt):
 
 
 def pieces(ordered, length, kind, key):
-    """(slot, sequence, sequences, at, n, ids) of the stretch of each sequence that a text gives, from texts in order within each bucket."""
+    """(slot, sequence, sequences, at, n, ids) of the stretch of each sequence that a bucket gives, from texts in order within it."""
     schema = "slot long, sequence long, sequences long, at int, n int, ids binary"
     width = kind.itemsize
 
     def run(batches):
-        at = own = close = None
+        at = own = close = sequences = None
+        held, done = bytearray(), []
+
+        def cut():
+            """The ids held since the last cut end at ``at``."""
+            if held:
+                n = len(held) // width
+                done.append((*divmod(at - n, length), n, pack(bytes(held))))
+                held.clear()
+
+        def settle():
+            cut()
+            if at != close:
+                raise ValueError(CHANGED)
+
+        def result():
+            seq, offset, n, packed = zip(*done)
+            done.clear()
+            seq = np.array(seq, dtype=np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(permute(seq, sequences, key)), pa.array(seq), pa.array(np.full(len(seq), sequences)),
+                 pa.array(offset, pa.int32()), pa.array(n, pa.int32()), pa.array(packed, pa.binary())],
+                ["slot", "sequence", "sequences", "at", "n", "ids"])
+
         for b in batches:
-            seq, offset, used, cut = [], [], [], []
+            if b.num_rows:
+                sequences = -(-column(b, "total")[0].as_py() // length)
             names = ["bucket", "n", "ids", "base", "size"]
             for bucket, n, packed, base, size in zip(*(column(b, c).to_pylist() for c in names)):
                 if bucket != own:
-                    if at != close:
-                        raise ValueError(CHANGED)
+                    settle()
                     own, at, close = bucket, base, base + size
                 raw = unpack(packed, n * width)
                 i = 0
                 while i < n:
-                    s, o = divmod(at, length)
-                    take = min(length - o, n - i)
-                    seq.append(s)
-                    offset.append(o)
-                    used.append(take)
-                    cut.append(pack(raw[i * width : (i + take) * width]))
+                    take = min(length - at % length, n - i)
+                    held += raw[i * width : (i + take) * width]
                     i += take
                     at += take
-            if not seq:
-                continue
-            sequences = -(-column(b, "total")[0].as_py() // length)
-            seq = np.array(seq, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(permute(seq, sequences, key)), pa.array(seq), pa.array(np.full(len(seq), sequences)),
-                 pa.array(offset, pa.int32()), pa.array(used, pa.int32()), pa.array(cut, pa.binary())],
-                ["slot", "sequence", "sequences", "at", "n", "ids"])
-        if at != close:
-            raise ValueError(CHANGED)
+                    if at % length == 0:
+                        cut()
+            if done:
+                yield result()
+        settle()
+        if done:
+            yield result()
 
     return ordered.select("bucket", "n", "ids", "base", "size", "total").mapInArrow(run, schema)
 
